@@ -149,22 +149,34 @@ SINGLE_CITY_PRICE_MAX = 450000.0
 _SINGLE_COLS = [c for c in KEEP_COLUMNS if c in _LL_NAMES and c != "amenities"]
 
 
-@query("cleansed_listings", sql=with_views(
-    "SELECT id, area, " + ", ".join(
-        "host_is_superhost = 't' AS host_is_superhost" if c == "host_is_superhost"
-        else "TRY_CAST(translate(price, '$,', '') AS DOUBLE) AS price" if c == "price" else c
-        for c in _SINGLE_COLS)
+CLEANSED_CTE = ("cleansed AS (SELECT id, area, " + ", ".join(
+    "host_is_superhost = 't' AS host_is_superhost" if c == "host_is_superhost"
+    else "TRY_CAST(translate(price, '$,', '') AS DOUBLE) AS price" if c == "price" else c
+    for c in _SINGLE_COLS)
     + r""", CASE WHEN lower(trim(bathrooms_text)) LIKE '%half%' THEN CAST(0.5 AS DOUBLE)
          ELSE TRY_CAST(regexp_extract(bathrooms_text, '(\d+(\.\d+)?)', 1) AS DOUBLE) END AS bathrooms,
   CAST(len(CASE WHEN translate(amenities, '][\"', '') = '' THEN CAST([] AS VARCHAR[])
        ELSE string_split(translate(amenities, '][\"', ''), ',') END) AS INTEGER) AS n_amenities
 FROM listings_like
-WHERE TRY_CAST(translate(price, '$,', '') AS DOUBLE) < 450000.0 AND minimum_nights <= 90""", "listings_like"))
-def q_cleansed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+WHERE TRY_CAST(translate(price, '$,', '') AS DOUBLE) < """ + repr(SINGLE_CITY_PRICE_MAX) + " AND minimum_nights <= 90)")
+
+
+def cleansed_sql(sql: str, *extra: str) -> str:
+    return with_views(sql, "listings_like", extra=(CLEANSED_CTE,) + extra)
+
+
+def cleansed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single-city cleansed table over the listing-shaped view (amenity
+    list reduced to its item count)."""
     df = cleanse_single_city(listings_like(spark, sf_dir), price_max=SINGLE_CITY_PRICE_MAX)
     return df.withColumn("n_amenities", F.size("amenities")).drop("amenities")
 
 
+@query("cleansed_listings", sql=cleansed_sql("SELECT * FROM cleansed"))
+def q_cleansed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleansed_listings(spark, sf_dir)
+
+
 @query("union_cities", sql=gold_sql("""
 SELECT id, area, price, 'London' AS city FROM gold_usd WHERE area = 'London'
 UNION ALL
