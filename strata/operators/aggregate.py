@@ -11,6 +11,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Scale of the exact sums: 8 decimals cover money (2) times a 4-decimal rate.
+EXACT_SCALE = 8
+
+
+def exact_sum(c, scale: int = EXACT_SCALE) -> Column:
+    """Sum in decimal(38, scale): exact, so independent of summation order
+    (the same bits on any partitioning), and it cannot overflow silently."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast(f"decimal(38,{scale})"))
+
+
+def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
+    """Mean from an exact decimal sum divided by the count (NULL when empty)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.try_divide(exact_sum(c, scale).cast("double"), F.count(c).cast("double"))
+
+
 def value_counts(df: DataFrame, cols: list[str] | str, count_col: str = "count") -> DataFrame:
     """Rows per distinct value (NULL kept as its own group)."""
     cols = [cols] if isinstance(cols, str) else list(cols)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
+from strata.operators.aggregate import exact_avg
+
 
 def _is_missing(df: DataFrame, c: str):
     t = df.schema[c].dataType
@@ -57,7 +59,11 @@ def missing_percent(df: DataFrame, cols: list[str] | None = None, digits: int =
     """(column_name, missing_count, missing_pct) ordered by missing desc."""
     cols = cols or df.columns
     long = _long_counts(df, cols)
-    pct = F.round(F.try_divide(F.col("missing_count") * 100.0, F.col("n_rows")), digits)
+    # round half up of the exact ratio, in integer arithmetic (no binary
+    # representation ties between engines)
+    scale = 10 ** digits
+    halfup = F.expr(f"(missing_count * {2 * 100 * scale} + n_rows) div (2 * n_rows)")
+    pct = F.when(F.col("n_rows") > 0, halfup.cast("double") / F.lit(float(scale)))
     return (long.select("column_name", "missing_count", pct.alias("missing_pct"))
             .orderBy(F.desc("missing_count"), "column_name"))
 
@@ -130,7 +136,7 @@ def missing_rate_by(df: DataFrame, target: str, by, alias: str = "missing_pct",
 
 def mean_by(df: DataFrame, value: str, by: str, alias: str | None = None, drop_null_keys: bool = True) -> DataFrame:
     d = df.filter(F.col(by).isNotNull()) if drop_null_keys else df
-    return d.groupBy(by).agg(F.avg(value).alias(alias or f"avg_{value}"))
+    return d.groupBy(by).agg(exact_avg(value).alias(alias or f"avg_{value}"))
 
 
 def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
@@ -151,7 +157,7 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
             qs = F.percentile(x, [0.25, 0.5, 0.75])
             dist = F.count_distinct(x)
         aggs += [F.count(x).alias(f"c{i}"), F.sum(_indicator(df, c)).cast("bigint").alias(f"m{i}"),
-                 dist.alias(f"d{i}"), F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 dist.alias(f"d{i}"), exact_avg(F.col(f"`{c}`")).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), qs.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("count"),

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.aggregate import group_metrics, histogram, quantile, value_counts, distinct_values
+from strata.operators.aggregate import (distinct_values, exact_avg, group_metrics, histogram, quantile,
+                                       value_counts)
 from strata.operators.filters import count_extreme, dropna_subset, filter_not_null, filter_range, quantile_trim
 from strata.operators.reshape import transpose_compare
 from strata.operators.sample import sample_n
@@ -27,12 +28,6 @@ PRICE_MAX = 450000.0
 MAX_MIN_NIGHTS = 90
 
 
-def r6(c):
-    """Presentation rounding of float aggregates (summation order differs
-    between engines in the last bits)."""
-    return F.round(c, 6)
-
-
 def city_df(spark: SparkSession, sf_dir: str, city: str = CITY) -> DataFrame:
     return gold_listings_usd(spark, sf_dir).filter(F.col("area") == F.lit(city))
 
@@ -41,19 +36,19 @@ def city_df(spark: SparkSession, sf_dir: str, city: str = CITY) -> DataFrame:
 
 def city_metrics(df: DataFrame, by: str = "area") -> DataFrame:
     return group_metrics(df, [by], {
-        "avg_price": F.avg("price"),
+        "avg_price": exact_avg("price"),
         "avg_occupancy": F.avg("estimated_occupancy_l365d"),
         "listing_count": F.count("host_id"),
-        "avg_rating": F.avg("review_scores_rating"),
+        "avg_rating": exact_avg("review_scores_rating"),
     }).withColumnRenamed(by, "city")
 
 
 def neighbourhood_stats(df: DataFrame) -> DataFrame:
     return group_metrics(df, ["area", "neighbourhood_cleansed"], {
-        "avg_price": F.avg("price"),
+        "avg_price": exact_avg("price"),
         "avg_occupancy": F.avg("estimated_occupancy_l365d"),
         "listing_count": F.count("host_id"),
-        "avg_rating": F.avg("review_scores_rating"),
+        "avg_rating": exact_avg("review_scores_rating"),
     })
 
 
@@ -61,8 +56,8 @@ def city_overview(df: DataFrame) -> DataFrame:
     return group_metrics(df, ["area"], {
         "total_listings": F.count(F.lit(1)),
         "unique_hosts": F.count_distinct("host_id"),
-        "avg_price": F.bround(F.avg("price"), 2),
-        "avg_review_score": F.bround(F.avg("review_scores_rating"), 2),
+        "avg_price": F.bround(exact_avg("price"), 2),
+        "avg_review_score": F.bround(exact_avg("review_scores_rating"), 2),
         "occupancy_rate_est": F.bround(F.avg("estimated_occupancy_l365d") * 100, 2),
     })
 
@@ -70,8 +65,8 @@ def city_overview(df: DataFrame) -> DataFrame:
 def city_summary(df: DataFrame) -> DataFrame:
     return group_metrics(df, ["area"], {
         "total_listings": F.count(F.lit(1)),
-        "avg_price": F.bround(F.avg("price"), 2),
-        "avg_rating": F.bround(F.avg("review_scores_rating"), 2),
+        "avg_price": F.bround(exact_avg("price"), 2),
+        "avg_rating": F.bround(exact_avg("review_scores_rating"), 2),
         "occupancy_rate": F.bround(F.avg("estimated_occupancy_l365d"), 2),
         "superhost_share": F.bround(F.avg(F.col("host_is_superhost").cast("double")) * 100, 2),
     })
@@ -86,7 +81,7 @@ def superhost_rate(df: DataFrame, by: str = "area") -> DataFrame:
 def revenue_estimate(df: DataFrame, by: str = "area") -> DataFrame:
     """avg price x (avg occupancy / 100) x 365, and the occupancy as a
     fraction of the year (``occupancy_rate``)."""
-    m = group_metrics(df, [by], {"avg_price": F.avg("price"), "avg_occupancy": F.avg("estimated_occupancy_l365d")})
+    m = group_metrics(df, [by], {"avg_price": exact_avg("price"), "avg_occupancy": F.avg("estimated_occupancy_l365d")})
     return (m.withColumn("estimated_annual_revenue", F.col("avg_price") * (F.col("avg_occupancy") / 100) * 365)
              .withColumn("occupancy_rate", F.col("avg_occupancy") / 365)
              .withColumnRenamed(by, "city"))
@@ -101,12 +96,12 @@ def review_scatter(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED,
 
 # ------------------------------------------------------------------ SQL bits
 
-_CITY_METRICS_SQL = """SELECT area AS city, AVG(price) AS avg_price, AVG(estimated_occupancy_l365d) AS avg_occupancy,
-       COUNT(host_id) AS listing_count, AVG(review_scores_rating) AS avg_rating
+_CITY_METRICS_SQL = """SELECT area AS city, XAVG(price) AS avg_price, AVG(estimated_occupancy_l365d) AS avg_occupancy,
+       COUNT(host_id) AS listing_count, XAVG(review_scores_rating) AS avg_rating
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""
-_NEIGH_SQL = """SELECT area, neighbourhood_cleansed, AVG(price) AS avg_price,
+_NEIGH_SQL = """SELECT area, neighbourhood_cleansed, XAVG(price) AS avg_price,
        AVG(estimated_occupancy_l365d) AS avg_occupancy, COUNT(host_id) AS listing_count,
-       AVG(review_scores_rating) AS avg_rating
+       XAVG(review_scores_rating) AS avg_rating
 FROM gold_usd WHERE area IS NOT NULL AND neighbourhood_cleansed IS NOT NULL
 GROUP BY area, neighbourhood_cleansed"""
 _LONDON = "london AS (SELECT * FROM gold_usd WHERE area = 'London')"
@@ -115,12 +110,12 @@ _LONDON = "london AS (SELECT * FROM gold_usd WHERE area = 'London')"
 # ---------------------------------------------------------------- registered
 
 @query("city_metrics", sql=gold_sql(f"""
-SELECT city, round(avg_price, 6) AS avg_price, round(avg_occupancy, 6) AS avg_occupancy,
-       listing_count, round(avg_rating, 6) AS avg_rating FROM ({_CITY_METRICS_SQL}) m"""))
+SELECT city, avg_price AS avg_price, avg_occupancy AS avg_occupancy,
+       listing_count, avg_rating AS avg_rating FROM ({_CITY_METRICS_SQL}) m"""))
 def q_city_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = city_metrics(gold_listings_usd(spark, sf_dir))
-    return m.select("city", r6("avg_price").alias("avg_price"), r6("avg_occupancy").alias("avg_occupancy"),
-                    "listing_count", r6("avg_rating").alias("avg_rating"))
+    return m.select("city", "avg_price", "avg_occupancy",
+                    "listing_count", "avg_rating")
 
 
 # Display labels of the compared metrics.
@@ -129,7 +124,7 @@ METRIC_LABELS = {"avg_price": "Average Price (USD)", "avg_occupancy": "Average O
 
 
 @query("city_comparison", sql=gold_sql("""
-SELECT metric, round(London, 6) AS London, round(Tokyo, 6) AS Tokyo,
+SELECT metric, London AS London, Tokyo AS Tokyo,
        round_even((Tokyo - London) / London * 100, 2) AS pct_diff
 FROM (""" + "\nUNION ALL\n".join(
     f"SELECT '{label}' AS metric, MAX(CASE WHEN city = 'London' THEN CAST({m} AS DOUBLE) END) AS London, "
@@ -138,22 +133,22 @@ FROM (""" + "\nUNION ALL\n".join(
 def q_city_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = city_metrics(gold_listings_usd(spark, sf_dir))
     t = transpose_compare(m, "city", list(METRIC_LABELS), "London", "Tokyo", labels=METRIC_LABELS)
-    return t.select("metric", r6("London").alias("London"), r6("Tokyo").alias("Tokyo"), "pct_diff")
+    return t.select("metric", "London", "Tokyo", "pct_diff")
 
 
 @query("neighbourhood_stats", sql=gold_sql(f"""
-SELECT area, neighbourhood_cleansed, round(avg_price, 6) AS avg_price, round(avg_occupancy, 6) AS avg_occupancy,
-       listing_count, round(avg_rating, 6) AS avg_rating FROM ({_NEIGH_SQL}) n"""))
+SELECT area, neighbourhood_cleansed, avg_price AS avg_price, avg_occupancy AS avg_occupancy,
+       listing_count, avg_rating AS avg_rating FROM ({_NEIGH_SQL}) n"""))
 def q_neighbourhood_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = neighbourhood_stats(gold_listings_usd(spark, sf_dir))
-    return n.select("area", "neighbourhood_cleansed", r6("avg_price").alias("avg_price"),
-                    r6("avg_occupancy").alias("avg_occupancy"), "listing_count", r6("avg_rating").alias("avg_rating"))
+    return n.select("area", "neighbourhood_cleansed", "avg_price",
+                    "avg_occupancy", "listing_count", "avg_rating")
 
 
 def _top_sql(metric: str, desc: bool) -> str:
     order = "DESC" if desc else "ASC"
     return gold_sql(f"""
-SELECT area, neighbourhood_cleansed, round({metric}, 6) AS {metric} FROM (
+SELECT area, neighbourhood_cleansed, {metric} AS {metric} FROM (
   SELECT *, row_number() OVER (PARTITION BY area ORDER BY {metric} {order} NULLS LAST,
                                 neighbourhood_cleansed) AS rn
   FROM ({_NEIGH_SQL}) n) t WHERE rn <= 5""")
@@ -163,7 +158,7 @@ def _top_query(metric: str, desc: bool):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         n = neighbourhood_stats(gold_listings_usd(spark, sf_dir))
         t = top_n_per_group(n, "area", metric, 5, descending=desc, tie=["neighbourhood_cleansed"])
-        return t.select("area", "neighbourhood_cleansed", r6(metric).alias(metric))
+        return t.select("area", "neighbourhood_cleansed", metric)
     return run
 
 
@@ -189,27 +184,27 @@ def q_room_type_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("superhost_rate", sql=gold_sql("""
-SELECT area AS city, round(AVG(CASE WHEN host_is_superhost THEN 100.0 ELSE 0.0 END), 6) AS superhost_rate
+SELECT area AS city, AVG(CASE WHEN host_is_superhost THEN 100.0 ELSE 0.0 END) AS superhost_rate
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""))
 def q_superhost_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = superhost_rate(gold_listings_usd(spark, sf_dir))
-    return s.select("city", r6("superhost_rate").alias("superhost_rate"))
+    return s.select("city", "superhost_rate")
 
 
 @query("revenue_estimate", sql=gold_sql("""
-SELECT area AS city, round(AVG(price), 6) AS avg_price, round(AVG(estimated_occupancy_l365d), 6) AS avg_occupancy,
-       round(AVG(price) * (AVG(estimated_occupancy_l365d) / 100) * 365, 6) AS estimated_annual_revenue,
-       round(AVG(estimated_occupancy_l365d) / 365, 6) AS occupancy_rate
+SELECT area AS city, XAVG(price) AS avg_price, AVG(estimated_occupancy_l365d) AS avg_occupancy,
+       XAVG(price) * (AVG(estimated_occupancy_l365d) / 100) * 365 AS estimated_annual_revenue,
+       AVG(estimated_occupancy_l365d) / 365 AS occupancy_rate
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""))
 def q_revenue_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = revenue_estimate(gold_listings_usd(spark, sf_dir))
-    return r.select("city", *[r6(c).alias(c) for c in
+    return r.select("city", *[c for c in
                               ("avg_price", "avg_occupancy", "estimated_annual_revenue", "occupancy_rate")])
 
 
 @query("city_overview", sql=gold_sql("""
 SELECT area, COUNT(*) AS total_listings, COUNT(DISTINCT host_id) AS unique_hosts,
-       round_even(AVG(price), 2) AS avg_price, round_even(AVG(review_scores_rating), 2) AS avg_review_score,
+       round_even(XAVG(price), 2) AS avg_price, round_even(XAVG(review_scores_rating), 2) AS avg_review_score,
        round_even(AVG(estimated_occupancy_l365d) * 100, 2) AS occupancy_rate_est
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""))
 def q_city_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,8 +212,8 @@ def q_city_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("city_summary", sql=gold_sql("""
-SELECT area, COUNT(*) AS total_listings, round_even(AVG(price), 2) AS avg_price,
-       round_even(AVG(review_scores_rating), 2) AS avg_rating,
+SELECT area, COUNT(*) AS total_listings, round_even(XAVG(price), 2) AS avg_price,
+       round_even(XAVG(review_scores_rating), 2) AS avg_rating,
        round_even(AVG(estimated_occupancy_l365d), 2) AS occupancy_rate,
        round_even(AVG(CAST(host_is_superhost AS DOUBLE)) * 100, 2) AS superhost_share
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""))
@@ -237,25 +232,25 @@ def q_price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("price_by_availability", sql=gold_sql("""
-SELECT availability_365, round(AVG(price), 6) AS avg_price FROM london
+SELECT availability_365, XAVG(price) AS avg_price FROM london
 WHERE availability_365 IS NOT NULL GROUP BY availability_365""", _LONDON))
 def q_price_by_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = group_metrics(city_df(spark, sf_dir), ["availability_365"], {"avg_price": F.avg("price")})
-    return g.select("availability_365", r6("avg_price").alias("avg_price")).orderBy("availability_365")
+    g = group_metrics(city_df(spark, sf_dir), ["availability_365"], {"avg_price": exact_avg("price")})
+    return g.select("availability_365", "avg_price").orderBy("availability_365")
 
 
 def _top_neigh(metric_col: str, alias: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        g = group_metrics(city_df(spark, sf_dir), ["neighbourhood_cleansed"], {alias: F.avg(metric_col)})
+        g = group_metrics(city_df(spark, sf_dir), ["neighbourhood_cleansed"], {alias: exact_avg(metric_col)})
         return top_n(g, alias, 10, tie=["neighbourhood_cleansed"]).select(
-            "neighbourhood_cleansed", r6(alias).alias(alias))
+            "neighbourhood_cleansed", alias)
     return run
 
 
 def _top_neigh_sql(metric_col: str, alias: str) -> str:
     return gold_sql(f"""
-SELECT neighbourhood_cleansed, round({alias}, 6) AS {alias} FROM (
-  SELECT neighbourhood_cleansed, AVG({metric_col}) AS {alias} FROM london
+SELECT neighbourhood_cleansed, {alias} AS {alias} FROM (
+  SELECT neighbourhood_cleansed, XAVG({metric_col}) AS {alias} FROM london
   WHERE neighbourhood_cleansed IS NOT NULL GROUP BY neighbourhood_cleansed) g
 ORDER BY {alias} DESC NULLS LAST, neighbourhood_cleansed LIMIT 10""", _LONDON)
 
@@ -266,23 +261,23 @@ query("top_neighbourhood_occupancy", sql=_top_neigh_sql("estimated_occupancy_l36
 
 
 @query("neighbourhood_map_stats", sql=gold_sql("""
-SELECT area, neighbourhood_cleansed, round(AVG(latitude), 6) AS latitude, round(AVG(longitude), 6) AS longitude,
-       round(AVG(price), 6) AS price, round(AVG(estimated_occupancy_l365d), 6) AS estimated_occupancy_l365d
+SELECT area, neighbourhood_cleansed, XAVG(latitude) AS latitude, XAVG(longitude) AS longitude,
+       XAVG(price) AS price, AVG(estimated_occupancy_l365d) AS estimated_occupancy_l365d
 FROM gold_usd WHERE area IS NOT NULL AND neighbourhood_cleansed IS NOT NULL
 GROUP BY area, neighbourhood_cleansed"""))
 def q_neighbourhood_map_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["latitude", "longitude", "price", "estimated_occupancy_l365d"]
     g = group_metrics(gold_listings_usd(spark, sf_dir), ["area", "neighbourhood_cleansed"],
-                      {c: F.avg(c) for c in cols})
-    return g.select("area", "neighbourhood_cleansed", *[r6(c).alias(c) for c in cols])
+                      {c: exact_avg(c) for c in cols})
+    return g.select("area", "neighbourhood_cleansed", *[c for c in cols])
 
 
 @query("room_type_summary", sql=gold_sql("""
-SELECT room_type, COUNT(price) AS count, round(AVG(price), 6) AS mean FROM london
+SELECT room_type, COUNT(price) AS count, XAVG(price) AS mean FROM london
 WHERE room_type IS NOT NULL GROUP BY room_type""", _LONDON))
 def q_room_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = group_metrics(city_df(spark, sf_dir), ["room_type"], {"count": F.count("price"), "mean": F.avg("price")})
-    return g.select("room_type", "count", r6("mean").alias("mean")).orderBy(F.desc_nulls_last("mean"))
+    g = group_metrics(city_df(spark, sf_dir), ["room_type"], {"count": F.count("price"), "mean": exact_avg("price")})
+    return g.select("room_type", "count", "mean").orderBy(F.desc_nulls_last("mean"))
 
 
 _TRIM_SQL = """trimmed AS (
@@ -307,11 +302,11 @@ def q_price_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("review_scatter", sql=gold_sql(f"""
-SELECT id, price, number_of_reviews, review_scores_rating, round(sqrt(price), 6) AS scaled_price FROM trimmed
+SELECT id, price, number_of_reviews, review_scores_rating, sqrt(price) AS scaled_price FROM trimmed
 ORDER BY md5(concat(CAST(id AS VARCHAR), '{SAMPLE_SEED}')), id LIMIT {SAMPLE_SIZE}""", _LONDON, _TRIM_SQL))
 def q_review_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = review_scatter(city_df(spark, sf_dir))
-    return s.select("id", "price", "number_of_reviews", "review_scores_rating", r6("scaled_price").alias("scaled_price"))
+    return s.select("id", "price", "number_of_reviews", "review_scores_rating", "scaled_price")
 
 
 @query("sample_n", sql=gold_sql(f"""

@@ -40,7 +40,8 @@ _PER_COLUMN = "\nUNION ALL\n".join(
 
 
 @query("missing_percent", sql=cleansed_sql(f"""
-SELECT column_name, missing_count, round(missing_count * 100.0 / n_rows, 3) AS missing_pct
+SELECT column_name, missing_count,
+       CAST((missing_count * 200000 + n_rows) // (2 * n_rows) AS DOUBLE) / CAST(1000 AS DOUBLE) AS missing_pct
 FROM ({_PER_COLUMN}) m"""))
 def q_missing_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_percent(cleansed_listings(spark, sf_dir), MISSING_COLS)
@@ -83,41 +84,39 @@ def q_missing_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("missing_by_year", sql=cleansed_sql("""
-SELECT year, round(AVG(CASE WHEN review_scores_rating IS NULL THEN 1 ELSE 0 END) * 100, 6) AS missing_pct
+SELECT year, AVG(CASE WHEN review_scores_rating IS NULL THEN 1 ELSE 0 END) * 100 AS missing_pct
 FROM (SELECT CAST(year(CAST(try_strptime(host_since, '%Y-%m-%d') AS DATE)) AS INTEGER) AS year,
              review_scores_rating FROM cleansed) t
 WHERE year IS NOT NULL GROUP BY year"""))
 def q_missing_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = cleansed_listings(spark, sf_dir).withColumn("year", year_of("host_since"))
-    return missing_rate_by(df, "review_scores_rating", "year").withColumn("missing_pct", _r6("missing_pct"))
+    return missing_rate_by(df, "review_scores_rating", "year")
 
 
 @query("missing_by_category", sql=cleansed_sql("""
-SELECT host_is_superhost, round(AVG(CASE WHEN reviews_per_month IS NULL THEN 1 ELSE 0 END) * 100, 6) AS missing_pct
+SELECT host_is_superhost, AVG(CASE WHEN reviews_per_month IS NULL THEN 1 ELSE 0 END) * 100 AS missing_pct
 FROM cleansed WHERE host_is_superhost IS NOT NULL GROUP BY host_is_superhost"""))
 def q_missing_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = missing_rate_by(cleansed_listings(spark, sf_dir), "reviews_per_month", "host_is_superhost")
-    return m.withColumn("missing_pct", _r6("missing_pct"))
+    return missing_rate_by(cleansed_listings(spark, sf_dir), "reviews_per_month", "host_is_superhost")
 
 
 @query("mean_by_category", sql=cleansed_sql("""
-SELECT bedrooms, round(AVG(reviews_per_month), 6) AS avg_reviews_per_month
+SELECT bedrooms, XAVG(reviews_per_month) AS avg_reviews_per_month
 FROM cleansed WHERE bedrooms IS NOT NULL GROUP BY bedrooms"""))
 def q_mean_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = mean_by(cleansed_listings(spark, sf_dir), "reviews_per_month", "bedrooms")
-    return m.withColumn("avg_reviews_per_month", _r6("avg_reviews_per_month"))
+    return mean_by(cleansed_listings(spark, sf_dir), "reviews_per_month", "bedrooms")
 
 
 @query("profile_numeric", sql=cleansed_sql("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {_nulls(c)} AS missing, COUNT(DISTINCT {c}) AS distinct, "
-    f"round(AVG({c}), 6) AS mean, round(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+    f"XAVG({c}) AS mean, round(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
     f"round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS median, "
     f"round(quantile_cont({c}, 0.75), 6) AS q75, CAST(MAX({c}) AS DOUBLE) AS max FROM cleansed"
     for c in NUMERIC_COLS)))
 def q_profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = profile_numeric(cleansed_listings(spark, sf_dir), NUMERIC_COLS)
-    return p.select("column_name", "count", "missing", "distinct", *[_r6(c).alias(c) for c in
-                    ("mean", "stddev")], "min", *[_r6(c).alias(c) for c in ("q25", "median", "q75")], "max")
+    return p.select("column_name", "count", "missing", "distinct", "mean", _r6("stddev").alias("stddev"), "min",
+                    *[_r6(c).alias(c) for c in ("q25", "median", "q75")], "max")
 
 
 @query("is_missing", sql=cleansed_sql("""

@@ -9,6 +9,8 @@ expressions are emitted as DuckDB CTE text for the SQL twins.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,9 +146,15 @@ def flight_view_sql(name: str) -> str:
             f"{name} AS (\n  SELECT\n    {cols}\n  FROM {name}_base\n)")
 
 
+def expand_sql(sql: str) -> str:
+    """``XAVG(c)``: mean from an exact decimal sum, as ``exact_avg`` computes it."""
+    return re.sub(r"XAVG\(([^()]+)\)",
+                  r"(CAST(SUM(CAST(\1 AS DECIMAL(38,8))) AS DOUBLE) / COUNT(\1))", sql)
+
+
 def with_views(sql: str, *views: str, extra: tuple[str, ...] = ()) -> str:
     """Prefix ``sql`` with the CTEs of the named test views, then ``extra``
     CTE definitions (``name AS (...)``) that may refer to them."""
     parts = [listings_like_sql() if v == "listings_like" else flight_view_sql(v) for v in views]
     parts.extend(extra)
-    return "WITH " + ",\n".join(parts) + "\n" + sql
+    return expand_sql("WITH " + ",\n".join(parts) + "\n" + sql)

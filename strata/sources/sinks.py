@@ -21,18 +21,22 @@ from pyspark.sql.types import StructType
 from strata.session import local_path
 
 
-def _exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """A readable table at ``path`` (schema resolution only, no job)."""
+def _exists(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> bool:
+    """A table directory at ``path`` (path resolution only, no job). With a
+    schema given, an empty partitioned table (no data files yet) counts."""
     try:
-        spark.read.format(fmt).load(path).schema
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        reader.load(path).schema
         return True
     except AnalysisException:
         return False
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> bool:
     if path.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
-        return _exists(spark, path)
+        return _exists(spark, path, schema=schema)
     return spark.catalog.tableExists(path)
 
 
@@ -53,7 +57,14 @@ def _save(df: DataFrame, target: str, mode: str, partition_by=None, fmt: str = "
 
 def create_if_absent(spark: SparkSession, target: str, schema: StructType,
                      partition_by: list[str] | None = None) -> None:
-    if not table_exists(spark, target):
+    """Empty table from a contract, only when absent. A catalog name becomes
+    ``CREATE TABLE IF NOT EXISTS``; a path gets an empty parquet write."""
+    if not target.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({cols}) USING parquet{parts}")
+        return
+    if not table_exists(spark, target, schema):
         _save(spark.createDataFrame([], schema), target, "ignore", partition_by)
 
 
@@ -80,9 +91,13 @@ def insert_into(df: DataFrame, table_name: str, overwrite_rows: bool = False) ->
     df.write.insertInto(table_name, overwrite=overwrite_rows)
 
 
-def read_table(spark: SparkSession, target: str, merge_schema: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, target: str, merge_schema: bool = False,
+               schema: StructType | None = None) -> DataFrame:
     if target.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
-        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(target)
+        reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(target)
     return spark.table(target)
 
 
