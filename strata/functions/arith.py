@@ -25,12 +25,16 @@ def convert_currency(price, area, rates: dict[str, float]) -> Column:
     (no join). The direction of each rate is the caller's choice.
     """
     price, area = _col(price), _col(area)
-    applies = price.isNotNull() & (price != 0)
-    expr = None
-    for name, rate in rates.items():
-        cond = applies & (area == F.lit(name))
-        expr = F.when(cond, price * F.lit(float(rate))) if expr is None else expr.when(cond, price * F.lit(float(rate)))
-    return price if expr is None else expr.otherwise(price)
+    if not rates:
+        return price
+    # NULL and 0 prices are unchanged by a product, so one multiplication by
+    # the area's rate (1.0 for other areas) gives the same values while the
+    # price expression is referenced once.
+    rate = None
+    for name, r in rates.items():
+        cond = area == F.lit(name)
+        rate = F.when(cond, F.lit(float(r))) if rate is None else rate.when(cond, F.lit(float(r)))
+    return price * rate.otherwise(F.lit(1.0))
 
 
 def sum_columns(cols) -> Column:

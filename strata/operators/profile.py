@@ -46,13 +46,28 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(*[F.sum(_indicator(df, c)).cast("bigint").alias(c) for c in cols])
 
 
+def missing_patterns(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(pattern, n): how many rows share each missing pattern. ``pattern`` is
+    an array of booleans (one per column). Partial aggregation collapses the
+    scan to one row per distinct pattern per task, so every later statistic
+    (counts, pairwise co-missing sums) runs over this small table."""
+    return (df.select(F.array(*[_is_missing(df, c) for c in cols]).alias("pattern"))
+            .groupBy("pattern").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _names(cols: list[str]):
+    return F.array(*[F.lit(c) for c in cols])
+
+
 def _long_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column_name, missing_count, n_rows) in one pass."""
-    agg = df.agg(F.count(F.lit(1)).alias("_n"),
-                 *[F.sum(_indicator(df, c)).cast("bigint").alias(f"_m{i}") for i, c in enumerate(cols)])
-    args = ", ".join(f"'{c}', _m{i}" for i, c in enumerate(cols))
-    return agg.select(F.expr(f"stack({len(cols)}, {args}) as (column_name, missing_count)"),
-                      F.col("_n").alias("n_rows"))
+    """(column_name, missing_count, n_rows) from the pattern counts."""
+    pats = missing_patterns(df, cols)
+    per_col = (pats.select("n", F.posexplode("pattern").alias("i", "miss"))
+               .groupBy("i").agg(F.sum(F.when(F.col("miss"), F.col("n")).otherwise(0)).alias("missing_count"),
+                                 F.sum("n").alias("n_rows")))
+    return per_col.select(F.element_at(_names(cols), F.col("i") + 1).alias("column_name"),
+                          F.col("missing_count").cast("bigint").alias("missing_count"),
+                          F.col("n_rows").cast("bigint").alias("n_rows"))
 
 
 def missing_percent(df: DataFrame, cols: list[str] | None = None, digits: int = 3) -> DataFrame:
@@ -86,40 +101,38 @@ def completeness(df: DataFrame, cols: list[str] | None = None, only_missing_colu
 
 
 def _pair_sums(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row: n, sum of each indicator, sum of each pairwise product."""
-    ind = {c: _indicator(df, c) for c in cols}
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(ind[c]).cast("double").alias(f"_s{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(ind[a] * ind[b]).cast("double").alias(f"_p{i}_{j}")
-             for (i, a), (j, b) in combinations(list(enumerate(cols)), 2)]
-    return df.agg(*aggs)
+    """Per column pair (i < j): n, missing counts of each, co-missing count.
+    The pattern table is exploded into its index pairs -- the plan has the
+    same size for 3 or 300 columns."""
+    pats = missing_patterns(df, cols)
+    one = pats.select("n", "pattern", F.posexplode("pattern").alias("i", "a"))
+    two = one.select("n", "i", "a", F.posexplode("pattern").alias("j", "b")).filter(F.col("i") < F.col("j"))
+    n = F.col("n")
+    sums = two.groupBy("i", "j").agg(
+        F.sum(n).cast("double").alias("n"),
+        F.sum(F.when(F.col("a"), n).otherwise(0)).cast("double").alias("sa"),
+        F.sum(F.when(F.col("b"), n).otherwise(0)).cast("double").alias("sb"),
+        F.sum(F.when(F.col("a") & F.col("b"), n).otherwise(0)).cast("double").alias("sab"))
+    names = _names(cols)
+    return sums.select(F.element_at(names, F.col("i") + 1).alias("column_a"),
+                       F.element_at(names, F.col("j") + 1).alias("column_b"), "n", "sa", "sb", "sab")
 
 
 def missing_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of the 0/1 missing indicators for each column
     pair (phi coefficient); NULL when an indicator is constant."""
-    sums = _pair_sums(df, cols)
-    rows = []
-    for (i, a), (j, b) in combinations(list(enumerate(cols)), 2):
-        n, sa, sb, sab = F.col("_n"), F.col(f"_s{i}"), F.col(f"_s{j}"), F.col(f"_p{i}_{j}")
-        num = n * sab - sa * sb
-        den = F.sqrt((n * sa - sa * sa) * (n * sb - sb * sb))
-        rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                             F.when(den > 0, num / den).alias("correlation")))
-    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    n, sa, sb, sab = F.col("n"), F.col("sa"), F.col("sb"), F.col("sab")
+    num = n * sab - sa * sb
+    den = F.sqrt((n * sa - sa * sa) * (n * sb - sb * sb))
+    return _pair_sums(df, cols).select("column_a", "column_b", F.when(den > 0, num / den).alias("correlation"))
 
 
 def missing_distance(df: DataFrame, cols: list[str]) -> DataFrame:
     """For each column pair, rows where exactly one of the two is missing
     (Hamming distance of the missing patterns -- what a dendrogram of
     missing columns clusters on)."""
-    sums = _pair_sums(df, cols)
-    rows = []
-    for (i, a), (j, b) in combinations(list(enumerate(cols)), 2):
-        d = F.col(f"_s{i}") + F.col(f"_s{j}") - 2 * F.col(f"_p{i}_{j}")
-        rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                             d.cast("bigint").alias("distance")))
-    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    d = F.col("sa") + F.col("sb") - 2 * F.col("sab")
+    return _pair_sums(df, cols).select("column_a", "column_b", d.cast("bigint").alias("distance"))
 
 
 def missing_rate_by(df: DataFrame, target: str, by, alias: str = "missing_pct",
@@ -141,30 +154,36 @@ def mean_by(df: DataFrame, value: str, by: str, alias: str | None = None, drop_n
 
 def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
     """Long-format profile, one row per numeric column: count, missing,
-    distinct, mean, stddev, min, q25, median, q75, max -- one aggregate.
-
-    Quartiles are exact (linear interpolation) unless ``approx``; exact
-    distinct counts become ``approx_count_distinct`` with ``approx``.
+    distinct, mean, stddev, min, q25, median, q75, max.
+
+    The columns are stacked into (column_name, value) rows in the scan's
+    stage. Moments come from one grouped aggregate (mean from an exact
+    decimal sum); distinct counts and exact quartiles (linear
+    interpolation) come from a (column_name, value, frequency) table, so a
+    column's final step holds one entry per distinct value, not per row.
+    ``approx=True`` uses mergeable sketches instead.
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
-        if approx:
-            qs = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
-            dist = F.approx_count_distinct(x)
-        else:
-            qs = F.percentile(x, [0.25, 0.5, 0.75])
-            dist = F.count_distinct(x)
-        aggs += [F.count(x).alias(f"c{i}"), F.sum(_indicator(df, c)).cast("bigint").alias(f"m{i}"),
-                 dist.alias(f"d{i}"), exact_avg(F.col(f"`{c}`")).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), qs.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("count"),
-                     F.col(f"m{i}").alias("missing"), F.col(f"d{i}").alias("distinct"),
-                     F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                     F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
-                     F.col(f"q{i}")[1].alias("median"), F.col(f"q{i}")[2].alias("q75"),
-                     F.col(f"hi{i}").alias("max"))
-            for i, c in enumerate(cols)]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    args = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
+    long = df.select(F.expr(f"stack({len(cols)}, {args}) as (column_name, value)"))
+    long = long.withColumn("value", F.when(F.isnan("value"), F.lit(None)).otherwise(F.col("value")))
+    moments = long.groupBy("column_name").agg(
+        F.count("value").alias("count"),
+        F.sum(F.when(F.col("value").isNull(), 1).otherwise(0)).cast("bigint").alias("missing"),
+        exact_avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    vals = long.filter(F.col("value").isNotNull())
+    if approx:
+        shape = vals.groupBy("column_name").agg(
+            F.approx_count_distinct("value").alias("distinct"),
+            F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("qs"))
+    else:
+        freq = vals.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("f"))
+        shape = freq.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("distinct"),
+            F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("f")).alias("qs"))
+    out = moments.join(shape, "column_name", "left").select(
+        "column_name", "count", "missing", F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"),
+        "mean", "stddev", "min", F.col("qs")[0].alias("q25"), F.col("qs")[1].alias("median"),
+        F.col("qs")[2].alias("q75"), "max")
+    return out

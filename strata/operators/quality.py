@@ -51,19 +51,27 @@ def layer_checksum(pairs: Pairs) -> DataFrame:
     return sums.select("table_name", F.coalesce(F.col("s") == F.col("t"), F.lit(False)).alias("checksum_match"))
 
 
-def bag_diff_counts(src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """One row: rows of ``src`` missing from ``tgt`` and rows of ``tgt``
-    absent from ``src``, as bags over the common columns (EXCEPT ALL both
-    ways) -- in a single aggregation."""
+def bag_compare(src: DataFrame, tgt: DataFrame) -> DataFrame:
+    """One row: both row counts, rows of ``src`` missing from ``tgt`` and rows
+    of ``tgt`` absent from ``src`` -- bags over the common columns (EXCEPT
+    ALL both ways) -- all from a single aggregation on the row values."""
     s, t = common_columns(src, tgt)
     cols = s.columns
     tagged = s.withColumn("_side", F.lit(1)).unionByName(t.withColumn("_side", F.lit(-1)))
     per_row = tagged.groupBy(*cols).agg(
         F.sum(F.when(F.col("_side") == 1, 1).otherwise(0)).alias("_a"),
         F.sum(F.when(F.col("_side") == -1, 1).otherwise(0)).alias("_b"))
+    zero = F.lit(0)
     return per_row.agg(
-        F.coalesce(F.sum(F.greatest(F.col("_a") - F.col("_b"), F.lit(0))), F.lit(0)).cast("bigint").alias("missing_in_target"),
-        F.coalesce(F.sum(F.greatest(F.col("_b") - F.col("_a"), F.lit(0))), F.lit(0)).cast("bigint").alias("extra_in_target"))
+        F.coalesce(F.sum("_a"), zero).cast("bigint").alias("source_count"),
+        F.coalesce(F.sum("_b"), zero).cast("bigint").alias("target_count"),
+        F.coalesce(F.sum(F.greatest(F.col("_a") - F.col("_b"), zero)), zero).cast("bigint").alias("missing_in_target"),
+        F.coalesce(F.sum(F.greatest(F.col("_b") - F.col("_a"), zero)), zero).cast("bigint").alias("extra_in_target"))
+
+
+def bag_diff_counts(src: DataFrame, tgt: DataFrame) -> DataFrame:
+    """(missing_in_target, extra_in_target) of ``bag_compare``."""
+    return bag_compare(src, tgt).select("missing_in_target", "extra_in_target")
 
 
 def layer_diff(pairs: Pairs) -> DataFrame:
@@ -77,16 +85,17 @@ def layer_diff(pairs: Pairs) -> DataFrame:
 
 def quality_log(pairs: Pairs, source_layer: str = "bronze", target_layer: str = "silver",
                 with_load_time: bool = True) -> DataFrame:
-    """One log row per table: layers, counts, count status, content match."""
-    counts = reconcile_counts(pairs)
-    diff = layer_diff(pairs).select("table_name", "data_match")
-    out = counts.join(diff, "table_name").select(
+    """One log row per table: layers, counts, count status, content match --
+    counts and both diff directions come from one aggregation per table
+    (note: counts are then over the common columns, which is every row)."""
+    parts = [bag_compare(src, tgt).select(F.lit(name).alias("table_name"), "*") for name, (src, tgt) in pairs.items()]
+    both = _union(parts)
+    return both.select(
         "table_name", F.lit(source_layer).alias("source_layer"), F.lit(target_layer).alias("target_layer"),
         *([F.current_timestamp().alias("load_time")] if with_load_time else []),
-        F.col("source_count").cast("bigint").alias("source_count"),
-        F.col("target_count").cast("bigint").alias("target_count"),
-        "row_count_status", "data_match")
-    return out
+        "source_count", "target_count",
+        F.when(F.col("source_count") == F.col("target_count"), "OK").otherwise("MISMATCH").alias("row_count_status"),
+        ((F.col("missing_in_target") == 0) & (F.col("extra_in_target") == 0)).alias("data_match"))
 
 
 def data_freshness(df: DataFrame, date_col: str, table_name: str, with_check_time: bool = True) -> DataFrame:

@@ -16,6 +16,7 @@ from strata.operators.reshape import union_by_name
 from strata.plans.parsing import DROP_COLUMNS, KEEP_COLUMNS
 from strata.plans.registry import query
 from strata.plans.testviews import LISTING_COLUMNS, listings_like, with_views
+from strata.sources.layers import materialized
 
 # Cleansing lists of the two-city gold table.
 GOLD_EXTRA_DROPS = ["estimated_revenue_l365d", "license", "calendar_updated", "neighbourhood_group_cleansed",
@@ -99,8 +100,9 @@ def city_frames(df: DataFrame, cities: list[str], area_col: str = "area") -> lis
 
 
 def gold_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold two-city table over the listing-shaped view."""
-    return cleanse_combined_listings([listings_like(spark, sf_dir)])
+    """Gold two-city table over the listing-shaped view (written once)."""
+    return materialized(spark, f"gold-listings:{sf_dir}",
+                        lambda: cleanse_combined_listings([listings_like(spark, sf_dir)]))
 
 
 def gold_listings_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +170,10 @@ def cleansed_sql(sql: str, *extra: str) -> str:
 def cleansed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single-city cleansed table over the listing-shaped view (amenity
     list reduced to its item count)."""
-    df = cleanse_single_city(listings_like(spark, sf_dir), price_max=SINGLE_CITY_PRICE_MAX)
-    return df.withColumn("n_amenities", F.size("amenities")).drop("amenities")
+    def build():
+        df = cleanse_single_city(listings_like(spark, sf_dir), price_max=SINGLE_CITY_PRICE_MAX)
+        return df.withColumn("n_amenities", F.size("amenities")).drop("amenities")
+    return materialized(spark, f"silver-listings:{sf_dir}", build)
 
 
 @query("cleansed_listings", sql=cleansed_sql("SELECT * FROM cleansed"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.joins import bounded_broadcast
+from strata.sources.layers import materialized
 from strata.tables import table
 
 # ---------------------------------------------------------------- listings
@@ -55,6 +56,11 @@ DUCK_PRICE = "case when o_orderkey % 11 = 0 then null else concat('$', format('{
 
 
 def listings_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw listing table (written once per application)."""
+    return materialized(spark, f"raw-listings:{sf_dir}", lambda: build_listings_like(spark, sf_dir))
+
+
+def build_listings_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -132,8 +138,9 @@ def _flight_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flight_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    cols = FLIGHT_VIEWS[name]
-    return _flight_base(spark, sf_dir).select(*[F.expr(e).alias(n) for n, e in cols])
+    """A raw flight table; the three share one written daily aggregate."""
+    base = materialized(spark, f"raw-flights:{sf_dir}", lambda: _flight_base(spark, sf_dir))
+    return base.select(*[F.expr(e).alias(n) for n, e in FLIGHT_VIEWS[name]])
 
 
 def flight_view_sql(name: str) -> str:
