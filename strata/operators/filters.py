@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import quantile
-from strata.operators.joins import bounded_broadcast
 
 
 def filter_range(df: DataFrame, col: str, lt=None, le=None, gt=None, ge=None) -> DataFrame:
@@ -56,12 +55,13 @@ def quantile_trim(df: DataFrame, col: str, q: float = 0.99, by: list[str] | None
 
     The quantile is exact with linear interpolation; it is computed on a
     (value, count) pre-aggregate, so its memory is bounded by the number of
-    distinct values, not rows. The one-row (or one-row-per-group) result is
-    joined back as a broadcast.
+    distinct values, not rows. A global cut is a scalar subquery; per-group
+    cuts are joined back.
     """
     if not by:
         # Scalar subquery: evaluated once, then a plain filter on each row.
         return df.filter(F.col(col) <= quantile(df, col, q, approx=approx, alias="_cut").scalar())
     cut = quantile(df, col, q, by=by, approx=approx, alias="_cut")
-    return (df.join(bounded_broadcast(cut), on=by, how="inner")
+    # one row per group: AQE broadcasts it when its runtime size is small
+    return (df.join(cut, on=by, how="inner")
             .filter(F.col(col) <= F.col("_cut")).drop("_cut"))

@@ -4,6 +4,10 @@ A side is broadcast only after a bounded probe proves it holds at most
 ``max_rows`` rows (``limit(max_rows + 1).count()`` reads at most that many
 rows). Beyond the bound the join stays a shuffle join, and AQE may still
 switch it to a broadcast at runtime from real shuffle sizes.
+
+Use the probe on scans of dimension tables, where the limit stops the read
+early. A derived side (an aggregate) would be computed in full by the probe,
+so such joins are left to AQE's runtime size check instead.
 """
 
 from __future__ import annotations

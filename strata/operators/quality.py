@@ -56,17 +56,15 @@ def bag_compare(src: DataFrame, tgt: DataFrame) -> DataFrame:
     of ``tgt`` absent from ``src`` -- bags over the common columns (EXCEPT
     ALL both ways) -- all from a single aggregation on the row values."""
     s, t = common_columns(src, tgt)
-    cols = s.columns
-    tagged = s.withColumn("_side", F.lit(1)).unionByName(t.withColumn("_side", F.lit(-1)))
-    per_row = tagged.groupBy(*cols).agg(
-        F.sum(F.when(F.col("_side") == 1, 1).otherwise(0)).alias("_a"),
-        F.sum(F.when(F.col("_side") == -1, 1).otherwise(0)).alias("_b"))
-    zero = F.lit(0)
-    return per_row.agg(
-        F.coalesce(F.sum("_a"), zero).cast("bigint").alias("source_count"),
-        F.coalesce(F.sum("_b"), zero).cast("bigint").alias("target_count"),
-        F.coalesce(F.sum(F.greatest(F.col("_a") - F.col("_b"), zero)), zero).cast("bigint").alias("missing_in_target"),
-        F.coalesce(F.sum(F.greatest(F.col("_b") - F.col("_a"), zero)), zero).cast("bigint").alias("extra_in_target"))
+    cols = [f"`{c}`" for c in s.columns]
+    tagged = s.select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
+        t.select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
+    per_row = tagged.groupBy(*cols).agg(F.expr("sum(_a) AS _a"), F.expr("sum(_b) AS _b"))
+    return per_row.agg(F.expr(
+        "CAST(coalesce(sum(_a), 0) AS BIGINT) AS source_count"), F.expr(
+        "CAST(coalesce(sum(_b), 0) AS BIGINT) AS target_count"), F.expr(
+        "CAST(coalesce(sum(greatest(_a - _b, 0)), 0) AS BIGINT) AS missing_in_target"), F.expr(
+        "CAST(coalesce(sum(greatest(_b - _a, 0)), 0) AS BIGINT) AS extra_in_target"))
 
 
 def bag_diff_counts(src: DataFrame, tgt: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import bounded_broadcast
 
 
 def top_n_per_group(df: DataFrame, by: list[str] | str, metric: str, n: int,
@@ -40,11 +39,12 @@ def top_n(df: DataFrame, metric: str, n: int, descending: bool = True,
     return df.orderBy(*order).limit(n)
 
 
-def share_of_group(df: DataFrame, by: list[str] | str, value: str, alias: str = "share",
-                   max_groups: int = 100_000) -> DataFrame:
-    """``value / sum(value)`` within each group of ``by``."""
+def share_of_group(df: DataFrame, by: list[str] | str, value: str, alias: str = "share") -> DataFrame:
+    """``value / sum(value)`` within each group of ``by``. The totals table
+    has one row per group; AQE broadcasts it when its runtime size is small
+    and otherwise joins it by shuffle."""
     by = [by] if isinstance(by, str) else list(by)
     totals = df.groupBy(*by).agg(F.sum(value).alias("_total"))
-    return (df.join(bounded_broadcast(totals, max_groups), on=by, how="inner")
+    return (df.join(totals, on=by, how="inner")
             .withColumn(alias, F.try_divide(F.col(value).cast("double"), F.col("_total")))
             .drop("_total"))

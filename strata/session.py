@@ -49,17 +49,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory named by the cluster.
 
-    Read from the session; set a private one only when it is unset.
+    Read from the session; set a private one only when it is unset (tests,
+    a laptop). Sessions without a SparkContext handle (Spark Connect) use
+    the ``spark.checkpoint.dir`` setting.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+def app_key(spark: SparkSession) -> str:
+    """Identifier of the running application (scopes written layers)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 -- Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -74,4 +91,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "checkpoint_dir", "scratch_path", "local_path", "SCALE_CONF"]
+__all__ = ["build_session", "checkpoint_dir", "scratch_path", "local_path", "app_key", "SCALE_CONF"]

@@ -14,18 +14,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.session import scratch_path
+from strata.session import app_key, scratch_path
+from strata.tables import read_parquet
 
 _WRITTEN: dict[tuple[str, str], str] = {}
 
 
 def materialized(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The table ``build()`` returns, written once per application."""
-    k = (spark.sparkContext.applicationId, key)
+    k = (app_key(spark), key)
     path = _WRITTEN.get(k)
     if path is None:
         name = "".join(ch if ch.isalnum() else "-" for ch in key)[-80:]
         path = scratch_path(spark, name)
         build().write.mode("errorifexists").parquet(path)
         _WRITTEN[k] = path
-    return spark.read.parquet(path)
+    return read_parquet(spark, path)

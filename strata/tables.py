@@ -8,11 +8,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import app_key
+
 TPCH_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_READ: dict[tuple[str, str], DataFrame] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)``, reusing the DataFrame (and its resolved
+    schema and file index) within one application; DataFrames are immutable,
+    so sharing them between plans is safe."""
+    key = (app_key(spark), path)
+    df = _READ.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READ[key] = df
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
