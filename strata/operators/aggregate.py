@@ -7,7 +7,7 @@ side before the shuffle: a hot key costs one partial row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,20 +50,65 @@ def group_metrics(df: DataFrame, by: list[str], metrics: dict[str, Column],
     return df.groupBy(*by).agg(*[e.alias(n) for n, e in metrics.items()])
 
 
+def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = None,
+              alias: str = "quantile") -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas / ``quantile_cont``
+    semantics; NULL and NaN ignored): (by..., q_index, alias).
+
+    Distributed exact selection -- no task ever holds a whole group:
+    1. (group, value, count) frequencies (partial aggregation);
+    2. range-partitioned on (group, value) and checkpointed into the shared
+       checkpoint directory, which pins each row's partition id;
+    3. per (group, partition) totals -> running offsets over a small table;
+       a running count inside each (group, partition) range slice;
+    4. the one or two rows holding the target ranks per quantile are kept,
+       and their values interpolated: ``lo + (hi - lo) * frac``.
+    """
+    by = list(by or [])
+    spark = df.sparkSession
+    v = F.col(col).cast("double")
+    vals = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    freq = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (freq.repartitionByRange(parts, *by, "_v")
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    totals = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"),
+                           F.sum("_pc").over(Window.partitionBy(*by)).alias("_n"))
+    upto = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (ranged.withColumn("_lc", F.sum("_c").over(upto))
+              .join(totals, on=by + ["_pid"])
+              .withColumn("_cum", F.col("_off") + F.col("_lc")))
+    targets = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(q)).alias("q"))
+                                  for i, q in enumerate(qs)]))
+    pos = F.col("t.q") * (F.col("_n") - 1).cast("double")
+    cand = (ranked.select("*", targets.alias("t"))
+            .withColumn("_pos", pos)
+            .withColumn("_r0", F.floor("_pos").cast("bigint"))
+            .withColumn("_r1", F.ceil("_pos").cast("bigint")))
+    start = F.col("_cum") - F.col("_c")
+    has0 = (start <= F.col("_r0")) & (F.col("_r0") < F.col("_cum"))
+    has1 = (start <= F.col("_r1")) & (F.col("_r1") < F.col("_cum"))
+    picked = cand.filter(has0 | has1).groupBy(*by, F.col("t.q_index").alias("q_index")).agg(
+        F.max(F.when(has0, F.col("_v"))).alias("_lo"), F.max(F.when(has1, F.col("_v"))).alias("_hi"),
+        F.max(F.col("_pos") - F.col("_r0")).alias("_frac"))
+    value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
+    return picked.select(*by, "q_index", value.alias(alias))
+
+
 def quantile(df: DataFrame, col: str, q: float, by: list[str] | None = None,
              approx: bool = False, alias: str = "quantile", accuracy: int = 10000) -> DataFrame:
-    """Quantile of ``col`` (NULLs ignored), per group when ``by``.
+    """One quantile of ``col`` per group of ``by`` (one row when no ``by``).
 
-    Exact: linear interpolation (pandas / ``quantile_cont`` semantics),
-    computed from a (value, frequency) pre-aggregate so a hot group holds one
-    entry per distinct value. ``approx=True`` uses a mergeable sketch.
+    Exact by default (see ``quantiles``); ``approx=True`` uses a mergeable
+    sketch with the given accuracy instead.
     """
     by = list(by or [])
-    vals = df.select(*by, col).filter(F.col(col).isNotNull())
     if approx:
+        vals = df.select(*by, col).filter(F.col(col).isNotNull())
         return vals.groupBy(*by).agg(F.percentile_approx(col, q, accuracy).cast("double").alias(alias))
-    freq = vals.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_freq"))
-    return freq.groupBy(*by).agg(F.percentile(F.col(col), F.lit(q), F.col("_freq")).alias(alias))
+    return quantiles(df, col, [q], by=by, alias=alias).drop("q_index")
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:

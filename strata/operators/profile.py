@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
-from strata.operators.aggregate import exact_avg
+from strata.operators.aggregate import exact_avg, quantiles
 
 
 def _is_missing(df: DataFrame, c: str):
@@ -178,10 +178,12 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
             F.approx_count_distinct("value").alias("distinct"),
             F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("qs"))
     else:
-        freq = vals.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("f"))
-        shape = freq.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("distinct"),
-            F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("f")).alias("qs"))
+        distinct = vals.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("f")).groupBy(
+            "column_name").agg(F.count(F.lit(1)).alias("distinct"))
+        qs = quantiles(vals, "value", [0.25, 0.5, 0.75], by=["column_name"], alias="qv")
+        shape = distinct.join(qs.groupBy("column_name").agg(
+            F.array_sort(F.collect_list(F.struct("q_index", "qv"))).alias("_qs")), "column_name", "left").select(
+            "column_name", "distinct", F.transform("_qs", lambda x: x["qv"]).alias("qs"))
     out = moments.join(shape, "column_name", "left").select(
         "column_name", "count", "missing", F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"),
         "mean", "stddev", "min", F.col("qs")[0].alias("q25"), F.col("qs")[1].alias("median"),

@@ -131,3 +131,28 @@ def test_bounded_broadcast_checks_size(spark):
     big = spark.range(1000)
     assert bounded_broadcast(big, 100) is big          # over the bound: left as a shuffle join side
     assert bounded_broadcast(small, 100) is not small  # under it: hinted
+
+
+def test_distributed_quantiles_match_pandas(spark):
+    import pandas as pd
+    from hypothesis import given, settings, strategies as st, HealthCheck
+    from strata.operators.aggregate import quantiles
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                              st.one_of(st.none(), st.integers(-50, 50).map(lambda x: x / 4))),
+                    min_size=1, max_size=60),
+           st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]), min_size=1, max_size=3))
+    def check(rows, qs):
+        df = spark.createDataFrame(rows, "g string, x double").repartition(3)
+        got = {(r.g, r.q_index): r.quantile for r in quantiles(df, "x", qs, by=["g"]).collect()}
+        pdf = pd.DataFrame(rows, columns=["g", "x"]).dropna()
+        want = {}
+        for g, part in pdf.groupby("g"):
+            for i, q in enumerate(qs):
+                want[(g, i)] = float(part["x"].quantile(q))
+        assert got.keys() == want.keys()
+        for k in want:
+            assert abs(got[k] - want[k]) <= 1e-9 * max(1.0, abs(want[k]))
+
+    check()
