@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import checkpoint_dir
+
 
 # Scale of the exact sums: 8 decimals cover money (2) times a 4-decimal rate.
 EXACT_SCALE = 8
@@ -70,6 +72,7 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
     vals = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     freq = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(spark)   # the cluster's shared directory (set only if unset)
     ranged = (freq.repartitionByRange(parts, *by, "_v")
               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     totals = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
