@@ -222,8 +222,9 @@ def q_city_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("price_histogram", sql=gold_sql(f"""
-SELECT bin, {HIST_LO} + bin * {(HIST_HI - HIST_LO) / HIST_BINS} AS bin_start,
-       {HIST_LO} + (bin + 1) * {(HIST_HI - HIST_LO) / HIST_BINS} AS bin_end, COUNT(*) AS count
+SELECT bin, CAST({HIST_LO} AS DOUBLE) + bin * CAST({(HIST_HI - HIST_LO) / HIST_BINS} AS DOUBLE) AS bin_start,
+       CAST({HIST_LO} AS DOUBLE) + (bin + 1) * CAST({(HIST_HI - HIST_LO) / HIST_BINS} AS DOUBLE) AS bin_end,
+       COUNT(*) AS count
 FROM (SELECT least(CAST(floor((price - {HIST_LO}) / {(HIST_HI - HIST_LO) / HIST_BINS}) AS INTEGER), {HIST_BINS - 1}) AS bin
       FROM london WHERE price >= {HIST_LO} AND price < {HIST_HI}) b
 GROUP BY bin""", _LONDON))
