@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from strata.operators.quality import quality_log
 from strata.plans.registry import query
 from strata.session import scratch_path
-from strata.sources import sinks
+from strata.sources import schemas, sinks
+from strata.sources.contracts import conform
+from strata.plans.testviews import flight_view, with_views
 from strata.sources.csv import read_csv, read_yearly_csv
 from strata.streaming.ingest import csv_stream, ingest_available
 from strata.tables import TPCH_TABLES, table
@@ -92,3 +94,19 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         ingest_available(csv_stream(spark, landing, orders.schema), target, ckpt)
     return spark.read.schema(orders.schema).parquet(target)
+
+
+@query("conform_arrival_contract", sql=with_views(
+    "SELECT " + ", ".join(
+        f"TRY_CAST(CAST({f.name} AS VARCHAR) AS {'INTEGER' if f.dataType.simpleString() == 'int' else 'DOUBLE' if f.dataType.simpleString() == 'double' else 'VARCHAR'}) AS {f.name}"
+        for f in schemas.contract("apt_dly").fields)
+    + ", CAST(NULL AS INTEGER) AS source_year, "
+      "CAST(NULL AS VARCHAR) AS dataset_group FROM arrival_like", "arrival_like"))
+def q_conform_arrival_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrival file as text (every field a string, as read from CSV)
+    conformed to the raw arrival contract: types restored by ``try_cast``,
+    metadata fields present (NULL until stamped)."""
+    raw = flight_view(spark, sf_dir, "arrival_like")
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    # the load timestamp is left out of the compared output (time-dependent type/value)
+    return conform(text, schemas.raw_contract("apt_dly")).drop("processing_datetime")

@@ -136,3 +136,18 @@ def test_stream_ingest_exactly_once(spark, tmp_dir):
     ingest_available(csv_stream(spark, landing, contract, stamp_year=True), target, ckpt)
     got = sorted((r.k, r.source_year) for r in spark.read.parquet(target).collect())
     assert got == [(1, 2019), (2, 2019), (3, 2020)]
+
+
+def test_reference_contracts(tmp_dir):
+    from strata.sources import schemas
+    assert len(schemas.contract("apt_dly").fields) == 27
+    assert len(schemas.contract("atc_pre_dep").fields) == 12
+    assert len(schemas.contract("ert_dly").fields) == 26
+    assert len(schemas.contract("listing").fields) == 74
+    assert len(schemas.contract("listing_two_city").fields) == 78
+    assert len(schemas.contract("calendar").fields) == 6
+    assert len(schemas.contract("agg_listing").fields) == 17
+    raw = schemas.raw_contract("apt_dly")
+    assert raw.fieldNames()[-3:] == ["processing_datetime", "source_year", "dataset_group"]
+    paths = schemas.save_all(tmp_dir)
+    assert load_contract(paths[0]) == schemas.contract("apt_dly")
