@@ -52,16 +52,19 @@ def parse_flag(c, null_as_false: bool = False, true_value: str = "t") -> Column:
     return F.coalesce(eq, F.lit(False)) if null_as_false else eq
 
 
-def parse_list(c, trim_items: bool = True) -> Column:
+def parse_list(c, trim_items: bool = True, empty_as_empty: bool = True) -> Column:
     """List text such as ``["Wifi", "Hot tub"]`` -> array<string>.
 
     Brackets, backslashes and double quotes are removed, then the text is
     split on commas. ``trim_items=True`` strips the space that follows each
-    comma; ``False`` keeps it. ``[]`` gives an empty array; NULL stays NULL.
+    comma; ``False`` keeps it. ``[]`` gives an empty array, or -- with
+    ``empty_as_empty=False``, as a plain split does -- one empty item.
+    NULL stays NULL.
     """
     stripped = F.translate(_col(c), '][\\"', "")
     parts = F.split(stripped, ",")
-    parts = F.when(stripped == "", F.array().cast("array<string>")).otherwise(parts)
+    if empty_as_empty:
+        parts = F.when(stripped == "", F.array().cast("array<string>")).otherwise(parts)
     return F.transform(parts, lambda x: F.trim(x)) if trim_items else parts
 
 

@@ -71,9 +71,11 @@ def q_parse_list(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.size("items").alias("n_items"), F.array_join("items", "|").alias("items_joined"))
 
 
-def amenity_counts(df: DataFrame, col: str = "amenities", trim_items: bool = True) -> DataFrame:
-    """Tally of list items, lower-cased (explode + partial aggregation)."""
-    items = df.select(F.explode(parse_list(col, trim_items)).alias("item"))
+def amenity_counts(df: DataFrame, col: str = "amenities", trim_items: bool = True,
+                   empty_as_empty: bool = True) -> DataFrame:
+    """Tally of list items, lower-cased (explode + partial aggregation).
+    ``trim_items=False, empty_as_empty=False`` reproduces a plain split."""
+    items = df.select(F.explode(parse_list(col, trim_items, empty_as_empty)).alias("item"))
     return items.groupBy(F.lower("item").alias("item")).agg(F.count(F.lit(1)).alias("count"))
 
 

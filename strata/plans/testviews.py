@@ -140,7 +140,7 @@ def _flight_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flight_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A raw flight table; the three share one written daily aggregate."""
     base = materialized(spark, f"raw-flights:{sf_dir}", lambda: _flight_base(spark, sf_dir))
-    return base.select(*[F.expr(e).alias(n) for n, e in FLIGHT_VIEWS[name]])
+    return base.selectExpr(*[f"{e} AS {n}" for n, e in FLIGHT_VIEWS[name]])
 
 
 def flight_view_sql(name: str) -> str:

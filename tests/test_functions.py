@@ -42,6 +42,8 @@ def test_parse_list(spark):
     assert _one(spark, vals, parse_list) == [["Wifi", "Hot tub"], [], ["a", "b"], None]
     # trim_items=False reproduces the reference's leading spaces
     assert _one(spark, vals[:1], lambda c: parse_list(c, trim_items=False)) == [["Wifi", " Hot tub"]]
+    # a plain split turns "[]" into one empty item
+    assert _one(spark, ["[]"], lambda c: parse_list(c, trim_items=False, empty_as_empty=False)) == [[""]]
 
 
 def test_valid_email(spark):
