@@ -25,7 +25,11 @@ def read_csv(spark: SparkSession, paths: str | list[str], contract: StructType |
              drop_first: bool = False, null_value: str | None = None,
              repartition_to: int | None = None) -> DataFrame:
     """Read CSV files (header names kept, every field as text), optionally
-    drop the first column (a row index), then conform to ``contract``."""
+    drop the first column (a row index), then conform to ``contract``.
+
+    ``multi_line=True`` (the default) is needed for files whose quoted fields
+    hold line breaks (listing descriptions); it parses each file in one task,
+    so turn it off for files without them to let large files split."""
     reader = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
               .option("escape", quote).option("multiLine", multi_line).option("inferSchema", False)
               .option("mode", "PERMISSIVE"))
@@ -51,10 +55,15 @@ def with_source_year(df: DataFrame, col: str = "source_year", pattern: str = YEA
 
 def read_yearly_csv(spark: SparkSession, paths: list[str], contract: StructType | None = None,
                     dataset_group: str | None = None, pattern: str = YEAR_PATTERN,
-                    source: str = "file_name", **kwargs) -> DataFrame:
+                    source: str = "file_name", multi_line: bool = False, **kwargs) -> DataFrame:
     """All yearly files in ONE read (not a loop of loads), each row stamped
-    with ``source_year`` (from the file name or path) and ``dataset_group``."""
-    raw = with_source_year(read_csv(spark, paths, None, **kwargs), "source_year", pattern, source)
+    with ``source_year`` (from the file name or path) and ``dataset_group``.
+
+    These files have no line breaks inside fields, so ``multi_line`` is off
+    by default: plain and bz2 files then split into many tasks (a multi-line
+    read parses each file in a single task)."""
+    raw = with_source_year(read_csv(spark, paths, None, multi_line=multi_line, **kwargs),
+                           "source_year", pattern, source)
     if contract is not None:
         year_field = [f for f in raw.schema.fields if f.name == "source_year"]
         raw = conform(raw, StructType(list(contract.fields) + year_field))

@@ -151,3 +151,11 @@ def test_reference_contracts(tmp_dir):
     assert raw.fieldNames()[-3:] == ["processing_datetime", "source_year", "dataset_group"]
     paths = schemas.save_all(tmp_dir)
     assert load_contract(paths[0]) == schemas.contract("apt_dly")
+
+
+def test_suggest_conf_scales_with_input():
+    from strata.session import suggest_conf
+    small = suggest_conf(10 << 20, 8)
+    big = suggest_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
