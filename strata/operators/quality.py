@@ -122,3 +122,21 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: list[str], parent
     child_keys = child.filter(present).groupBy(*child_key).agg(F.count(F.lit(1)).alias("n_rows"))
     parent_keys = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_key, child_key)]).distinct()
     return child_keys.join(parent_keys, on=child_key, how="left_anti")
+
+
+def append_quality_log(log: DataFrame, target: str) -> None:
+    """Append one run's log rows to the monitoring table (one write per run)."""
+    from strata.sources.sinks import append
+    append(log, target)
+
+
+def read_quality_log(spark, target: str) -> DataFrame:
+    """The monitoring table, newest run first."""
+    from strata.sources.sinks import read_table
+    return read_table(spark, target).orderBy(F.desc("load_time"), "table_name")
+
+
+def write_freshness(freshness: DataFrame, target: str) -> None:
+    """Replace the freshness table with the latest check (CREATE OR REPLACE)."""
+    from strata.sources.sinks import ctas
+    ctas(freshness, target, if_exists="replace")

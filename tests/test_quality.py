@@ -60,3 +60,22 @@ def test_freshness(spark):
     df = spark.createDataFrame([("2024-01-02",), ("2024-03-01",)], "d string").select(F.to_date("d").alias("d"))
     r = data_freshness(df, "d", "t").first()
     assert str(r.latest_date) == "2024-03-01" and r.days_stale > 0 and r.checked_at is not None
+
+
+def test_quality_log_append_and_newest_first(spark, tmp_dir):
+    import os
+    import time
+    from strata.operators.quality import append_quality_log, read_quality_log, write_freshness
+    src = _df(spark, [(1, "a"), (2, "b")])
+    target = os.path.join(tmp_dir, "dq_log")
+    append_quality_log(quality_log({"t1": (src, src)}), target)
+    time.sleep(1.1)
+    append_quality_log(quality_log({"t1": (src, src.filter("k = 1"))}), target)
+    rows = read_quality_log(spark, target).collect()
+    assert len(rows) == 2 and rows[0].load_time > rows[1].load_time
+    assert rows[0].row_count_status == "MISMATCH" and rows[1].row_count_status == "OK"
+    fresh = os.path.join(tmp_dir, "freshness")
+    d = spark.createDataFrame([("2024-01-02",)], "d string").select(F.to_date("d").alias("d"))
+    for _ in range(2):
+        write_freshness(data_freshness(d, "d", "t"), fresh)
+    assert spark.read.parquet(fresh).count() == 1
