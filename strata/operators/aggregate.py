@@ -109,8 +109,9 @@ def quantile(df: DataFrame, col: str, q: float, by: list[str] | None = None,
     """
     by = list(by or [])
     if approx:
-        vals = df.select(*by, col).filter(F.col(col).isNotNull())
-        return vals.groupBy(*by).agg(F.percentile_approx(col, q, accuracy).cast("double").alias(alias))
+        vals = df.select(*by, F.col(col).cast("double").alias("_v"))
+        vals = vals.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        return vals.groupBy(*by).agg(F.percentile_approx("_v", q, accuracy).alias(alias))
     return quantiles(df, col, [q], by=by, alias=alias).drop("q_index")
 
 

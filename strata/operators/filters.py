@@ -53,10 +53,9 @@ def quantile_trim(df: DataFrame, col: str, q: float = 0.99, by: list[str] | None
                   approx: bool = False) -> DataFrame:
     """Keep rows with ``col <= quantile(col, q)`` (per group when ``by``).
 
-    The quantile is exact with linear interpolation; it is computed on a
-    (value, count) pre-aggregate, so its memory is bounded by the number of
-    distinct values, not rows. A global cut is a scalar subquery; per-group
-    cuts are joined back.
+    The quantile is exact with linear interpolation, from the distributed
+    selection in ``aggregate.quantiles`` (no task holds a whole group). A
+    global cut is a scalar subquery; per-group cuts are joined back.
     """
     if not by:
         # Scalar subquery: evaluated once, then a plain filter on each row.

@@ -1,9 +1,11 @@
 """Missing-data and distribution profiling.
 
-Every profile is one scan: the per-column indicators are summed in a single
-aggregate (and, for the pairwise measures, every pairwise product too), then
-the small one-row result is reshaped with ``stack``. Nothing is collected to
-the driver; NaN in floating columns counts as missing.
+Missing-data statistics come from one scan that counts rows per missing
+pattern (an array of booleans, one per column); per-column counts and the
+pairwise co-missing sums are then computed over that small pattern table
+(pairs as exploded index pairs, so the plan size does not grow with the
+number of columns). Nothing is collected to the driver; NaN in floating
+columns counts as missing.
 """
 
 from __future__ import annotations
@@ -59,6 +61,7 @@ def _names(cols: list[str]):
     return F.array(*[F.lit(c) for c in cols])
 
 
+
 def _long_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, missing_count, n_rows) from the pattern counts."""
     pats = missing_patterns(df, cols)
@@ -158,10 +161,10 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
 
     The columns are stacked into (column_name, value) rows in the scan's
     stage. Moments come from one grouped aggregate (mean from an exact
-    decimal sum); distinct counts and exact quartiles (linear
-    interpolation) come from a (column_name, value, frequency) table, so a
-    column's final step holds one entry per distinct value, not per row.
-    ``approx=True`` uses mergeable sketches instead.
+    decimal sum); distinct counts from a (column_name, value) aggregate; the
+    exact quartiles (linear interpolation) from the distributed selection
+    in ``quantiles``, so no task holds a whole column. ``approx=True`` uses
+    mergeable sketches instead.
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     args = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
