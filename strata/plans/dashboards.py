@@ -96,12 +96,12 @@ def review_scatter(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED,
 
 # ------------------------------------------------------------------ SQL bits
 
-_CITY_METRICS_SQL = """SELECT area AS city, XAVG(price) AS avg_price, AVG(estimated_occupancy_l365d) AS avg_occupancy,
-       COUNT(host_id) AS listing_count, XAVG(review_scores_rating) AS avg_rating
+_CITY_METRICS_SQL = """SELECT area AS city, (CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)) AS avg_price, AVG(estimated_occupancy_l365d) AS avg_occupancy,
+       COUNT(host_id) AS listing_count, (CAST(SUM(CAST(review_scores_rating AS DECIMAL(38,8))) AS DOUBLE) / COUNT(review_scores_rating)) AS avg_rating
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""
-_NEIGH_SQL = """SELECT area, neighbourhood_cleansed, XAVG(price) AS avg_price,
+_NEIGH_SQL = """SELECT area, neighbourhood_cleansed, (CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)) AS avg_price,
        AVG(estimated_occupancy_l365d) AS avg_occupancy, COUNT(host_id) AS listing_count,
-       XAVG(review_scores_rating) AS avg_rating
+       (CAST(SUM(CAST(review_scores_rating AS DECIMAL(38,8))) AS DOUBLE) / COUNT(review_scores_rating)) AS avg_rating
 FROM gold_usd WHERE area IS NOT NULL AND neighbourhood_cleansed IS NOT NULL
 GROUP BY area, neighbourhood_cleansed"""
 _LONDON = "london AS (SELECT * FROM gold_usd WHERE area = 'London')"
@@ -192,8 +192,8 @@ def q_superhost_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("revenue_estimate", sql=gold_sql("""
-SELECT area AS city, XAVG(price) AS avg_price, AVG(estimated_occupancy_l365d) AS avg_occupancy,
-       XAVG(price) * (AVG(estimated_occupancy_l365d) / 100) * 365 AS estimated_annual_revenue,
+SELECT area AS city, (CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)) AS avg_price, AVG(estimated_occupancy_l365d) AS avg_occupancy,
+       (CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)) * (AVG(estimated_occupancy_l365d) / 100) * 365 AS estimated_annual_revenue,
        AVG(estimated_occupancy_l365d) / 365 AS occupancy_rate
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""))
 def q_revenue_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +204,7 @@ def q_revenue_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("city_overview", sql=gold_sql("""
 SELECT area, COUNT(*) AS total_listings, COUNT(DISTINCT host_id) AS unique_hosts,
-       round_even(XAVG(price), 2) AS avg_price, round_even(XAVG(review_scores_rating), 2) AS avg_review_score,
+       round_even((CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)), 2) AS avg_price, round_even((CAST(SUM(CAST(review_scores_rating AS DECIMAL(38,8))) AS DOUBLE) / COUNT(review_scores_rating)), 2) AS avg_review_score,
        round_even(AVG(estimated_occupancy_l365d) * 100, 2) AS occupancy_rate_est
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""))
 def q_city_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,8 +212,8 @@ def q_city_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("city_summary", sql=gold_sql("""
-SELECT area, COUNT(*) AS total_listings, round_even(XAVG(price), 2) AS avg_price,
-       round_even(XAVG(review_scores_rating), 2) AS avg_rating,
+SELECT area, COUNT(*) AS total_listings, round_even((CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)), 2) AS avg_price,
+       round_even((CAST(SUM(CAST(review_scores_rating AS DECIMAL(38,8))) AS DOUBLE) / COUNT(review_scores_rating)), 2) AS avg_rating,
        round_even(AVG(estimated_occupancy_l365d), 2) AS occupancy_rate,
        round_even(AVG(CAST(host_is_superhost AS DOUBLE)) * 100, 2) AS superhost_share
 FROM gold_usd WHERE area IS NOT NULL GROUP BY area"""))
@@ -233,7 +233,7 @@ def q_price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("price_by_availability", sql=gold_sql("""
-SELECT availability_365, XAVG(price) AS avg_price FROM london
+SELECT availability_365, (CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)) AS avg_price FROM london
 WHERE availability_365 IS NOT NULL GROUP BY availability_365""", _LONDON))
 def q_price_by_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = group_metrics(city_df(spark, sf_dir), ["availability_365"], {"avg_price": exact_avg("price")})
@@ -251,7 +251,7 @@ def _top_neigh(metric_col: str, alias: str):
 def _top_neigh_sql(metric_col: str, alias: str) -> str:
     return gold_sql(f"""
 SELECT neighbourhood_cleansed, {alias} AS {alias} FROM (
-  SELECT neighbourhood_cleansed, XAVG({metric_col}) AS {alias} FROM london
+  SELECT neighbourhood_cleansed, (CAST(SUM(CAST({metric_col} AS DECIMAL(38,8))) AS DOUBLE) / COUNT({metric_col})) AS {alias} FROM london
   WHERE neighbourhood_cleansed IS NOT NULL GROUP BY neighbourhood_cleansed) g
 ORDER BY {alias} DESC NULLS LAST, neighbourhood_cleansed LIMIT 10""", _LONDON)
 
@@ -262,8 +262,8 @@ query("top_neighbourhood_occupancy", sql=_top_neigh_sql("estimated_occupancy_l36
 
 
 @query("neighbourhood_map_stats", sql=gold_sql("""
-SELECT area, neighbourhood_cleansed, XAVG(latitude) AS latitude, XAVG(longitude) AS longitude,
-       XAVG(price) AS price, AVG(estimated_occupancy_l365d) AS estimated_occupancy_l365d
+SELECT area, neighbourhood_cleansed, (CAST(SUM(CAST(latitude AS DECIMAL(38,8))) AS DOUBLE) / COUNT(latitude)) AS latitude, (CAST(SUM(CAST(longitude AS DECIMAL(38,8))) AS DOUBLE) / COUNT(longitude)) AS longitude,
+       (CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)) AS price, AVG(estimated_occupancy_l365d) AS estimated_occupancy_l365d
 FROM gold_usd WHERE area IS NOT NULL AND neighbourhood_cleansed IS NOT NULL
 GROUP BY area, neighbourhood_cleansed"""))
 def q_neighbourhood_map_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +274,7 @@ def q_neighbourhood_map_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("room_type_summary", sql=gold_sql("""
-SELECT room_type, COUNT(price) AS count, XAVG(price) AS mean FROM london
+SELECT room_type, COUNT(price) AS count, (CAST(SUM(CAST(price AS DECIMAL(38,8))) AS DOUBLE) / COUNT(price)) AS mean FROM london
 WHERE room_type IS NOT NULL GROUP BY room_type""", _LONDON))
 def q_room_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = group_metrics(city_df(spark, sf_dir), ["room_type"], {"count": F.count("price"), "mean": exact_avg("price")})

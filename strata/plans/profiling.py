@@ -101,7 +101,7 @@ def q_missing_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("mean_by_category", sql=cleansed_sql("""
-SELECT bedrooms, XAVG(reviews_per_month) AS avg_reviews_per_month
+SELECT bedrooms, (CAST(SUM(CAST(reviews_per_month AS DECIMAL(38,8))) AS DOUBLE) / COUNT(reviews_per_month)) AS avg_reviews_per_month
 FROM cleansed WHERE bedrooms IS NOT NULL GROUP BY bedrooms"""))
 def q_mean_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_by(cleansed_listings(spark, sf_dir), "reviews_per_month", "bedrooms")
@@ -109,7 +109,7 @@ def q_mean_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("profile_numeric", sql=cleansed_sql("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {_nulls(c)} AS missing, COUNT(DISTINCT {c}) AS distinct, "
-    f"XAVG({c}) AS mean, round(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+    f"(CAST(SUM(CAST({c} AS DECIMAL(38,8))) AS DOUBLE) / COUNT({c})) AS mean, round(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
     f"round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS median, "
     f"round(quantile_cont({c}, 0.75), 6) AS q75, CAST(MAX({c}) AS DOUBLE) AS max FROM cleansed"
     for c in NUMERIC_COLS)))
