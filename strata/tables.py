@@ -19,7 +19,9 @@ _READ: dict[tuple[str, str], DataFrame] = {}
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """``spark.read.parquet(path)``, reusing the DataFrame (and its resolved
     schema and file index) within one application; DataFrames are immutable,
-    so sharing them between plans is safe."""
+    so sharing them between plans is safe. Only for inputs that do not change
+    during the application (source tables, write-once layers): the reused
+    file index would not see files written to the path later."""
     key = (app_key(spark), path)
     df = _READ.get(key)
     if df is None:
