@@ -68,9 +68,20 @@ def create_if_absent(spark: SparkSession, target: str, schema: StructType,
         _save(spark.createDataFrame([], schema), target, "ignore", partition_by)
 
 
-def ctas(df: DataFrame, target: str, if_exists: str = "error", partition_by=None) -> None:
+def ctas(df: DataFrame, target: str, if_exists: str = "error", partition_by=None,
+         bucket_by: tuple[int, list[str]] | None = None) -> None:
+    """Copy ``df`` into a new table. ``bucket_by=(n, cols)`` (catalog tables)
+    hash-buckets the copy so later joins and aggregations on ``cols`` between
+    tables bucketed the same way need no shuffle."""
     mode = {"error": "errorifexists", "ignore": "ignore", "replace": "overwrite"}[if_exists]
-    _save(df, target, mode, partition_by)
+    if bucket_by is None:
+        _save(df, target, mode, partition_by)
+        return
+    if target.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
+        raise ValueError("bucketing needs a catalog table name, not a path")
+    n, cols = bucket_by
+    w = _writer(df, mode, partition_by, "parquet").bucketBy(n, *cols).sortBy(*cols)
+    w.saveAsTable(target)
 
 
 def append(df: DataFrame, target: str, partition_by=None) -> None:

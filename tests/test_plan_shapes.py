@@ -53,3 +53,22 @@ def test_global_quantile_trim_is_a_scalar_subquery(spark):
 def test_dimension_broadcast_only_under_the_bound(spark):
     p = plan(tpch.q_top_nation_by_orders(spark, SF_SMALL))
     assert "BroadcastExchange" in p               # nation: 25 rows, proven small
+
+
+def test_bucketed_copies_join_without_a_shuffle(spark):
+    from strata.sources import sinks
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = table(spark, SF_SMALL, "orders")
+        li = table(spark, SF_SMALL, "lineitem")
+        sinks.ctas(orders, "silver_orders_b", if_exists="replace", bucket_by=(8, ["o_orderkey"]))
+        sinks.ctas(li, "silver_lineitem_b", if_exists="replace", bucket_by=(8, ["l_orderkey"]))
+        o, l = spark.table("silver_orders_b"), spark.table("silver_lineitem_b")
+        joined = l.join(o, l.l_orderkey == o.o_orderkey).groupBy("o_custkey").count()
+        p = plan(joined)
+        join_at = p.index("SortMergeJoin")
+        assert "Exchange" not in p[join_at:]          # both sides read bucket-aligned
+        assert joined.count() == orders.join(li, orders.o_orderkey == li.l_orderkey) \
+            .select("o_custkey").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
