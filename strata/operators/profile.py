@@ -10,6 +10,7 @@ columns counts as missing.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -48,13 +49,29 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(*[F.sum(_indicator(df, c)).cast("bigint").alias(c) for c in cols])
 
 
+_BITS = 62   # columns per bitmask word (stays clear of the sign bit)
+
+
 def missing_patterns(df: DataFrame, cols: list[str]) -> DataFrame:
     """(pattern, n): how many rows share each missing pattern. ``pattern`` is
-    an array of booleans (one per column). Partial aggregation collapses the
-    scan to one row per distinct pattern per task, so every later statistic
-    (counts, pairwise co-missing sums) runs over this small table."""
-    return (df.select(F.array(*[_is_missing(df, c) for c in cols]).alias("pattern"))
-            .groupBy("pattern").agg(F.count(F.lit(1)).alias("n")))
+    an array of booleans (one per column).
+
+    On the scan side each row's pattern is a bigint bitmask per 62 columns --
+    plain arithmetic inside whole-stage codegen and a fixed-width grouping
+    key; partial aggregation collapses the scan to one row per distinct
+    pattern per task. The boolean array is built only on that small table.
+    """
+    words = []
+    for w in range(0, len(cols), _BITS):
+        chunk = cols[w:w + _BITS]
+        bits = [F.when(_is_missing(df, c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                for i, c in enumerate(chunk)]
+        words.append(reduce(lambda a, b: a + b, bits).alias(f"_w{w // _BITS}"))
+    counts = df.select(*words).groupBy(*[f"_w{i}" for i in range(len(words))]).agg(
+        F.count(F.lit(1)).alias("n"))
+    flags = [F.shiftright(F.col(f"_w{j // _BITS}"), j % _BITS).bitwiseAND(F.lit(1)) == 1
+             for j in range(len(cols))]
+    return counts.select(F.array(*flags).alias("pattern"), "n")
 
 
 def _names(cols: list[str]):

@@ -156,3 +156,15 @@ def test_distributed_quantiles_match_pandas(spark):
             assert abs(got[k] - want[k]) <= 1e-9 * max(1.0, abs(want[k]))
 
     check()
+
+
+def test_missing_patterns_wider_than_one_bitmask_word(spark):
+    k = 70
+    rows = [tuple(None if (r + c) % (c % 5 + 2) == 0 else r for c in range(k)) for r in range(40)]
+    schema = ", ".join(f"c{c} int" for c in range(k))
+    df = spark.createDataFrame(rows, schema)
+    got = {r.column_name: r.missing_count for r in missing_percent(df).collect()}
+    want = {f"c{c}": sum(1 for row in rows if row[c] is None) for c in range(k)}
+    assert got == want
+    dist = {(r.column_a, r.column_b): r.distance for r in missing_distance(df, ["c1", "c65"]).collect()}
+    assert dist[("c1", "c65")] == sum(1 for row in rows if (row[1] is None) != (row[65] is None))
