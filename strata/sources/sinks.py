@@ -124,3 +124,13 @@ def list_files(path: str) -> list[str]:
     for d, _, files in os.walk(root):
         out += [os.path.join(d, f) for f in files if not f.startswith((".", "_"))]
     return sorted(out)
+
+
+def drop_tables(spark: SparkSession, database: str, prefixes: tuple[str, ...]) -> list[str]:
+    """Drop the catalog tables of ``database`` whose names start with one of
+    ``prefixes`` (e.g. rebuild the silver/gold layers from scratch).
+    Returns the dropped names."""
+    names = [t.name for t in spark.catalog.listTables(database) if t.name.startswith(prefixes)]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    return names

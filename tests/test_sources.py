@@ -159,3 +159,12 @@ def test_suggest_conf_scales_with_input():
     big = suggest_conf(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+
+def test_drop_tables_by_prefix(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS layers_t")
+    for name in ("silver_a", "gold_b", "raw_c"):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS layers_t.{name} (x INT) USING parquet")
+    dropped = sinks.drop_tables(spark, "layers_t", ("silver_", "gold_"))
+    assert sorted(dropped) == ["gold_b", "silver_a"]
+    assert [t.name for t in spark.catalog.listTables("layers_t")] == ["raw_c"]
