@@ -11,7 +11,6 @@ columns counts as missing.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
