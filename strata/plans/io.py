@@ -16,6 +16,7 @@ from strata.plans.registry import query
 from strata.session import scratch_path
 from strata.sources import schemas, sinks
 from strata.sources.contracts import conform
+from strata.plans.flights import _arr as flights_sql_arrival, silver_airport_arrival_daily
 from strata.plans.testviews import flight_view, with_views
 from strata.sources.csv import read_csv, read_yearly_csv
 from strata.streaming.ingest import csv_stream, ingest_available
@@ -110,3 +111,18 @@ def q_conform_arrival_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
     # the load timestamp is left out of the compared output (time-dependent type/value)
     return conform(text, schemas.raw_contract("apt_dly")).drop("processing_datetime")
+
+
+@query("stream_silver_arrival", sql=flights_sql_arrival("SELECT * FROM silver_arrival"))
+def q_stream_silver_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrival files land as CSV text; a checkpointed stream conforms
+    them to the arrival contract and applies the (stateless) silver
+    transformation on the way into the silver table -- the same function as
+    the batch silver dataset, run incrementally and exactly once."""
+    raw = flight_view(spark, sf_dir, "arrival_like")
+    landing = scratch_path(spark, "landing-apt-dly")
+    raw.write.option("header", True).csv(landing)
+    target, ckpt = scratch_path(spark, "silver-apt-dly"), scratch_path(spark, "silver-apt-dly-ckpt")
+    stream = csv_stream(spark, landing, schemas.contract("apt_dly"))
+    ingest_available(silver_airport_arrival_daily(stream), target, ckpt)
+    return spark.read.parquet(target)
