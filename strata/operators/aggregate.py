@@ -53,7 +53,7 @@ def group_metrics(df: DataFrame, by: list[str], metrics: dict[str, Column],
 
 
 def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = None,
-              alias: str = "quantile") -> DataFrame:
+              alias: str = "quantile", with_distinct: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``
     semantics; NULL and NaN ignored): (by..., q_index, alias).
 
@@ -65,6 +65,8 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
        a running count inside each (group, partition) range slice;
     4. the one or two rows holding the target ranks per quantile are kept,
        and their values interpolated: ``lo + (hi - lo) * frac``.
+    ``with_distinct`` adds the number of distinct values per group (read off
+    the frequency table for free).
     """
     by = list(by or [])
     spark = df.sparkSession
@@ -75,10 +77,11 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
     checkpoint_dir(spark)   # the cluster's shared directory (set only if unset)
     ranged = (freq.repartitionByRange(parts, *by, "_v")
               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    totals = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
+    totals = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"), F.count(F.lit(1)).alias("_dc"))
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     totals = totals.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"),
-                           F.sum("_pc").over(Window.partitionBy(*by)).alias("_n"))
+                           F.sum("_pc").over(whole).alias("_n"), F.sum("_dc").over(whole).alias("_d"))
     upto = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (ranged.withColumn("_lc", F.sum("_c").over(upto))
               .join(totals, on=by + ["_pid"])
@@ -95,9 +98,10 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
     has1 = (start <= F.col("_r1")) & (F.col("_r1") < F.col("_cum"))
     picked = cand.filter(has0 | has1).groupBy(*by, F.col("t.q_index").alias("q_index")).agg(
         F.max(F.when(has0, F.col("_v"))).alias("_lo"), F.max(F.when(has1, F.col("_v"))).alias("_hi"),
-        F.max(F.col("_pos") - F.col("_r0")).alias("_frac"))
+        F.max(F.col("_pos") - F.col("_r0")).alias("_frac"), F.max("_d").alias("_d"))
     value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
-    return picked.select(*by, "q_index", value.alias(alias))
+    extra = [F.col("_d").cast("bigint").alias("distinct")] if with_distinct else []
+    return picked.select(*by, "q_index", value.alias(alias), *extra)
 
 
 def quantile(df: DataFrame, col: str, q: float, by: list[str] | None = None,

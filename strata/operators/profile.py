@@ -177,9 +177,9 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
 
     The columns are stacked into (column_name, value) rows in the scan's
     stage. Moments come from one grouped aggregate (mean from an exact
-    decimal sum); distinct counts from a (column_name, value) aggregate; the
-    exact quartiles (linear interpolation) from the distributed selection
-    in ``quantiles``, so no task holds a whole column. ``approx=True`` uses
+    decimal sum); the exact quartiles (linear interpolation) and distinct
+    counts from the distributed selection in ``quantiles``, so no task holds
+    a whole column. ``approx=True`` uses
     mergeable sketches instead.
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
@@ -197,11 +197,10 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
             F.approx_count_distinct("value").alias("distinct"),
             F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("qs"))
     else:
-        distinct = vals.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("f")).groupBy(
-            "column_name").agg(F.count(F.lit(1)).alias("distinct"))
-        qs = quantiles(vals, "value", [0.25, 0.5, 0.75], by=["column_name"], alias="qv")
-        shape = distinct.join(qs.groupBy("column_name").agg(
-            F.array_sort(F.collect_list(F.struct("q_index", "qv"))).alias("_qs")), "column_name", "left").select(
+        qs = quantiles(vals, "value", [0.25, 0.5, 0.75], by=["column_name"], alias="qv", with_distinct=True)
+        shape = qs.groupBy("column_name").agg(
+            F.max("distinct").alias("distinct"),
+            F.array_sort(F.collect_list(F.struct("q_index", "qv"))).alias("_qs")).select(
             "column_name", "distinct", F.transform("_qs", lambda x: x["qv"]).alias("qs"))
     out = moments.join(shape, "column_name", "left").select(
         "column_name", "count", "missing", F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"),
