@@ -79,9 +79,13 @@ def _names(cols: list[str]):
 
 
 def _long_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column_name, missing_count, n_rows) from the pattern counts."""
+    """(column_name, missing_count, n_rows) from the pattern counts.
+
+    (``posexplode_outer``: a plain ``posexplode`` makes Catalyst infer a
+    non-empty-array filter and push it below the aggregation, re-computing
+    the pattern for every scanned row; the arrays are never empty anyway.)"""
     pats = missing_patterns(df, cols)
-    per_col = (pats.select("n", F.posexplode("pattern").alias("i", "miss"))
+    per_col = (pats.select("n", F.posexplode_outer("pattern").alias("i", "miss"))
                .groupBy("i").agg(F.sum(F.when(F.col("miss"), F.col("n")).otherwise(0)).alias("missing_count"),
                                  F.sum("n").alias("n_rows")))
     return per_col.select(F.element_at(_names(cols), F.col("i") + 1).alias("column_name"),
@@ -124,8 +128,8 @@ def _pair_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     The pattern table is exploded into its index pairs -- the plan has the
     same size for 3 or 300 columns."""
     pats = missing_patterns(df, cols)
-    one = pats.select("n", "pattern", F.posexplode("pattern").alias("i", "a"))
-    two = one.select("n", "i", "a", F.posexplode("pattern").alias("j", "b")).filter(F.col("i") < F.col("j"))
+    one = pats.select("n", "pattern", F.posexplode_outer("pattern").alias("i", "a"))
+    two = one.select("n", "i", "a", F.posexplode_outer("pattern").alias("j", "b")).filter(F.col("i") < F.col("j"))
     n = F.col("n")
     sums = two.groupBy("i", "j").agg(
         F.sum(n).cast("double").alias("n"),

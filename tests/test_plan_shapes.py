@@ -72,3 +72,10 @@ def test_bucketed_copies_join_without_a_shuffle(spark):
             .select("o_custkey").distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+
+
+def test_missing_patterns_computed_once_per_row(spark):
+    from strata.plans import profiling
+    p = plan(profiling.q_missing_correlation(spark, SF_SMALL))
+    assert "size(array" not in p          # no inferred explode filter pushed into the scan
+    assert p.count("Generate posexplode") == 2
