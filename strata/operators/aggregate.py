@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.joins import join_on_keys
 from strata.session import checkpoint_dir
 
 
@@ -83,9 +84,9 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
     totals = totals.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"),
                            F.sum("_pc").over(whole).alias("_n"), F.sum("_dc").over(whole).alias("_d"))
     upto = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (ranged.withColumn("_lc", F.sum("_c").over(upto))
-              .join(totals, on=by + ["_pid"])
-              .withColumn("_cum", F.col("_off") + F.col("_lc")))
+    local = ranged.withColumn("_lc", F.sum("_c").over(upto))
+    # null-safe on the group keys: a NULL group is a group too
+    ranked = join_on_keys(local, totals, by + ["_pid"]).withColumn("_cum", F.col("_off") + F.col("_lc"))
     targets = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(q)).alias("q"))
                                   for i, q in enumerate(qs)]))
     pos = F.col("t.q") * (F.col("_n") - 1).cast("double")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import quantile
+from strata.operators.joins import join_on_keys
 
 
 def filter_range(df: DataFrame, col: str, lt=None, le=None, gt=None, ge=None) -> DataFrame:
@@ -62,5 +63,5 @@ def quantile_trim(df: DataFrame, col: str, q: float = 0.99, by: list[str] | None
         return df.filter(F.col(col) <= quantile(df, col, q, approx=approx, alias="_cut").scalar())
     cut = quantile(df, col, q, by=by, approx=approx, alias="_cut")
     # one row per group: AQE broadcasts it when its runtime size is small
-    return (df.join(cut, on=by, how="inner")
+    return (join_on_keys(df, cut, by)
             .filter(F.col(col) <= F.col("_cut")).drop("_cut"))

@@ -39,3 +39,14 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
 def anti_join(left: DataFrame, right: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` (NOT EXISTS)."""
     return left.join(bounded_broadcast(right, max_rows), on=on, how="left_anti")
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL group is a group
+    too); the key columns appear once, taken from ``left``."""
+    l, r = left.alias("_jl"), right.alias("_jr")
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"_jl.{k}").eqNullSafe(F.col(f"_jr.{k}"))
+    rest = [F.col(f"_jr.{c}") for c in right.columns if c not in keys]
+    return l.join(r, cond, how).select("_jl.*", *rest)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.joins import join_on_keys
+
 
 
 def top_n_per_group(df: DataFrame, by: list[str] | str, metric: str, n: int,
@@ -45,6 +47,6 @@ def share_of_group(df: DataFrame, by: list[str] | str, value: str, alias: str =
     and otherwise joins it by shuffle."""
     by = [by] if isinstance(by, str) else list(by)
     totals = df.groupBy(*by).agg(F.sum(value).alias("_total"))
-    return (df.join(totals, on=by, how="inner")
+    return (join_on_keys(df, totals, by)
             .withColumn(alias, F.try_divide(F.col(value).cast("double"), F.col("_total")))
             .drop("_total"))

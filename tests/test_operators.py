@@ -168,3 +168,18 @@ def test_missing_patterns_wider_than_one_bitmask_word(spark):
     assert got == want
     dist = {(r.column_a, r.column_b): r.distance for r in missing_distance(df, ["c1", "c65"]).collect()}
     assert dist[("c1", "c65")] == sum(1 for row in rows if (row[1] is None) != (row[65] is None))
+
+
+def test_quantiles_keep_a_null_group(spark):
+    from strata.operators.aggregate import quantiles
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, x double")
+    got = {r.g: r.quantile for r in quantiles(df, "x", [0.5], by=["g"]).collect()}
+    assert got == {None: 2.0, "a": 5.0}
+
+
+def test_null_groups_survive_share_and_trim(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", 7.0)], "g string, x double")
+    shares = {(r.g, r.x): r.share for r in share_of_group(df, "g", "x").collect()}
+    assert shares[(None, 1.0)] == 0.25 and shares[("a", 7.0)] == 7.0 / 12.0
+    kept = sorted((r.g or "", r.x) for r in quantile_trim(df, "x", 0.5, by=["g"]).collect())
+    assert kept == [("", 1.0), ("a", 5.0)]
