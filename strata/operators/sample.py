@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 
 def sample_key(key: str, seed: int):
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+    """md5 of the key text followed by the seed (a NULL key hashes as '')."""
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))))
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return (df.withColumn("_sample_rank", sample_key(key, seed))
-            .orderBy("_sample_rank", key).limit(n).drop("_sample_rank"))
+            .orderBy(F.col("_sample_rank").asc(), F.col(key).asc_nulls_last()).limit(n).drop("_sample_rank"))
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
