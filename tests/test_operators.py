@@ -183,3 +183,12 @@ def test_null_groups_survive_share_and_trim(spark):
     assert shares[(None, 1.0)] == 0.25 and shares[("a", 7.0)] == 7.0 / 12.0
     kept = sorted((r.g or "", r.x) for r in quantile_trim(df, "x", 0.5, by=["g"]).collect())
     assert kept == [("", 1.0), ("a", 5.0)]
+
+
+def test_approx_quantile_ignores_nan_and_null(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(1, 101)] + [(float("nan"),), (None,)], "x double")
+    exact = quantile(df, "x", 0.5).first()[0]
+    approx = quantile(df, "x", 0.5, approx=True).first()[0]
+    assert exact == 50.5 and abs(approx - exact) <= 1.0
+    trimmed = quantile_trim(df, "x", 0.9, approx=True)
+    assert trimmed.count() == 90
