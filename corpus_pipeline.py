@@ -14,6 +14,7 @@ from strata.llm.bpe import encode
 from strata.llm.common import written
 from strata.llm.mixing import apply_mix
 from strata.llm.repetition import keep_good
+from strata.llm.secrets import redact
 from strata.llm.simhash import keep_one
 
 
@@ -27,6 +28,11 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return keep_one(docs, words=3, max_bits=2)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked."""
+    return redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; one that it takes in part is cut."""
     return apply_mix(docs, weights=(3, 1, 2), share=1.5, max_repeat=2)
@@ -40,6 +46,7 @@ def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("secret_scan", secret_scan),
     ("mix_sources", mix_sources),
     ("bpe_encode", bpe_encode),
 ]

@@ -37,11 +37,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def _digests(found: DataFrame) -> DataFrame:
+    """Base findings and all findings as text, kind:start:end joined by commas."""
+    text = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
+    return found.withColumns({"base_sha256": F.sha2(text("base"), 256), "all_spans": text("spans")})
+
+
+def _count(kind: str):
+    """How many base findings are of a kind."""
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.secrets import scan
+    found = _digests(scan(_table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), *map(_count, ("assign", "access", "hex")), "base_sha256", F.col("all_spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_bpe": op4_bpe,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_secrets": op10_secrets,
 }
 
 SQL: dict[str, str] = {}
