@@ -48,6 +48,12 @@ def _count(kind: str):
     return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pii import find
+    found = _digests(find(_table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), *map(_count, ("email", "ip", "card", "phone")), "base_sha256", F.col("all_spans").alias("spans"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.secrets import scan
     found = _digests(scan(_table(spark, sf_dir, "documents")))
@@ -57,6 +63,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_bpe": op4_bpe,
+    "op5_pii": op5_pii,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
