@@ -18,6 +18,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _remainder(id_col: str, n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.quality import classify
+    held = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
+    found = classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), learn=~held).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.bpe import encode
     found = encode(_table(spark, sf_dir, "documents"), round_trip=True)
@@ -26,6 +38,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.langid import identify
+    held = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    found = identify(_table(spark, sf_dir, "documents"), learn=~held).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.mixing import mix
     found = mix(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_repeat=2)
@@ -62,8 +81,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
     "op5_pii": op5_pii,
+    "op6_language": op6_language,
     "op7_mixing": op7_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
