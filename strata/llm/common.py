@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +39,21 @@ def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def ship(spark: SparkSession) -> None:
+    """The package's source, sent to the executors once per application, so
+    that their Python workers can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_strata_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="strata-src-")) / "strata_src.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._strata_shipped = True
+
+
 def with_fields(lead: StructField, ddl: str) -> StructType:
     """The schema of ``lead`` followed by the columns of ``ddl``."""
     return StructType([lead, *StructType.fromDDL(ddl)])
@@ -44,6 +62,7 @@ def with_fields(lead: StructField, ddl: str) -> StructType:
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType) -> DataFrame:
     """``fn`` applied to every Arrow batch of ``df``; ``schema`` is that of what it returns."""
     bounded_batches(df.sparkSession)
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

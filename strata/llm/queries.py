@@ -12,6 +12,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.ann import search
+    return search(_table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.simhash import near_duplicates
     found = near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_bits=2)
@@ -80,6 +85,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_bpe": op4_bpe,
