@@ -56,6 +56,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pages import main_text
+    found = main_text(_table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.repetition import rules
     return rules(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_language": op6_language,
     "op7_mixing": op7_mixing,
+    "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
 }
