@@ -126,8 +126,7 @@ def sample(df: DataFrame, by: Column, rows: int, seed: int) -> DataFrame:
     single task."""
     src = df.withColumn("_by", by)
     sizes = src.groupBy("_by").agg(F.count(F.lit(1)).alias("_n"))
-    due = F.lit(float(rows)) / sizes.count() if rows else F.lit(0.0)
-    share = sizes.withColumn("_share", due / F.col("_n"))
+    share = sizes.withColumn("_share", F.lit(rows / max(1, sizes.count())) / F.col("_n"))
     pick = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_003)) / 1_000_003.0
     return src.join(share, "_by").where(pick < F.col("_share")).drop("_by", "_n", "_share")
 

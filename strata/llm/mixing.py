@@ -32,8 +32,8 @@ from strata.llm.common import WORD_PATTERN, written
 def _seats(df: DataFrame, by: list[str], votes: str, total: Column, limit: Column) -> DataFrame:
     """``df`` (one row per party, ``votes`` > 0 or the party gets nothing)
     with a column ``seats``: ``total`` seats of each group ``by``, dealt out
-    by highest quotients, no party above ``limit``. Ties go to the party with
-    the smaller ``party``. If limits leave too few takers, seats stay empty."""
+    by highest quotients, no party above ``limit`` (which is not below its
+    share rounded down). Ties go to the party with the smaller ``party``."""
     group = Window.partitionBy(*by)
     share = F.col(votes) / F.sum(votes).over(group)
     n = F.count(F.lit(1)).over(group)
