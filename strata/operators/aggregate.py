@@ -11,24 +11,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.joins import join_on_keys
-from strata.session import checkpoint_dir
 
 
-# Scale of the exact sums: 8 decimals cover money (2) times a 4-decimal rate.
-EXACT_SCALE = 8
-
-
-def exact_sum(c, scale: int = EXACT_SCALE) -> Column:
-    """Sum in decimal(38, scale): exact, so independent of summation order
-    (the same bits on any partitioning), and it cannot overflow silently."""
+def present(c) -> Column:
+    """The column with NaN as NULL (missing either way)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(f"decimal(38,{scale})"))
+    return F.when(~F.isnan(c.cast("double")), c)
 
 
-def exact_avg(c, scale: int = EXACT_SCALE) -> Column:
-    """Mean from an exact decimal sum divided by the count (NULL when empty)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.try_divide(exact_sum(c, scale).cast("double"), F.count(c).cast("double"))
+def mean(c) -> Column:
+    """Mean of the values that are neither NULL nor NaN (NULL if none)."""
+    return F.avg(present(c).cast("double"))
 
 
 def value_counts(df: DataFrame, cols: list[str] | str, count_col: str = "count") -> DataFrame:
@@ -53,56 +46,61 @@ def group_metrics(df: DataFrame, by: list[str], metrics: dict[str, Column],
     return df.groupBy(*by).agg(*[e.alias(n) for n, e in metrics.items()])
 
 
+#: Rank accuracy (1 / this) of the sketch that brackets exact quantiles. Groups
+#: of no more rows than this are their own bracket.
+BRACKET_ACCURACY = 10000
+
+
 def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = None,
               alias: str = "quantile", with_distinct: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``
     semantics; NULL and NaN ignored): (by..., q_index, alias).
 
-    Distributed exact selection -- no task ever holds a whole group:
-    1. (group, value, count) frequencies (partial aggregation);
-    2. range-partitioned on (group, value) and checkpointed into the shared
-       checkpoint directory, which pins each row's partition id;
-    3. per (group, partition) totals -> running offsets over a small table;
-       a running count inside each (group, partition) range slice;
-    4. the one or two rows holding the target ranks per quantile are kept,
-       and their values interpolated: ``lo + (hi - lo) * frac``.
-    ``with_distinct`` adds the number of distinct values per group (read off
-    the frequency table for free).
+    1. A mergeable sketch gives, per group and quantile, two values between
+       which the target ranks certainly lie (twice the sketch's error away).
+    2. One pass counts the rows below the bracket, one gathers the value
+       frequencies inside it: some thousandths of the rows.
+    3. A running count over those finds the one or two values at the target
+       ranks: ``lo + (hi - lo) * frac``.
+    ``with_distinct`` adds the number of distinct values per group.
     """
     by = list(by or [])
-    spark = df.sparkSession
     v = F.col(col).cast("double")
     vals = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    freq = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)   # the cluster's shared directory (set only if unset)
-    ranged = (freq.repartitionByRange(parts, *by, "_v")
-              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    totals = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"), F.count(F.lit(1)).alias("_dc"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    totals = totals.select(*by, "_pid", F.coalesce(F.sum("_pc").over(before), F.lit(0)).alias("_off"),
-                           F.sum("_pc").over(whole).alias("_n"), F.sum("_dc").over(whole).alias("_d"))
-    upto = Window.partitionBy(*by, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_lc", F.sum("_c").over(upto))
-    # null-safe on the group keys: a NULL group is a group too
-    ranked = join_on_keys(local, totals, by + ["_pid"]).withColumn("_cum", F.col("_off") + F.col("_lc"))
-    targets = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(q)).alias("q"))
-                                  for i, q in enumerate(qs)]))
-    pos = F.col("t.q") * (F.col("_n") - 1).cast("double")
-    cand = (ranked.select("*", targets.alias("t"))
-            .withColumn("_pos", pos)
-            .withColumn("_r0", F.floor("_pos").cast("bigint"))
-            .withColumn("_r1", F.ceil("_pos").cast("bigint")))
+
+    def beside(rows: DataFrame, facts: DataFrame) -> DataFrame:
+        """``rows`` with their group's ``facts`` (without groups: scalar subqueries)."""
+        if by:
+            return join_on_keys(rows, facts, by)
+        return rows.withColumns({c: facts.select(c).scalar() for c in facts.columns})
+
+    step = 2.0 / BRACKET_ACCURACY
+    ends = [p for q in qs for p in (max(0.0, q - step), min(1.0, q + step))]
+    stats = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, BRACKET_ACCURACY).alias("_b"))
+    few = F.col("_n") <= BRACKET_ACCURACY
+    lo = [F.when(few, float("-inf")).otherwise(F.col("_b")[2 * i]) for i in range(len(qs))]
+    hi = [F.when(few, float("inf")).otherwise(F.col("_b")[2 * i + 1]) for i in range(len(qs))]
+    both = beside(vals, stats)
+    below = both.groupBy(*by).agg(F.max("_n").alias("_n"), F.array(
+        *[F.sum(F.when(F.col("_v") < x, 1).otherwise(0)) for x in lo]).alias("_below"))
+    inside = F.filter(F.array(*[F.when(F.col("_v").between(x, y), F.lit(i)) for i, (x, y) in enumerate(zip(lo, hi))]), lambda x: x.isNotNull())
+    freq = both.select(*by, "_v", F.explode(inside).alias("q_index")).groupBy(*by, "q_index", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = beside(freq, below)
+    upto = Window.partitionBy(*by, "q_index").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranked.withColumn("_cum", F.sum("_c").over(upto) + F.col("_below")[F.col("q_index")])
+    q = F.array(*[F.lit(float(x)) for x in qs])[F.col("q_index")]
+    ranked = ranked.withColumn("_pos", q * (F.col("_n") - 1).cast("double"))
     start = F.col("_cum") - F.col("_c")
-    has0 = (start <= F.col("_r0")) & (F.col("_r0") < F.col("_cum"))
-    has1 = (start <= F.col("_r1")) & (F.col("_r1") < F.col("_cum"))
-    picked = cand.filter(has0 | has1).groupBy(*by, F.col("t.q_index").alias("q_index")).agg(
-        F.max(F.when(has0, F.col("_v"))).alias("_lo"), F.max(F.when(has1, F.col("_v"))).alias("_hi"),
-        F.max(F.col("_pos") - F.col("_r0")).alias("_frac"), F.max("_d").alias("_d"))
+    has = [(start <= r) & (r < F.col("_cum")) for r in (F.floor("_pos"), F.ceil("_pos"))]
+    picked = ranked.filter(has[0] | has[1]).groupBy(*by, "q_index").agg(
+        F.max(F.when(has[0], F.col("_v"))).alias("_lo"), F.max(F.when(has[1], F.col("_v"))).alias("_hi"),
+        F.max(F.col("_pos") - F.floor("_pos")).alias("_frac"))
     value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
-    extra = [F.col("_d").cast("bigint").alias("distinct")] if with_distinct else []
-    return picked.select(*by, "q_index", value.alias(alias), *extra)
+    out = picked.select(*by, "q_index", value.alias(alias))
+    if with_distinct:
+        different = vals.groupBy(*by, "_v").agg(F.lit(1)).groupBy(*by).agg(F.count(F.lit(1)).cast("bigint").alias("distinct"))
+        out = beside(out, different)
+    return out
 
 
 def quantile(df: DataFrame, col: str, q: float, by: list[str] | None = None,
@@ -142,19 +140,26 @@ def distinct_values(df: DataFrame, cols: list[str] | str) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def checksum(df: DataFrame, alias: str = "checksum") -> DataFrame:
-    """Order-insensitive checksum: the SUM of a 64-bit row hash, kept exactly
-    as three BIGINT sums of its 22/21/21-bit parts (no overflow below ~2e12
-    rows per part, and no slow wide-decimal arithmetic). One row, one
-    struct column. (Built from SQL text: two expressions instead of a dozen
-    Column calls.)"""
-    cols = ", ".join(f"`{c}`" for c in df.columns)
+def row_hash(cols: list[str]) -> str:
+    """SQL text of a 64-bit hash of a row. Each column's NULLs are hashed as
+    such (``xxhash64`` alone skips them, so shifted NULLs would go unseen)."""
+    names = ["`" + c.replace("`", "``") + "`" for c in cols]
+    return "xxhash64(" + ", ".join(names + [f"isnull({c})" for c in names]) + ")"
+
+
+def checksum_parts(h: str = "_h") -> str:
+    """SQL text of the exact sum of a 64-bit hash, as a struct of three BIGINT
+    sums of its 22/21/21-bit parts (no overflow below ~2e12 rows per part,
+    and no slow wide-decimal arithmetic)."""
     m = (1 << 21) - 1
-    parts = [f"coalesce(sum(shiftrightunsigned(_h, 42)), 0L) AS p0",
-             f"coalesce(sum(shiftright(_h, 21) & {m}L), 0L) AS p1",
-             f"coalesce(sum(_h & {m}L), 0L) AS p2"]
-    return df.select(F.expr(f"xxhash64({cols})").alias("_h")).agg(
-        F.expr(f"struct({', '.join(parts)})").alias(alias))
+    return (f"struct(coalesce(sum(shiftrightunsigned({h}, 42)), 0L) AS p0, "
+            f"coalesce(sum(shiftright({h}, 21) & {m}L), 0L) AS p1, coalesce(sum({h} & {m}L), 0L) AS p2)")
+
+
+def checksum(df: DataFrame, alias: str = "checksum") -> DataFrame:
+    """Order-insensitive checksum: the SUM of a NULL-safe 64-bit row hash. One
+    row, one struct column."""
+    return df.select(F.expr(row_hash(df.columns)).alias("_h")).agg(F.expr(checksum_parts()).alias(alias))
 
 
 def row_count(df: DataFrame, alias: str = "count") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.aggregate import quantile
 from strata.operators.joins import join_on_keys
+from strata.operators.reshape import unpivot_pairs
 
 
 def filter_range(df: DataFrame, col: str, lt=None, le=None, gt=None, ge=None) -> DataFrame:
@@ -43,9 +44,9 @@ def dropna_subset(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def uncastable_values(df: DataFrame, cols: list[str], to: str = "double") -> DataFrame:
     """Distinct (column_name, value) pairs that are non-NULL yet not castable
-    to ``to`` -- all columns in one scan (stack + filter + distinct)."""
-    pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
-    long = df.select(F.expr(f"stack({len(cols)}, {pairs}) as (column_name, value)"))
+    to ``to`` -- all columns in one scan (unpivot + filter + distinct)."""
+    text = df.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(c) for c in cols])
+    long = unpivot_pairs(text, [(c, c) for c in cols], "column_name", "value", keep=[])
     return (long.filter(F.col("value").isNotNull() & F.col("value").try_cast(to).isNull())
             .distinct())
 

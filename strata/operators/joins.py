@@ -1,45 +1,11 @@
-"""Join helpers with a checked broadcast.
-
-A side is broadcast only after a bounded probe proves it holds at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` reads at most that many
-rows). Beyond the bound the join stays a shuffle join, and AQE may still
-switch it to a broadcast at runtime from real shuffle sizes.
-
-Use the probe on scans of dimension tables, where the limit stops the read
-early. A derived side (an aggregate) would be computed in full by the probe,
-so such joins are left to AQE's runtime size check instead.
-"""
+"""Joins on group keys. Broadcasts are left to Spark: the optimiser and AQE
+compare real byte sizes with ``spark.sql.autoBroadcastJoinThreshold``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables (nation, region, rate tables) are far below this.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (bounded probe)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` only when its size is proven small."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact-to-dimension join: broadcast the dimension if provably small,
-    otherwise an ordinary shuffle join (AQE decides at runtime)."""
-    return fact.join(bounded_broadcast(dim, max_rows), on=on, how=how)
-
-
-def anti_join(left: DataFrame, right: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``left`` with no match in ``right`` (NOT EXISTS)."""
-    return left.join(bounded_broadcast(right, max_rows), on=on, how="left_anti")
-
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (a NULL group is a group

@@ -14,9 +14,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
-from strata.operators.aggregate import exact_avg, quantiles
+from strata.operators.aggregate import mean, quantiles
+from strata.operators.reshape import unpivot_pairs
 
 
 def _is_missing(df: DataFrame, c: str):
@@ -172,7 +173,7 @@ def missing_rate_by(df: DataFrame, target: str, by, alias: str = "missing_pct",
 
 def mean_by(df: DataFrame, value: str, by: str, alias: str | None = None, drop_null_keys: bool = True) -> DataFrame:
     d = df.filter(F.col(by).isNotNull()) if drop_null_keys else df
-    return d.groupBy(by).agg(exact_avg(value).alias(alias or f"avg_{value}"))
+    return d.groupBy(by).agg(mean(value).alias(alias or f"avg_{value}"))
 
 
 def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
@@ -180,20 +181,19 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
     distinct, mean, stddev, min, q25, median, q75, max.
 
     The columns are stacked into (column_name, value) rows in the scan's
-    stage. Moments come from one grouped aggregate (mean from an exact
-    decimal sum); the exact quartiles (linear interpolation) and distinct
+    stage. Moments come from one grouped aggregate ; the exact quartiles (linear interpolation) and distinct
     counts from the distributed selection in ``quantiles``, so no task holds
     a whole column. ``approx=True`` uses
     mergeable sketches instead.
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    args = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
-    long = df.select(F.expr(f"stack({len(cols)}, {args}) as (column_name, value)"))
+    numbers = df.select(*[F.col("`" + c.replace("`", "``") + "`").cast("double").alias(c) for c in cols])
+    long = unpivot_pairs(numbers, [(c, c) for c in cols], "column_name", "value", keep=[])
     long = long.withColumn("value", F.when(F.isnan("value"), F.lit(None)).otherwise(F.col("value")))
     moments = long.groupBy("column_name").agg(
         F.count("value").alias("count"),
         F.sum(F.when(F.col("value").isNull(), 1).otherwise(0)).cast("bigint").alias("missing"),
-        exact_avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+        mean("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
         F.min("value").alias("min"), F.max("value").alias("max"))
     vals = long.filter(F.col("value").isNotNull())
     if approx:
@@ -211,3 +211,18 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
         "mean", "stddev", "min", F.col("qs")[0].alias("q25"), F.col("qs")[1].alias("median"),
         F.col("qs")[2].alias("q75"), "max")
     return out
+
+
+def profile_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Long-format profile, one row per text column: count, missing, distinct,
+    min, max. The columns are stacked in the scan's stage; one aggregation per
+    value and one per column, so no task holds a column."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    text = df.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(c) for c in cols])
+    each = unpivot_pairs(text, [(c, c) for c in cols], "column_name", "value", keep=[]).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    known = F.col("value").isNotNull()
+    return each.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).cast("bigint").alias("count"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).cast("bigint").alias("missing"),
+        F.count("value").alias("distinct"), F.min("value").alias("min"), F.max("value").alias("max"))

@@ -57,8 +57,3 @@ def add_metadata(df: DataFrame, timestamp_col: str | None = "processing_datetime
     for k, v in labels.items():
         cols[k] = F.lit(v)
     return df.withColumns(cols)
-
-
-def with_label(df: DataFrame, name: str, value) -> DataFrame:
-    """Constant label column."""
-    return df.withColumn(name, F.lit(value))

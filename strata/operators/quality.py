@@ -1,9 +1,8 @@
 """Layer reconciliation and key checks.
 
 Every check over many tables is ONE plan (a union of per-table aggregates),
-not a driver loop of jobs. The content diff counts both directions in a
-single shuffle: rows of both sides are grouped on all columns with a count
-per side, so duplicated rows collapse in the map-side partial aggregate.
+not a driver loop of jobs. The content diff compares digests per hash bucket
+first and groups full rows only of buckets that differ.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.aggregate import checksum
+from strata.operators.aggregate import checksum, checksum_parts, row_hash
 from strata.operators.project import common_columns
 
 Pairs = dict[str, tuple[DataFrame, DataFrame]]
@@ -51,20 +50,37 @@ def layer_checksum(pairs: Pairs) -> DataFrame:
     return sums.select("table_name", F.coalesce(F.col("s") == F.col("t"), F.lit(False)).alias("checksum_match"))
 
 
-def bag_compare(src: DataFrame, tgt: DataFrame) -> DataFrame:
+#: Hash buckets of a layer's digest.
+DIGEST_BUCKETS = 4096
+
+
+def bag_compare(src: DataFrame, tgt: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
     """One row: both row counts, rows of ``src`` missing from ``tgt`` and rows
     of ``tgt`` absent from ``src`` -- bags over the common columns (EXCEPT
-    ALL both ways) -- all from a single aggregation on the row values."""
+    ALL both ways).
+
+    Each side is first reduced to a digest per hash bucket (row count and
+    NULL-safe checksum): at most ``buckets`` rows a task are shuffled. Only
+    rows of the buckets whose digests differ are then grouped in full, so
+    equal layers move no rows."""
     s, t = common_columns(src, tgt)
     cols = [f"`{c}`" for c in s.columns]
-    tagged = s.select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
-        t.select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
-    per_row = tagged.groupBy(*cols).agg(F.expr("sum(_a) AS _a"), F.expr("sum(_b) AS _b"))
-    return per_row.agg(F.expr(
-        "CAST(coalesce(sum(_a), 0) AS BIGINT) AS source_count"), F.expr(
-        "CAST(coalesce(sum(_b), 0) AS BIGINT) AS target_count"), F.expr(
-        "CAST(coalesce(sum(greatest(_a - _b, 0)), 0) AS BIGINT) AS missing_in_target"), F.expr(
-        "CAST(coalesce(sum(greatest(_b - _a, 0)), 0) AS BIGINT) AS extra_in_target"))
+    h = row_hash(s.columns)
+    sides = [d.select(*cols, F.expr(h).alias("_h")).withColumn("_k", F.pmod("_h", F.lit(buckets))) for d in (s, t)]
+
+    def digest(d: DataFrame, side: str) -> DataFrame:
+        return d.groupBy("_k").agg(F.expr(f"struct(count(1) AS n, {checksum_parts()} AS c)").alias(side))
+
+    digests = digest(sides[0], "_a").join(digest(sides[1], "_b"), "_k", "full")
+    differ = digests.where(~F.col("_a").eqNullSafe(F.col("_b"))).select("_k")
+    counts = digests.agg(F.expr("CAST(coalesce(sum(_a.n), 0) AS BIGINT) AS source_count"),
+                         F.expr("CAST(coalesce(sum(_b.n), 0) AS BIGINT) AS target_count"))
+    tagged = [d.join(differ, "_k", "left_semi").select(*cols, F.lit(a).alias("_x"), F.lit(1 - a).alias("_y"))
+              for d, a in zip(sides, (1, 0))]
+    per_row = tagged[0].unionByName(tagged[1]).groupBy(*cols).agg(F.expr("sum(_x) AS _x"), F.expr("sum(_y) AS _y"))
+    rows = per_row.agg(F.expr("CAST(coalesce(sum(greatest(_x - _y, 0)), 0) AS BIGINT) AS missing_in_target"),
+                       F.expr("CAST(coalesce(sum(greatest(_y - _x, 0)), 0) AS BIGINT) AS extra_in_target"))
+    return counts.crossJoin(rows)              # one row each
 
 
 def bag_diff_counts(src: DataFrame, tgt: DataFrame) -> DataFrame:
@@ -84,8 +100,7 @@ def layer_diff(pairs: Pairs) -> DataFrame:
 def quality_log(pairs: Pairs, source_layer: str = "bronze", target_layer: str = "silver",
                 with_load_time: bool = True) -> DataFrame:
     """One log row per table: layers, counts, count status, content match --
-    counts and both diff directions come from one aggregation per table
-    (note: counts are then over the common columns, which is every row)."""
+    counts and both diff directions come from the digests of each table."""
     parts = [bag_compare(src, tgt).select(F.lit(name).alias("table_name"), "*") for name, (src, tgt) in pairs.items()]
     both = _union(parts)
     return both.select(

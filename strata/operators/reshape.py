@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 def unpivot_pairs(df: DataFrame, pairs: list[tuple[str, str]], name_col: str, value_col: str,
                   keep: list[str] | None = None) -> DataFrame:
-    """One output row per (label, column) pair, via the ``stack`` generator.
+    """One output row per (label, column) pair, via a generator.
 
-    ``keep=None`` keeps every input column (``select("*", stack)``).
-    No shuffle: the generator runs inside the scan's stage.
+    ``keep=None`` keeps every input column.
+    No shuffle: the generator runs inside the scan's stage. Labels and names may hold any characters.
     """
-    args = ", ".join(f"'{label}', `{c}`" for label, c in pairs)
-    gen = F.expr(f"stack({len(pairs)}, {args}) as ({name_col}, {value_col})")
-    return df.select(*(keep if keep is not None else ["*"]), gen)
+    rows = F.array(*[F.struct(F.lit(label).alias(name_col), F.col(_quoted(c)).alias(value_col)) for label, c in pairs])
+    return df.select(*(keep if keep is not None else ["*"]), F.inline(rows))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def transpose_compare(df: DataFrame, key: str, metrics: list[str], base: str, other: str,
@@ -28,16 +31,18 @@ def transpose_compare(df: DataFrame, key: str, metrics: list[str], base: str, ot
     ``(other - base) / base * 100`` rounded (NULL when base is 0/NULL).
 
     Input is a small per-key summary; the transpose is a conditional
-    aggregation followed by ``stack``.
+    aggregation followed by a generator.
     """
     labels = labels or {}
     wide = df.agg(*[
-        F.max(F.when(F.col(key) == F.lit(k), F.col(m).cast("double"))).alias(f"{m}__{tag}")
+        F.max(F.when(F.col(_quoted(key)) == F.lit(k), F.col(_quoted(m)).cast("double"))).alias(f"{m}__{tag}")
         for m in metrics for k, tag in ((base, "a"), (other, "b"))
     ])
-    args = ", ".join(f"'{labels.get(m, m)}', `{m}__a`, `{m}__b`" for m in metrics)
-    long = wide.select(F.expr(f"stack({len(metrics)}, {args}) as (metric, {base}, {other})"))
-    pct = F.try_divide(F.col(other) - F.col(base), F.col(base)) * F.lit(100.0)
+    rows = [F.struct(F.lit(labels.get(m, m)).alias("metric"), F.col(_quoted(f"{m}__a")).alias(base),
+                     F.col(_quoted(f"{m}__b")).alias(other)) for m in metrics]
+    long = wide.select(F.inline(F.array(*rows)))
+    a, b = F.col(_quoted(base)), F.col(_quoted(other))
+    pct = F.try_divide(b - a, a) * F.lit(100.0)
     return long.withColumn(pct_col, F.bround(pct, digits))
 
 

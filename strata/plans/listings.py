@@ -38,16 +38,19 @@ def cleanse_combined_listings(frames: list[DataFrame], drop: list[str] | None =
     drop unused columns; 't'/'f' flags -> boolean with NULL as false; drop
     rows missing a required column; count from bathroom text; money text ->
     double; percent text -> double (source text columns dropped).
-    Steps whose columns are absent are skipped."""
-    df = union_by_name(frames)
+    Frames must have the same columns, and the required ones be among them
+    (an error otherwise); other steps whose columns are absent are skipped."""
+    df = union_by_name(frames, allow_missing=False)
     drop = DROP_COLUMNS + GOLD_EXTRA_DROPS if drop is None else drop
     flags = GOLD_FLAGS if flags is None else flags
     required = GOLD_REQUIRED if required is None else required
     percents = GOLD_PERCENTS if percents is None else percents
     present = set(df.columns)
+    absent = [r for r in required if r not in present]
+    if absent:
+        raise ValueError(f"required columns are absent: {', '.join(absent)}")
     for r in required:
-        if r in present:
-            df = df.filter(F.col(r).isNotNull())
+        df = df.filter(F.col(r).isNotNull())
     gone = set(drop) | set(percents)
     out = []
     for c in df.columns:
@@ -126,9 +129,10 @@ for _c in _LL_NAMES:
         _GOLD_SELECT.append(_c)
 _GOLD_SELECT.append(r"CASE WHEN lower(trim(bathrooms_text)) LIKE '%half%' THEN CAST(0.5 AS DOUBLE) "
                     r"ELSE TRY_CAST(regexp_extract(bathrooms_text, '(\d+(\.\d+)?)', 1) AS DOUBLE) END AS bathrooms")
-_GOLD_SELECT.append("TRY_CAST(regexp_replace(host_response_rate, '%$', '') AS DOUBLE) AS host_response_percentage")
+for _src, _dst in GOLD_PERCENTS.items():
+    _GOLD_SELECT.append(f"TRY_CAST(regexp_replace({_src}, '%$', '') AS DOUBLE) AS {_dst}")
 
-GOLD_CTE = "gold AS (SELECT " + ",\n  ".join(_GOLD_SELECT) + " FROM listings_like)"
+GOLD_CTE = "gold AS (SELECT " + ",\n  ".join(_GOLD_SELECT) + " FROM listings_like WHERE maximum_maximum_nights IS NOT NULL)"
 GOLD_USD_CTE = ("gold_usd AS (SELECT * REPLACE ("
                 "CASE WHEN price IS NOT NULL AND price <> 0 AND area = 'Tokyo' THEN price * CAST(0.0065 AS DOUBLE) "
                 "WHEN price IS NOT NULL AND price <> 0 AND area = 'London' THEN price * CAST(0.77 AS DOUBLE) "
@@ -153,12 +157,14 @@ _SINGLE_COLS = [c for c in KEEP_COLUMNS if c in _LL_NAMES and c != "amenities"]
 
 CLEANSED_CTE = ("cleansed AS (SELECT id, area, " + ", ".join(
     "host_is_superhost = 't' AS host_is_superhost" if c == "host_is_superhost"
+    else "instant_bookable = 't' AS instant_bookable" if c == "instant_bookable"
     else "TRY_CAST(translate(price, '$,', '') AS DOUBLE) AS price" if c == "price" else c
     for c in _SINGLE_COLS)
     + r""", CASE WHEN lower(trim(bathrooms_text)) LIKE '%half%' THEN CAST(0.5 AS DOUBLE)
          ELSE TRY_CAST(regexp_extract(bathrooms_text, '(\d+(\.\d+)?)', 1) AS DOUBLE) END AS bathrooms,
   CAST(len(CASE WHEN translate(amenities, '][\"', '') = '' THEN CAST([] AS VARCHAR[])
-       ELSE string_split(translate(amenities, '][\"', ''), ',') END) AS INTEGER) AS n_amenities
+       ELSE string_split(translate(amenities, '][\"', ''), ',') END) AS INTEGER) AS n_amenities,
+  regexp_replace(translate(amenities, '][\"', ''), '\s*,\s*', '|', 'g') AS amenity_items
 FROM listings_like
 WHERE TRY_CAST(translate(price, '$,', '') AS DOUBLE) < """ + repr(SINGLE_CITY_PRICE_MAX) + " AND minimum_nights <= 90)")
 
@@ -168,11 +174,12 @@ def cleansed_sql(sql: str, *extra: str) -> str:
 
 
 def cleansed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Single-city cleansed table over the listing-shaped view (amenity
-    list reduced to its item count)."""
+    """Single-city cleansed table over the listing-shaped view (the
+    amenity list as its items joined by bars and their count)."""
     def build():
         df = cleanse_single_city(listings_like(spark, sf_dir), price_max=SINGLE_CITY_PRICE_MAX)
-        return df.withColumn("n_amenities", F.size("amenities")).drop("amenities")
+        return (df.withColumn("n_amenities", F.size("amenities"))
+                .withColumn("amenity_items", F.array_join("amenities", "|")).drop("amenities"))
     return materialized(spark, f"silver-listings:{sf_dir}", build)
 
 

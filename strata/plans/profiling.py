@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from strata.functions import year_of
 from strata.operators.profile import (columns_with_missing, completeness, mean_by, missing_correlation,
                                       missing_distance, missing_percent, missing_rate_by, null_counts,
-                                      profile_numeric)
+                                      profile_numeric, profile_text)
+from strata.operators.aggregate import mean
 from strata.plans.listings import cleansed_listings, cleansed_sql
 from strata.plans.registry import query
+from strata.tables import table
 
 MISSING_COLS = ["host_since", "host_is_superhost", "bedrooms", "price", "review_scores_rating",
                 "reviews_per_month", "bathrooms_text", "bathrooms", "latitude", "minimum_nights"]
@@ -101,24 +103,49 @@ def q_missing_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("mean_by_category", sql=cleansed_sql("""
-SELECT bedrooms, (CAST(SUM(CAST(reviews_per_month AS DECIMAL(38,8))) AS DOUBLE) / COUNT(reviews_per_month)) AS avg_reviews_per_month
+SELECT bedrooms, round(AVG(reviews_per_month), 6) AS avg_reviews_per_month
 FROM cleansed WHERE bedrooms IS NOT NULL GROUP BY bedrooms"""))
 def q_mean_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mean_by(cleansed_listings(spark, sf_dir), "reviews_per_month", "bedrooms")
+    m = mean_by(cleansed_listings(spark, sf_dir), "reviews_per_month", "bedrooms")
+    return m.withColumn("avg_reviews_per_month", _r6("avg_reviews_per_month"))
 
 
 @query("profile_numeric", sql=cleansed_sql("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {_nulls(c)} AS missing, COUNT(DISTINCT {c}) AS distinct, "
-    f"(CAST(SUM(CAST({c} AS DECIMAL(38,8))) AS DOUBLE) / COUNT({c})) AS mean, round(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+    f"round(AVG({c}), 4) AS mean, round(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
     f"round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS median, "
     f"round(quantile_cont({c}, 0.75), 6) AS q75, CAST(MAX({c}) AS DOUBLE) AS max FROM cleansed"
     for c in NUMERIC_COLS)))
 def q_profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = profile_numeric(cleansed_listings(spark, sf_dir), NUMERIC_COLS)
-    return p.select("column_name", "count", "missing", "distinct", "mean", _r6("stddev").alias("stddev"), "min",
+    return p.select("column_name", "count", "missing", "distinct", F.round("mean", 4).alias("mean"), _r6("stddev").alias("stddev"), "min",
                     *[_r6(c).alias(c) for c in ("q25", "median", "q75")], "max")
 
 
+TEXT_COLUMNS = ["bathrooms_text", "room_type", "host_since", "area"]
+
+
+@query("profile_text", sql=cleansed_sql("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS count, {_nulls(c)} AS missing, COUNT(DISTINCT {c}) AS distinct, "
+    f"MIN({c}) AS min, MAX({c}) AS max FROM cleansed" for c in TEXT_COLUMNS)))
+def q_profile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_text(cleansed_listings(spark, sf_dir), TEXT_COLUMNS)
+
+
+@query("mean_of_dirty_numbers", sql="""
+SELECT l_returnflag, round(1e9 * AVG(v) FILTER (WHERE NOT isnan(v)), 4) AS scaled_mean, COUNT(*) FILTER (WHERE isnan(v)) AS not_a_number
+FROM (SELECT l_returnflag, CASE WHEN l_orderkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) WHEN l_orderkey % 5 = 0 THEN NULL
+             ELSE CAST(l_quantity AS DOUBLE) * 1e-10 END AS v FROM lineitem) t
+GROUP BY l_returnflag""")
+def q_mean_of_dirty_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over values far below one, NULLs and the text 'NaN'."""
+    v = F.when(F.col("l_orderkey") % 7 == 0, F.lit("NaN")).when(F.col("l_orderkey") % 5 != 0, (F.col("l_quantity").cast("double") * 1e-10).cast("string"))
+    text = table(spark, sf_dir, "lineitem").select("l_returnflag", v.alias("v"))
+    number = F.col("v").cast("double")
+    return text.groupBy("l_returnflag").agg(F.round(mean(number) * 1e9, 4).alias("scaled_mean"),
+                                            F.count_if(F.isnan(number)).alias("not_a_number"))
+
+
 @query("is_missing", sql=cleansed_sql("""
 SELECT id, review_scores_rating IS NULL AS rating_missing, bedrooms IS NULL AS bedrooms_missing,
        bathrooms IS NULL AS bathrooms_missing FROM cleansed"""))

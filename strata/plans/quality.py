@@ -22,6 +22,10 @@ _CHANGED_COLS = ("o_orderkey", "o_custkey", "o_orderstatus",
                  f"CASE WHEN {CHANGED_PRED} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice",
                  "o_orderdate", "o_orderpriority")
 
+# the same values, but in every hundredth row the NULL stands in the other column
+_SHIFTED_A = ("o_orderkey", "o_custkey AS a", "CASE WHEN o_orderkey % 100 <> 0 THEN o_custkey END AS b")
+_SHIFTED_B = ("o_orderkey", "CASE WHEN o_orderkey % 100 <> 0 THEN o_custkey END AS a", "o_custkey AS b")
+
 
 def layer_pairs(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, DataFrame]]:
     pairs = {t: (table(spark, sf_dir, t), table(spark, sf_dir, t)) for t in TPCH_TABLES}
@@ -29,6 +33,7 @@ def layer_pairs(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame,
     pairs["orders_missing_rows"] = (orders, orders.filter(F.expr(MISSING_PRED)))
     pairs["orders_changed_value"] = (orders, orders.selectExpr(*_CHANGED_COLS))
     pairs["orders_extra_rows"] = (orders.filter(F.expr(MISSING_PRED)), orders)
+    pairs["orders_shifted_nulls"] = (orders.selectExpr(*_SHIFTED_A), orders.selectExpr(*_SHIFTED_B))
     return pairs
 
 
@@ -37,6 +42,7 @@ def _pair_sql() -> list[tuple[str, str, str]]:
     out.append(("orders_missing_rows", "orders", f"(SELECT * FROM orders WHERE {MISSING_PRED})"))
     out.append(("orders_changed_value", "orders", f"(SELECT {', '.join(_CHANGED_COLS)} FROM orders)"))
     out.append(("orders_extra_rows", f"(SELECT * FROM orders WHERE {MISSING_PRED})", "orders"))
+    out.append(("orders_shifted_nulls", f"(SELECT {', '.join(_SHIFTED_A)} FROM orders)", f"(SELECT {', '.join(_SHIFTED_B)} FROM orders)"))
     return out
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.joins import bounded_broadcast
 from strata.sources.layers import materialized
 from strata.tables import table
 
@@ -45,6 +44,15 @@ LISTING_COLUMNS: list[tuple[str, str | None]] = [
     ("host_response_rate",
      "case when o_orderkey % 9 = 0 then 'N/A' else concat(cast(o_orderkey % 101 as string), '%') end"),
     ("host_since", "case when o_orderkey % 17 = 0 then null else cast(cast(o_orderdate as date) as string) end"),
+    ("host_acceptance_rate",
+     "case when o_orderkey % 23 = 0 then null when o_orderkey % 8 = 0 then 'N/A' else concat(cast((o_orderkey * 3) % 101 as string), '%') end"),
+    ("has_availability", "case when o_orderkey % 29 = 0 then null when o_orderkey % 4 = 0 then 'f' else 't' end"),
+    ("host_identity_verified", "case when o_custkey % 5 = 0 then 'f' else 't' end"),
+    ("host_has_profile_pic", "case when o_custkey % 31 = 0 then null else 't' end"),
+    ("instant_bookable", "case when o_orderkey % 2 = 0 then 't' else 'f' end"),
+    ("maximum_maximum_nights", "case when o_orderkey % 37 = 0 then null else cast(o_orderkey % 1125 as bigint) end"),
+    ("license", "case when o_orderkey % 3 = 0 then null else concat('HM-', cast(o_orderkey as string)) end"),
+    ("host_neighbourhood", "case when o_custkey % 3 = 0 then null else n_name end"),
     ("latitude", "cast(c_nationkey as double)"),
     ("longitude", "cast(0 - c_nationkey as double)"),
 ]
@@ -63,7 +71,7 @@ def build_listings_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-                    .join(bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")))
+                    .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
     return joined.select(*[F.expr(e if e else SPARK_PRICE).alias(n) for n, e in LISTING_COLUMNS])
 
 
@@ -79,7 +87,8 @@ def listings_like_sql() -> str:
 # The 16 delay-reason codes in file order.
 REASON_CODES = ["A", "C", "D", "E", "G", "I", "M", "N", "O", "P", "R", "S", "T", "V", "W", "NA"]
 
-FLIGHT_KEYS = ["l_shipdate", "n_name", "n_regionkey"]
+#: The supplier makes the files grow with the data.
+FLIGHT_KEYS = ["l_shipdate", "n_name", "n_regionkey", "l_suppkey"]
 FLIGHT_AGGS: list[tuple[str, str]] = (
     [("f_n", "count(*)"), ("f_total", "sum(l_quantity)")]
     + [(f"f_r{i}", f"sum(case when l_partkey % 16 = {i} then l_quantity end)") for i in range(16)]
@@ -129,9 +138,8 @@ def _flight_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     supp = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(bounded_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")))
-    # supplier grows with the data: broadcast only under the proven bound.
-    joined = li.join(bounded_broadcast(supp), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
+    joined = li.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
     return joined.groupBy(*FLIGHT_KEYS).agg(*[F.expr(e).alias(n) for n, e in FLIGHT_AGGS])
 
 

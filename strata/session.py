@@ -48,29 +48,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def suggest_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
-    """Partition sizing for a cluster run: scan splits and shuffle partitions
-    sized so that a task handles about ``target_partition_bytes`` (fits in an
-    executor core's memory share with room for spills), with at least three
-    waves of tasks per core. AQE then coalesces small shuffle partitions and
-    splits skewed ones at runtime.
-
-    For 100 TB on 1000 executors x 8 cores: ~400k scan tasks and ~400k
-    shuffle partitions before coalescing."""
-    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
-        "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(total_cores),
-    }
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory named by the cluster.
 
-    Read from the session; set a private one only when it is unset (tests,
-    a laptop). Sessions without a SparkContext handle (Spark Connect) use
+    Read from the session; a private one is set only where it is unset and
+    Spark runs in a single local process (tests, a laptop). On a cluster
+    without the setting this raises. Sessions without a SparkContext handle (Spark Connect) use
     the ``spark.checkpoint.dir`` setting.
     """
     try:
@@ -83,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
@@ -106,10 +91,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local FS (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "checkpoint_dir", "scratch_path", "local_path", "app_key", "suggest_conf",
-           "SCALE_CONF"]
+__all__ = ["build_session", "checkpoint_dir", "scratch_path", "app_key", "SCALE_CONF"]

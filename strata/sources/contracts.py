@@ -5,21 +5,20 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, FloatType, StructField, StructType
 
-from strata.session import local_path
+from strata.sources.files import read_text, write_text
 
 
-def save_contract(schema: StructType, path: str) -> None:
-    with open(local_path(path), "w") as fout:
-        fout.write(schema.json())
+def save_contract(spark: SparkSession, schema: StructType, path: str) -> None:
+    """Write a contract as JSON to any path that Spark can reach."""
+    write_text(spark, path, schema.json())
 
 
-def load_contract(path: str) -> StructType:
-    with open(local_path(path)) as fin:
-        return StructType.fromJson(json.loads(fin.read()))
+def load_contract(spark: SparkSession, path: str) -> StructType:
+    return StructType.fromJson(json.loads(read_text(spark, path)))
 
 
 def with_metadata_fields(schema: StructType, fields: list[tuple[str, DataType]]) -> StructType:
@@ -31,7 +30,7 @@ def with_metadata_fields(schema: StructType, fields: list[tuple[str, DataType]])
 def conform(df: DataFrame, schema: StructType, strict: bool = False) -> DataFrame:
     """Project ``df`` onto the contract in one select: columns in contract
     order, matched by name (case-insensitive), cast with ``try_cast``
-    (unreadable -> NULL); absent columns become typed NULLs; extra columns
+    (unreadable -> NULL, NaN -> NULL); absent columns become typed NULLs; extra columns
     are dropped."""
     by_lower = {c.lower(): c for c in df.columns}
     out = []
@@ -42,5 +41,8 @@ def conform(df: DataFrame, schema: StructType, strict: bool = False) -> DataFram
         elif strict:
             out.append(F.col(f"`{src}`").cast(f.dataType).alias(f.name))
         else:
-            out.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
+            col = F.col(f"`{src}`").try_cast(f.dataType)
+            if isinstance(f.dataType, (DoubleType, FloatType)):   # the text 'NaN' is a missing number
+                col = F.when(~F.isnan(col), col)
+            out.append(col.alias(f.name))
     return df.select(*out)

@@ -10,11 +10,16 @@ spreads the rows before heavy work.
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from strata.operators.reshape import union_by_name
 from strata.sources.contracts import conform
+from strata.sources.files import first_line
 
 # Fixed value: a four-digit year 19xx/20xx not adjacent to other digits.
 YEAR_PATTERN = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
@@ -24,20 +29,14 @@ def read_csv(spark: SparkSession, paths: str | list[str], contract: StructType |
              sep: str = ",", quote: str = '"', header: bool = True, multi_line: bool = True,
              drop_first: bool = False, null_value: str | None = None,
              repartition_to: int | None = None) -> DataFrame:
-    """Read CSV files (header names kept, every field as text), optionally
-    drop the first column (a row index), then conform to ``contract``.
+    """Read CSV files (each under its own header's names, every field as text;
+    see :func:`headers`), optionally drop the first column (a row index), then
+    conform to ``contract``.
 
     ``multi_line=True`` (the default) is needed for files whose quoted fields
     hold line breaks (listing descriptions); it parses each file in one task,
     so turn it off for files without them to let large files split."""
-    reader = (spark.read.option("header", header).option("sep", sep).option("quote", quote)
-              .option("escape", quote).option("multiLine", multi_line).option("inferSchema", False)
-              .option("mode", "PERMISSIVE"))
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    df = reader.csv(paths)
-    if drop_first:
-        df = df.drop(df.columns[0])
+    df = _read_raw(spark, paths, sep, quote, header, multi_line, drop_first, null_value)
     if contract is not None:
         df = conform(df, contract)
     if repartition_to:
@@ -45,6 +44,42 @@ def read_csv(spark: SparkSession, paths: str | list[str], contract: StructType |
     return df
 
 
+def headers(spark: SparkSession, paths: str | list[str], sep: str = ",", quote: str = '"') -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names of their header. The first line of each file is read on
+    the driver (no more of it); files without any are left out."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for path in sorted(spark.read.text(paths).inputFiles()):
+        path = unquote(path)
+        line = first_line(spark, path)
+        if line is not None:
+            names = tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar=quote)))
+            out.setdefault(names, []).append(path)
+    return out
+
+
+def _read_raw(spark: SparkSession, paths: str | list[str], sep: str, quote: str, header: bool, multi_line: bool,
+              drop_first: bool, null_value: str | None, source=()) -> DataFrame:
+    """All fields as text. Files with the same header are one read under that
+    header's names; reads are united by name, so files may order their columns
+    differently or lack some (NULL)."""
+    reader = (spark.read.option("sep", sep).option("quote", quote).option("escape", quote)
+              .option("multiLine", multi_line).option("inferSchema", False).option("mode", "PERMISSIVE"))
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    if not header:
+        frames = [reader.option("header", False).csv(paths)]
+    else:
+        frames = [reader.schema(StructType([StructField(n, StringType()) for n in names])).option("header", True)
+                  .option("enforceSchema", True).csv(files) for names, files in headers(spark, paths, sep, quote).items()]
+    if not frames:
+        return spark.createDataFrame([], StructType([]))
+    if drop_first:
+        frames = [f.drop(f.columns[0]) for f in frames]
+    if source:
+        frames = [f.select("*", *source) for f in frames]
+    return union_by_name(frames)
+
+
 def with_source_year(df: DataFrame, col: str = "source_year", pattern: str = YEAR_PATTERN,
                      source: str = "file_name") -> DataFrame:
     """Stamp each row with the year found in its file's name (or path), from
@@ -55,18 +90,21 @@ def with_source_year(df: DataFrame, col: str = "source_year", pattern: str = YEA
 
 def read_yearly_csv(spark: SparkSession, paths: list[str], contract: StructType | None = None,
                     dataset_group: str | None = None, pattern: str = YEAR_PATTERN,
-                    source: str = "file_name", multi_line: bool = False, **kwargs) -> DataFrame:
-    """All yearly files in ONE read (not a loop of loads), each row stamped
+                    source: str = "file_name", multi_line: bool = False, sep: str = ",", quote: str = '"',
+                    header: bool = True, drop_first: bool = False, null_value: str | None = None) -> DataFrame:
+    """All yearly files in one plan (not a loop of loads), each row stamped
     with ``source_year`` (from the file name or path) and ``dataset_group``.
+    Years may order, add or lack columns: each file is read under its own
+    header and matched by name.
 
     These files have no line breaks inside fields, so ``multi_line`` is off
     by default: plain and bz2 files then split into many tasks (a multi-line
     read parses each file in a single task)."""
-    raw = with_source_year(read_csv(spark, paths, None, multi_line=multi_line, **kwargs),
-                           "source_year", pattern, source)
+    year = F.regexp_extract(F.col(f"_metadata.{source}"), pattern, 1)
+    stamp = F.when(year != "", year.cast("int")).alias("source_year")
+    raw = _read_raw(spark, paths, sep, quote, header, multi_line, drop_first, null_value, source=(stamp,))
     if contract is not None:
-        year_field = [f for f in raw.schema.fields if f.name == "source_year"]
-        raw = conform(raw, StructType(list(contract.fields) + year_field))
+        raw = conform(raw, StructType([*contract.fields, StructField("source_year", IntegerType())]))
     if dataset_group is not None:
         raw = raw.withColumn("dataset_group", F.lit(dataset_group))
     return raw

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
+def read_geojson_features(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``features`` exploded: feature properties flattened to columns plus the
-    geometry type and coordinates (as JSON text, shapes vary)."""
-    doc = spark.read.option("multiLine", True).json(path)
+    geometry type and coordinates (as JSON text, shapes vary). A document over
+    several lines is read by one task; ``multi_line=False`` is for files of
+    one-line documents, which split."""
+    doc = spark.read.option("multiLine", multi_line).json(path)
     feats = doc.select(F.explode("features").alias("f"))
     props = [f"f.properties.{c}" for c in feats.select("f.properties.*").columns]
     return feats.select(*props, F.col("f.geometry.type").alias("geometry_type"),

@@ -1,11 +1,15 @@
-"""Written layers: build a derived table once, store it as parquet under the
-cluster's shared checkpoint directory, and read it back.
+"""Written layers: a derived table stored as parquet under the cluster's shared
+checkpoint directory and read back.
 
 This is the medallion flow (raw -> silver -> gold tables, reports read the
 gold table): it cuts lineage, so later plans start from a parquet scan with
 pushdown and pruning instead of re-running the joins and parsing upstream,
 and -- unlike an in-memory cache -- the table survives the loss of
-executors. Keys are scoped to the running application.
+executors.
+
+A layer is found again by what it is made of: the application, its name, the
+meaning of its plan and the files the plan reads. Another plan, or files added
+to an input, make another layer; ``refresh`` writes it anew in any case.
 """
 
 from __future__ import annotations
@@ -15,18 +19,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.session import app_key, scratch_path
-from strata.tables import read_parquet
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple, str] = {}
 
 
-def materialized(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``build()`` returns, written once per application."""
-    k = (app_key(spark), key)
-    path = _WRITTEN.get(k)
-    if path is None:
+def materialized(spark: SparkSession, key: str, build: Callable[[], DataFrame], refresh: bool = False) -> DataFrame:
+    """The table ``build()`` describes, written unless it already is."""
+    df = build()
+    k = (app_key(spark), key, df.semanticHash(), hash(tuple(sorted(df.inputFiles()))))
+    if refresh or k not in _WRITTEN:
         name = "".join(ch if ch.isalnum() else "-" for ch in key)[-80:]
         path = scratch_path(spark, name)
-        build().write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").parquet(path)
         _WRITTEN[k] = path
-    return read_parquet(spark, path)
+    return spark.read.schema(df.schema).parquet(_WRITTEN[k])
+
+
+def drop_layers(spark: SparkSession) -> int:
+    """Delete this application's written layers; returns how many."""
+    mine = [k for k in _WRITTEN if k[0] == app_key(spark)]
+    for k in mine:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(k))
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(mine)

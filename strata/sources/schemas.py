@@ -3,8 +3,7 @@ unchanged: field names and types in file order (fixed values)."""
 
 from __future__ import annotations
 
-import os
-
+from pyspark.sql import SparkSession
 from pyspark.sql.types import (DataType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
@@ -67,7 +66,8 @@ availability_365 bigint, number_of_reviews_ltm bigint, license string"""
 
 
 def parse_fields(text: str) -> StructType:
-    """``name type, name type, ...`` -> StructType (all nullable)."""
+    """``name type, name type, ...`` -> StructType (all nullable). Unlike
+    ``StructType.fromDDL`` this needs no running session."""
     fields = []
     for part in text.replace("\n", " ").split(","):
         name, type_name = part.split()
@@ -101,12 +101,11 @@ def raw_contract(name: str) -> StructType:
     return with_metadata_fields(contract(name), meta)
 
 
-def save_all(directory: str) -> list[str]:
+def save_all(spark: SparkSession, directory: str) -> list[str]:
     """Write every contract as ``<name>_schema.json`` (what the loaders read)."""
-    os.makedirs(directory, exist_ok=True)
     paths = []
     for name in CONTRACTS:
-        path = os.path.join(directory, f"{name}_schema.json")
-        save_contract(contract(name), path)
+        path = f"{directory.rstrip('/')}/{name}_schema.json"
+        save_contract(spark, contract(name), path)
         paths.append(path)
     return paths

@@ -12,13 +12,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from strata.session import local_path
+from strata.sources.files import is_path
 
 
 def _exists(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> bool:
@@ -35,7 +33,7 @@ def _exists(spark: SparkSession, path: str, fmt: str = "parquet", schema: Struct
 
 
 def table_exists(spark: SparkSession, path: str, schema: StructType | None = None) -> bool:
-    if path.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
+    if is_path(path):
         return _exists(spark, path, schema=schema)
     return spark.catalog.tableExists(path)
 
@@ -49,7 +47,7 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, fmt: str):
 
 def _save(df: DataFrame, target: str, mode: str, partition_by=None, fmt: str = "parquet", **options) -> None:
     w = _writer(df, mode, partition_by, fmt).options(**options)
-    if target.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
+    if is_path(target):
         w.save(target)
     else:
         w.saveAsTable(target)
@@ -59,7 +57,7 @@ def create_if_absent(spark: SparkSession, target: str, schema: StructType,
                      partition_by: list[str] | None = None) -> None:
     """Empty table from a contract, only when absent. A catalog name becomes
     ``CREATE TABLE IF NOT EXISTS``; a path gets an empty parquet write."""
-    if not target.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
+    if not is_path(target):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({cols}) USING parquet{parts}")
@@ -77,7 +75,7 @@ def ctas(df: DataFrame, target: str, if_exists: str = "error", partition_by=None
     if bucket_by is None:
         _save(df, target, mode, partition_by)
         return
-    if target.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
+    if is_path(target):
         raise ValueError("bucketing needs a catalog table name, not a path")
     n, cols = bucket_by
     w = _writer(df, mode, partition_by, "parquet").bucketBy(n, *cols).sortBy(*cols)
@@ -93,8 +91,25 @@ def overwrite(df: DataFrame, target: str, partition_by=None) -> None:
 
 
 def overwrite_batch(df: DataFrame, target: str, partition_by: list[str]) -> None:
-    """Replace only the partitions this batch contains (idempotent re-run)."""
-    _save(df, target, "overwrite", partition_by, partitionOverwriteMode="dynamic")
+    """Replace only the partitions this batch contains (idempotent re-run).
+
+    A catalog table is created first if absent, then overwritten by position
+    with the batch's columns in the table's order (``saveAsTable`` would
+    replace the whole table). All its columns must be in the batch."""
+    if is_path(target):
+        _save(df, target, "overwrite", partition_by, partitionOverwriteMode="dynamic")
+        return
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(target):
+        _save(df.limit(0), target, "errorifexists", partition_by)
+    columns = [c.name for c in spark.catalog.listColumns(target)]
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")                     # insertInto takes it from the session only
+    try:
+        df.select(*[f"`{c}`" for c in columns]).write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def insert_into(df: DataFrame, table_name: str, overwrite_rows: bool = False) -> None:
@@ -104,7 +119,7 @@ def insert_into(df: DataFrame, table_name: str, overwrite_rows: bool = False) ->
 
 def read_table(spark: SparkSession, target: str, merge_schema: bool = False,
                schema: StructType | None = None) -> DataFrame:
-    if target.startswith(("/", "file:", "hdfs:", "s3", "gs:", "abfs")):
+    if is_path(target):
         reader = spark.read.option("mergeSchema", str(merge_schema).lower())
         if schema is not None:
             reader = reader.schema(schema)
@@ -117,15 +132,6 @@ def read_merged(spark: SparkSession, target: str) -> DataFrame:
     return read_table(spark, target, merge_schema=True)
 
 
-def list_files(path: str) -> list[str]:
-    """Data files under a local directory (tests)."""
-    root = local_path(path)
-    out = []
-    for d, _, files in os.walk(root):
-        out += [os.path.join(d, f) for f in files if not f.startswith((".", "_"))]
-    return sorted(out)
-
-
 def drop_tables(spark: SparkSession, database: str, prefixes: tuple[str, ...]) -> list[str]:
     """Drop the catalog tables of ``database`` whose names start with one of
     ``prefixes`` (e.g. rebuild the silver/gold layers from scratch).

@@ -16,18 +16,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.sources.contracts import conform
-from strata.sources.csv import YEAR_PATTERN
+from strata.sources.csv import YEAR_PATTERN, headers
 
 
 def csv_stream(spark: SparkSession, landing: str, contract: StructType, header: bool = True,
-               sep: str = ",", max_files_per_trigger: int | None = None,
+               sep: str = ",", max_files_per_trigger: int | None = None, multi_line: bool = False,
                stamp_year: bool = False, year_pattern: str = YEAR_PATTERN,
                year_source: str = "file_name") -> DataFrame:
     """A streaming frame over CSV files in ``landing``, conformed to the
-    contract (fields read as text, then ``try_cast``)."""
-    text_schema = StructType([StructField(f.name, StringType(), True) for f in contract.fields])
+    contract by column name (fields read as text, then ``try_cast``).
+
+    The columns are those of the header of the files there (extra columns are
+    dropped, in whatever place they stand; an empty folder is taken to get
+    the contract's own). A file with another header fails the run rather than
+    being read into the wrong columns; ``multi_line`` allows line breaks inside
+    quoted fields."""
+    names = [f.name for f in contract.fields]
+    if header:
+        present = headers(spark, landing, sep)
+        if len(present) > 1:
+            raise ValueError(f"{landing} holds files with different headers: {sorted(map(list, present))}")
+        names = list(next(iter(present), names))
+    text_schema = StructType([StructField(n, StringType(), True) for n in names])
     reader = (spark.readStream.schema(text_schema).option("header", header).option("sep", sep)
-              .option("quote", '"').option("escape", '"'))
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+              .option("enforceSchema", not header))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing)
@@ -41,8 +54,8 @@ def csv_stream(spark: SparkSession, landing: str, contract: StructType, header:
 def ingest_available(stream: DataFrame, target: str, checkpoint: str,
                      partition_by: list[str] | None = None, add_processing_time: bool = False) -> int:
     """Write everything currently available to the parquet ``target``
-    (exactly once per file, tracked in ``checkpoint``) and stop.
-    Returns the number of micro-batches that carried rows."""
+    (exactly once per file, tracked in ``checkpoint``) and stop. Returns the
+    number of the last batch this run worked on (-1: nothing was new)."""
     if add_processing_time:
         stream = stream.withColumn("processing_datetime", F.current_timestamp())
     w = (stream.writeStream.format("parquet").option("path", target)
@@ -51,4 +64,5 @@ def ingest_available(stream: DataFrame, target: str, checkpoint: str,
         w = w.partitionBy(*partition_by)
     q = w.start()
     q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+    last = q.lastProgress
+    return last["batchId"] if last and last["numInputRows"] else -1

@@ -9,7 +9,6 @@ from strata.operators.profile import (completeness, missing_correlation, missing
 from strata.operators.reshape import transpose_compare, union_by_name, unpivot_pairs
 from strata.operators.sample import sample_n
 from strata.operators.window import share_of_group, top_n_per_group
-from strata.operators.joins import bounded_broadcast, row_count_at_most
 
 
 def test_unpivot_keeps_all_columns_and_sums(spark):
@@ -125,14 +124,6 @@ def test_union_by_name_allows_missing(spark):
     assert u.count() == 2 and set(u.columns) == {"k", "s", "d"}
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    assert row_count_at_most(small, 10) and not row_count_at_most(small, 9)
-    big = spark.range(1000)
-    assert bounded_broadcast(big, 100) is big          # over the bound: left as a shuffle join side
-    assert bounded_broadcast(small, 100) is not small  # under it: hinted
-
-
 def test_distributed_quantiles_match_pandas(spark):
     import pandas as pd
     from hypothesis import given, settings, strategies as st, HealthCheck
@@ -192,3 +183,65 @@ def test_approx_quantile_ignores_nan_and_null(spark):
     assert exact == 50.5 and abs(approx - exact) <= 1.0
     trimmed = quantile_trim(df, "x", 0.9, approx=True)
     assert trimmed.count() == 90
+
+
+def test_means_ignore_nan_and_keep_small_values(spark):
+    from strata.operators.aggregate import mean
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "v double")
+    assert df.agg(mean("v")).first()[0] == 2.0
+    assert spark.createDataFrame([(1e-9,), (3e-9,)], "v double").agg(mean("v")).first()[0] == 2e-9
+    assert spark.createDataFrame([(1e31,)], "v double").agg(mean("v")).first()[0] == 1e31
+
+
+def test_checksum_and_diff_see_shifted_nulls(spark):
+    from strata.operators.quality import layer_checksum, layer_diff
+    a = spark.createDataFrame([(None, 5), (1, 1)], "x int, y int")
+    b = spark.createDataFrame([(5, None), (1, 1)], "x int, y int")
+    assert not layer_checksum({"t": (a, b)}).first().checksum_match
+    d = layer_diff({"t": (a, b), "same": (a, a)}).orderBy("table_name").collect()
+    assert (d[0].missing_in_target, d[0].data_match) == (0, True)
+    assert (d[1].missing_in_target, d[1].extra_in_target) == (1, 1)
+
+
+def test_bag_compare_counts_copies(spark):
+    from strata.operators.quality import bag_compare
+    a = spark.createDataFrame([(1,)] * 3 + [(2,)], "x int")
+    b = spark.createDataFrame([(1,)] + [(3,)] * 2, "x int")
+    assert tuple(bag_compare(a, b).first()) == (4, 3, 3, 2)
+    assert tuple(bag_compare(a.limit(0), b.limit(0)).first()) == (0, 0, 0, 0)
+
+
+def test_reshape_takes_any_label(spark):
+    from strata.operators.reshape import transpose_compare, unpivot_pairs
+    df = spark.createDataFrame([("New York", 2.0), ("St. John's", 3.0)], "city string, `avg ``x``` double")
+    t = transpose_compare(df, "city", ["avg `x`"], "New York", "St. John's", labels={"avg `x`": "it's"}).first()
+    assert tuple(t) == ("it's", 2.0, 3.0, 50.0)
+    rows = unpivot_pairs(df, [("a 'b'", "avg `x`")], "name", "value", keep=["city"]).collect()
+    assert sorted(tuple(r) for r in rows) == [("New York", "a 'b'", 2.0), ("St. John's", "a 'b'", 3.0)]
+
+
+def test_sample_n_orders_little_more_than_n(spark):
+    from strata.operators.sample import sample_key, sample_n
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    want = [r.k for r in df.withColumn("h", sample_key("k", 7)).orderBy("h", "k").limit(300).collect()]
+    assert [r.k for r in sample_n(df, 300, "k", 7).collect()] == want
+    assert sample_n(df.limit(5), 300, "k").count() == 5 and sample_n(df.limit(0), 3, "k").count() == 0
+
+
+def test_quantile_bracket_beyond_the_sketch(spark, monkeypatch):
+    import numpy as np
+    from strata.operators import aggregate
+    monkeypatch.setattr(aggregate, "BRACKET_ACCURACY", 200)
+    r = np.random.default_rng(4)
+    x = r.integers(0, 3000, 8000) / 7
+    df = spark.createDataFrame([(float(v), i % 2) for i, v in enumerate(x)], "v double, g int")
+    got = {(r_.g, r_.q_index): r_.quantile for r_ in aggregate.quantiles(df, "v", [0.0, 0.25, 0.5, 0.99, 1.0], by=["g"]).collect()}
+    for g in (0, 1):
+        for i, q in enumerate((0.0, 0.25, 0.5, 0.99, 1.0)):
+            assert abs(got[g, i] - np.quantile(x[g::2], q)) < 1e-9
+
+
+def test_profile_text(spark):
+    from strata.operators.profile import profile_text
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("b", 4)], "t string, n int")
+    assert [tuple(r) for r in profile_text(df).collect()] == [("t", 3, 1, 2, "a", "b")]

@@ -10,6 +10,8 @@ from strata.plans import dashboards, flights, tpch
 from strata.plans.testviews import flight_view
 from strata.tables import table
 
+from strata.plans.registry import all_queries
+
 
 def plan(df) -> str:
     buf = io.StringIO()
@@ -46,7 +48,7 @@ def test_unpivot_and_daily_kpis_are_narrow(spark):
 
 
 def test_global_quantile_trim_is_a_scalar_subquery(spark):
-    p = plan(dashboards.q_trim_q99(spark, SF_SMALL))
+    p = plan(all_queries()["trim_q99"](spark, SF_SMALL))
     assert "Subquery" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
