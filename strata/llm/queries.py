@@ -64,7 +64,8 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.repetition import rules
-    return rules(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    found = rules(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def _digests(found: DataFrame) -> DataFrame:
@@ -103,4 +104,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 
-SQL: dict[str, str] = {}
+def _covered(k: int) -> str:
+    """SQL for (rid, n): words in windows of ``k`` words that occur twice or
+    more. The union of all repeated substrings of ``k`` words or more is that
+    of their windows of ``k``, so this also measures the suffix array's spans."""
+    return f"""SELECT rid, COUNT(DISTINCT p) AS n FROM (
+      SELECT rid, UNNEST(range(i, i + {k})) AS p FROM (
+        SELECT rid, i, COUNT(*) OVER (PARTITION BY rid, g) AS c FROM (
+          SELECT rid, i, array_to_string(words[i:i + {k - 1}], ' ') AS g
+          FROM (SELECT rid, words, UNNEST(range(1, len(words) - {k - 2})) AS i FROM t) a) b) d
+      WHERE c > 1) e GROUP BY rid"""
+
+
+SQL: dict[str, str] = {
+    "op9_quality_rules": rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+three AS ({_covered(3)}),
+eight AS ({_covered(8)}),
+long AS (  -- a repeat of over 200 words: a window of 201 that occurs twice
+  SELECT DISTINCT rid FROM (
+    SELECT rid, array_to_string(words[i:i + 200], ' ') AS g
+    FROM (SELECT t.rid, words, UNNEST(range(1, len(words) - 199)) AS i FROM t JOIN eight ON t.rid = eight.rid) a) b
+  GROUP BY rid, g HAVING COUNT(*) > 1),
+facts AS (
+  SELECT t.rid, doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         CAST(coalesce(three.n, 0) AS BIGINT) AS n_repeat_words, coalesce(eight.n, 0) AS spans, long.rid IS NOT NULL AS long
+  FROM t LEFT JOIN three ON t.rid = three.rid LEFT JOIN eight ON t.rid = eight.rid LEFT JOIN long ON t.rid = long.rid),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM facts)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words,
+       base_failed, NOT base_failed AND 10 * spans <= 3 * n_words AND NOT long AS kept
+FROM judged""",
+}
