@@ -77,7 +77,7 @@ def targets(sizes: DataFrame, weights: list[float], share: float, max_repeat: in
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeat: int = 2, block_words: int = 16,
+        weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeat: int = 2, block_words: int = 4,
         shard_words: int = 1 << 18, seed: int = 42) -> DataFrame:
     """(id, text_hash, source, size, source_size, target, taken) of every row of ``docs``: ``taken`` is
     how many of its words the mix takes, repeats counted (0 to ``max_repeat`` times ``size``).

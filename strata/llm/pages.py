@@ -43,8 +43,8 @@ _CLOSES = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)),
 #: Words in class or id, and roles, of parts that are no article text.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu submenu "
-    "sidebar footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
-    "social share sharing comment comments disqus replies breadcrumb breadcrumbs related recommended recommendations pagination "
+    "sidebar sidenav aside footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
+    "social share sharing comment comments disqus reply replies respond breadcrumb breadcrumbs related recommended recommendations pagination "
     "pager widget toolbar skip copyright disclaimer masthead".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
@@ -155,8 +155,9 @@ class Page:
             return
         top = self._open[-1]
         aside, header = _declared(attributes) if attributes and _TELLS.search(attributes) else (False, False)
-        header = top.header or ((header or tag == "header") and top.content)
-        drop = top.drop or tag in _NO_TEXT or aside or (tag == "header" and not top.content)
+        header = tag == "header" or (header and tag not in _HEADING)
+        drop = top.drop or tag in _NO_TEXT or aside or (header and not top.content)
+        header = top.header or (header and top.content)
         content = top.content or (tag in _CONTENT and not drop)
         self._container |= content
         node = top.node
