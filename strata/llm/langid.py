@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_text, map_texts, with_fields
+from strata.llm.common import id_text, map_texts, with_fields, written
 
 #: Family of a language code; any other code is a family of its own.
 FAMILIES = {
@@ -126,6 +126,8 @@ def sample(df: DataFrame, by: Column, rows: int, seed: int) -> DataFrame:
     single task."""
     src = df.withColumn("_by", by)
     sizes = src.groupBy("_by").agg(F.count(F.lit(1)).alias("_n"))
+    # written: a few rows of known size, which the join broadcasts instead of shuffling texts by value
+    sizes = written(sizes, "sizes")
     share = sizes.withColumn("_share", F.lit(rows / max(1, sizes.count())) / F.col("_n"))
     pick = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_003)) / 1_000_003.0
     return src.join(share, "_by").where(pick < F.col("_share")).drop("_by", "_n", "_share")
