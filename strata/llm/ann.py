@@ -103,8 +103,8 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
     ``df`` where ``is_query``, a condition on column ``vec_id``, holds) with all rows but its own, ties to
     the smaller id.
 
-    ``lists`` (default: a quarter of the square root of the number of rows, 16 to 1024) and ``probes`` (the share of
-    them that a query reads, nearest centroids first) set the balance of time and recall; centroids are
+    ``lists`` (default: a quarter of the square root of the number of rows, 1 to 1024) and ``probes`` (the share of
+    them that a query reads, nearest centroids first; more where those hold too few rows) set the balance of time and recall; centroids are
     learned from about ``sample_rows`` rows. Vectors that are null, zero, of another length than the
     commonest or hold null or non-finite components take no part, nor do rows without id; rows with
     the query's own id are never found; repeated rows are found as often as they come; an empty table gives an
@@ -127,7 +127,7 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
         return np.concatenate([v, np.sqrt(np.maximum(0.0, reach - (v * v).sum(1)))[:, None]], axis=1)
 
     x = lift(x)
-    count = min(lists or min(1024, max(16, int(np.sqrt(n) / 4))), len(np.unique(x, axis=0)))
+    count = min(lists or min(1024, max(1, int(np.sqrt(n) / 4))), len(np.unique(x, axis=0)))
     centroids = kmeans(x, count, 8, seed)
     reads = max(1, int(np.ceil(probes * count)))
     turn = rotation(dims + 1, seed)
@@ -139,6 +139,9 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
 
     indexed = written(rows.mapInPandas(assign, "vec_id long, list int, v array<double>"), "index")
     sizes = indexed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
+    held = np.zeros(count, np.int64)
+    for r in sizes.collect():                         # as many numbers as there are lists
+        held[r.list] = r.n
     sizes = sizes.withColumn("segments", F.ceil(F.col("n") / segment_rows).cast("int"))
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,9 +149,12 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
             for i in range(0, len(b), 1024):
                 part = b.iloc[i:i + 1024]
                 q = np.concatenate([np.stack(part.v), np.zeros((len(part), 1))], axis=1)
-                order = np.argsort((centroids * centroids).sum(1)[None] - 2 * q @ centroids.T, axis=1, kind="stable")[:, :reads]
-                yield pd.DataFrame({"query_id": np.repeat(part.vec_id.to_numpy(), reads), "list": order.ravel().astype(np.int32),
-                                    "v": [v for v in part.v for _ in range(reads)]})
+                order = np.argsort((centroids * centroids).sum(1)[None] - 2 * q @ centroids.T, axis=1, kind="stable")
+                # the nearest lists, and more of them while they hold fewer than k besides the query's own row
+                n = np.maximum(reads, (held[order].cumsum(1) < k + 1).sum(1) + 1).clip(max=count)
+                yield pd.DataFrame({"query_id": np.repeat(part.vec_id.to_numpy(), n),
+                                    "list": np.concatenate([o[:m] for o, m in zip(order, n)]).astype(np.int32),
+                                    "v": [v for v, m in zip(part.v, n) for _ in range(m)]})
 
     asked = rows.where(is_query).mapInPandas(probe, "query_id long, list int, v array<double>")
     asked = written(asked, "probes")
