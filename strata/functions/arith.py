@@ -35,7 +35,3 @@ def convert_currency(price, area, rates: dict[str, float]) -> Column:
         cond = area == F.lit(name)
         rate = F.when(cond, F.lit(float(r))) if rate is None else rate.when(cond, F.lit(float(r)))
     return price * rate.otherwise(F.lit(1.0))
-
-
-def sum_columns(cols) -> Column:
-    return reduce(lambda a, b: a + b, [_col(c) for c in cols])
