@@ -8,9 +8,9 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 from strata.session import scratch_path
 
@@ -39,6 +39,13 @@ def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
+def row_key(id_col: Column, text_col: Column, id_type: DataType) -> Column:
+    """A row's id and text hash as one struct column. In it a null id equals
+    itself, so a join on it and a window over it share one shuffle."""
+    kind = StructType([StructField("id", id_type), StructField("t", LongType())])
+    return F.struct(id_col.alias("id"), F.xxhash64(text_col.cast("string")).alias("t")).cast(kind)
+
+
 def ship(spark: SparkSession) -> None:
     """The package's source, sent to the executors once per application, so
     that their Python workers can import it wherever they run."""

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_text, map_texts, text_bytes, with_fields, written
+from strata.llm.common import id_text, map_texts, row_key, text_bytes, with_fields, written
 from strata.llm.components import connected_components
 
 #: Shingles hashed at a time: bounds the memory of a very long text.
@@ -151,10 +151,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     doesn't meet in one task."""
     found = near_duplicates(df, id_col, text_col, words, max_bits)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("t")))
-    chosen = found.groupBy("label").agg(first.alias("first")).select(
-        F.col("first.id").alias("_id"), F.col("first.t").alias("_t"))
-    row = df.select(F.struct("*").alias("row")).withColumns(
-        {"i": F.col(f"row.`{id_col}`"), "t": F.xxhash64(F.col(f"row.`{text_col}`").cast("string"))})
-    kept = row.join(chosen, row.i.eqNullSafe(chosen._id) & (row.t == chosen._t))
-    one = F.row_number().over(Window.partitionBy("i", "t").orderBy(F.xxhash64("row")))
+    chosen = found.groupBy("label").agg(first.alias("first")).select(F.struct("first.id", "first.t").alias("key"))
+    row = df.select(F.struct("*").alias("row"))
+    row = row.withColumn("key", row_key(F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"), df.schema[id_col].dataType))
+    kept = row.join(chosen, "key")
+    one = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
     return kept.withColumn("n", one).where("n = 1").select("row.*")
