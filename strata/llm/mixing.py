@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD_PATTERN, written
+from strata.llm.common import WORD_PATTERN, row_key, written
 
 
 def _seats(df: DataFrame, by: list[str], votes: str, total: Column, limit: Column) -> DataFrame:
@@ -134,13 +134,11 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     Columns are those of ``docs``; ``length_col`` of a cut text is counted anew."""
     taken = mix(docs, id_col, text_col, source_col, **settings).where("taken > 0")
     # equal rows (same id and text) take what they take together, spread over them
-    taken = taken.groupBy("id", "text_hash").agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"), F.count(F.lit(1)).alias("_k"))
-    taken = taken.select(F.col("id").alias("_id"), F.col("text_hash").alias("_t"), "_taken", "_size")
-    row = docs.select(F.struct("*").alias("row")).withColumns({
-        "_i": F.col(f"row.`{id_col}`"), "_h": F.xxhash64(F.col(f"row.`{text_col}`").cast("string"))})
-    row = row.withColumn("_copy", F.row_number().over(Window.partitionBy("_i", "_h").orderBy(F.xxhash64("row"))))
-    row = row.where("_copy = 1")
-    out = row.join(taken, row._i.eqNullSafe(taken._id) & (row._h == taken._t))
+    taken = taken.groupBy(F.struct("id", F.col("text_hash").alias("t")).alias("key")).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
+    row = docs.select(F.struct("*").alias("row"))
+    row = row.withColumn("key", row_key(F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"), docs.schema[id_col].dataType))
+    row = row.withColumn("_copy", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))).where("_copy = 1")
+    out = row.join(taken, "key")
     whole = F.expr("_taken div _size").cast("int")
     last = (F.col("_taken") % F.col("_size")).cast("int")
     out = out.withColumn("_last", last).withColumn(
