@@ -84,8 +84,10 @@ class _Element:
 
 
 class Page:
-    """A page's subtrees (``parent``, ``hashes``, ``countable``, in page order, parents first) and blocks
-    (``texts``, each in subtree ``at``)."""
+    """A page's blocks (``texts``), the hashes of its subtrees to be counted (``counted``) and of all
+    it holds (``body``). If a block lies in a counted subtree, also its subtrees (``parent``, ``hashes``,
+    ``countable``, in page order, parents first) and each block's subtree (``at``); else these are
+    empty: whatever turns out to be template, the page's text stands."""
 
     def __init__(self, source: str):
         self.parent: list[int] = []
@@ -123,6 +125,12 @@ class Page:
         keep = [b for b in self.blocks if b[2]] if self._container else self.blocks
         self.texts, self.at = [b[0] for b in keep], [b[1] for b in keep]
         self.body = self._open[0].hash.intdigest()
+        self.counted = list({h for h, c in zip(self.hashes, self.countable) if c})
+        within: list[bool] = []                        # in a subtree that may turn out to be template
+        for up, c in zip(self.parent, self.countable):
+            within.append(c or (up >= 0 and within[up]))
+        if not any(within[i] for i in self.at if i >= 0):
+            self.parent, self.hashes, self.countable, self.at = [], [], [], []
 
     def _say(self, text: str) -> None:
         if text:
@@ -206,16 +214,16 @@ class Page:
                 return                                # an inline end tag doesn't end the blocks in between
 
 
-_PARSED = "parent array<int>, hashes array<long>, countable array<boolean>, texts array<string>, at array<int>, body long"
+_PARSED = "parent array<int>, hashes array<long>, countable array<boolean>, texts array<string>, at array<int>, counted array<long>, body long"
 
 
 def parse(df: DataFrame) -> DataFrame:
-    """(row struct, parent, hashes, countable, texts, at, body) of every row (row, text)."""
+    """(row struct and the parts of a :class:`Page`) of every row (row, text)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         pages = [Page(t or "") for t in batch.column("text").to_pylist()]
         cols = [pa.array([p.parent for p in pages], pa.list_(pa.int32())), pa.array([p.hashes for p in pages], pa.list_(pa.int64())),
                 pa.array([p.countable for p in pages], pa.list_(pa.bool_())), pa.array([p.texts for p in pages], pa.list_(pa.string())),
-                pa.array([p.at for p in pages], pa.list_(pa.int32())), pa.array([p.body - (1 << 63) for p in pages], pa.int64())]
+                pa.array([p.at for p in pages], pa.list_(pa.int32())), pa.array([p.counted for p in pages], pa.list_(pa.int64())), pa.array([p.body - (1 << 63) for p in pages], pa.int64())]
         return pa.RecordBatch.from_arrays([batch.column("row"), *cols], ["row", *[x.split()[0] for x in _PARSED.split(", ")]])
 
     return map_texts(df, run, with_fields(df.schema["row"], _PARSED))
@@ -235,13 +243,13 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                     F.col(f"`{html_col}`").cast("string").alias("text"))
     pages = written(parse(src).select("row.*", *[x.split()[0] for x in _PARSED.split(", ")]), "pages")
 
-    trees = pages.select("rid", "host", "body", F.explode(F.array_distinct(F.transform(
-        F.filter(F.arrays_zip("hashes", "countable"), lambda x: x["countable"]), lambda x: x["hashes"]))).alias("hash"))
+    trees = pages.select("rid", "host", "body", F.size("at").alias("blocks"), F.explode("counted").alias("hash"))
     seen = trees.select("host", "hash", "body").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     size = pages.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     template = written(seen.where(F.col("n") >= min_pages).join(size, "host").where(F.col("n") >= min_share * F.col("pages"))
                        .select("host", "hash"), "template")
-    marked = trees.select("rid", "host", "hash").join(template, ["host", "hash"]).groupBy("rid").agg(F.collect_set("hash").alias("template"))
+    # only pages with a block in a counted subtree wait for the verdict; the others' texts aren't shuffled
+    marked = trees.where("blocks > 0").select("rid", "host", "hash").join(template, ["host", "hash"]).groupBy("rid").agg(F.collect_set("hash").alias("template"))
 
     def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -255,5 +263,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
             out.append("\n".join(texts))
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(out, pa.string())], ["id", "url", "text"])
 
-    joined = pages.join(marked, "rid", "left").select("id", "url", "parent", "hashes", "countable", "texts", "at", "template")
+    columns = ["id", "url", "parent", "hashes", "countable", "texts", "at"]
+    joined = pages.where(F.size("at") > 0).join(marked, "rid", "left").select(*columns, "template").unionByName(
+        pages.where(F.size("at") == 0).select(*columns, F.lit(None).cast("array<long>").alias("template")))
     return map_texts(joined, clean, StructType([joined.schema["id"], joined.schema["url"], *StructType.fromDDL("text string")]))

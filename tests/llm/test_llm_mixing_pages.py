@@ -118,6 +118,7 @@ def test_template_is_counted_per_host(spark):
             same = "<div class='x'><p>All about us</p></div>" if host == "a.example" or i == 0 else ""
             rows.append((len(rows), f"http://{host}/{i}", f"<body>{same}<div><p>Text {host} {i}</p><p>Read on</p></div></body>"))
     article = "<body><article><div><p>copied</p></div></article></body>"
+    rows += [(300 + i, f"http://e.example/{i}", f"<body><article><p>Item {i}</p><div><p>Sign up</p></div><p>end</p></article></body>") for i in range(6)]
     rows += [(100 + i, "http://c.example/x", article) for i in range(8)]          # equal pages count once
     rows += [(200, None, "<p>no host</p>"), (201, "http://a.example/z", None), (None, "nonsense", "<p>q</p>"), (0, "http://d.example", "")]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, row string, rid int")
@@ -128,6 +129,7 @@ def test_template_is_counted_per_host(spark):
     assert text[(0, "http://a.example/0")] == "Text a.example 0"
     assert text[(8, "http://b.example/0")] == "All about us\nText b.example 0"
     assert text[(100, "http://c.example/x")] == "copied"
+    assert text[(303, "http://e.example/3")] == "Item 3\nend"
     assert text[(200, None)] == "no host" and text[(201, "http://a.example/z")] == "" and text[(None, "nonsense")] == "q"
     assert pages.main_text(df.limit(0)).count() == 0
 
