@@ -1,22 +1,29 @@
 """Main text of web pages: site template removal.
 
 A first pass reads every page into its blocks of text and its element
-subtrees, each with a hash of all it holds. Spark counts in how many different
-pages of a host each subtree occurs; those found on many are the site's
+subtrees, each with a hash of all it holds; a block of bare text beside other
+blocks is a subtree of its own. Spark counts in how many different surroundings
+on a host each subtree with text occurs; those found in many are the site's
 template. A second pass over the stored blocks deletes what lies in them.
 
-Beside that, what a page declares as no article text (menus, headers, footers,
-asides, forms, scripts, parts named or labelled as adverts, notices, comments
-and so on) is left out, and a page with an ``article`` or ``main`` element is
-only read inside it. Paragraphs and headings in such an element are never
-taken for template, nor is the element itself: a copied article recurs without
-being template, which is also why equal pages count once.
+The surroundings of a subtree are the longest block of its page outside it. A
+copied article recurs with the rest of the article around it, so it and its
+paragraphs count once, as equal pages do; for prose in an ``article`` or
+``main`` element, surroundings that differ in digits only are the same. That
+element itself is never taken for template.
+
+As an addition to the counts, what a page declares as no article text (menus,
+headers, footers, asides, forms, scripts, parts named or labelled as adverts,
+notices, comments and so on) is left out, and a page with an ``article`` or
+``main`` element is only read inside it.
 """
 
 from __future__ import annotations
 
 import html
+import pickle
 import re
+import zlib
 
 import pyarrow as pa
 import xxhash
@@ -53,7 +60,10 @@ _TAG = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _TELLS = re.compile(r"\b(?:class|id|role|hidden|style)\b", re.I)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_DIGITS = re.compile("[0-9]+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+#: Tasks that one subtree's pages are dealt over.
+_SALTS = 32
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -84,15 +94,15 @@ class _Element:
 
 
 class Page:
-    """A page's blocks (``texts``), the hashes of its subtrees to be counted (``counted``) and of all
-    it holds (``body``). If a block lies in a counted subtree, also its subtrees (``parent``, ``hashes``,
-    ``countable``, in page order, parents first) and each block's subtree (``at``); else these are
-    empty: whatever turns out to be template, the page's text stands."""
+    """A page's blocks (``texts``), its subtrees (``parent``, ``hashes``, ``countable``, in page order,
+    parents first), each block's subtree (``at``), and (hash, surroundings) of the subtrees that are
+    counted (``counted``): those that hold a block."""
 
     def __init__(self, source: str):
         self.parent: list[int] = []
         self.hashes: list[int] = []
         self.countable: list[bool] = []
+        self._prose: list[bool] = []
         self.blocks: list[tuple[str, int, bool]] = []
         self._open: list[_Element] = [_Element("", -1, False, False, False)]
         self._count: dict[str, int] = {}
@@ -124,13 +134,27 @@ class Page:
             self._pop()
         keep = [b for b in self.blocks if b[2]] if self._container else self.blocks
         self.texts, self.at = [b[0] for b in keep], [b[1] for b in keep]
-        self.body = self._open[0].hash.intdigest()
-        self.counted = list({h for h, c in zip(self.hashes, self.countable) if c})
-        within: list[bool] = []                        # in a subtree that may turn out to be template
-        for up, c in zip(self.parent, self.countable):
-            within.append(c or (up >= 0 and within[up]))
-        if not any(within[i] for i in self.at if i >= 0):
-            self.parent, self.hashes, self.countable, self.at = [], [], [], []
+        self.counted = self._counted()
+
+    def _counted(self) -> list[tuple[int, int]]:
+        end = list(range(1, len(self.parent) + 1))     # a subtree's nodes are those from its own to before its end
+        for i in range(len(self.parent) - 1, -1, -1):
+            if self.parent[i] >= 0:
+                end[self.parent[i]] = max(end[self.parent[i]], end[i])
+        holds = set()
+        for i in self.at:
+            while i >= 0 and i not in holds:
+                holds.add(i)
+                i = self.parent[i]
+        order = sorted(range(len(self.texts)), key=lambda k: (-len(self.texts[k]), self.texts[k]))
+        out = set()
+        for i in holds:
+            if self.countable[i]:
+                around = next((self.texts[k] for k in order if not i <= self.at[k] < end[i]), "")
+                if self._prose[i]:
+                    around = _DIGITS.sub("0", around)
+                out.add((self.hashes[i], xxhash.xxh3_64_intdigest(around) - (1 << 63)))
+        return sorted(out)
 
     def _say(self, text: str) -> None:
         if text:
@@ -146,7 +170,18 @@ class Page:
             self._text.clear()
             top = next(e for e in reversed(self._open) if e.tag not in _INLINE)
             if text and not (top.header and top.tag not in _HEADING):
-                self.blocks.append((text, top.node, top.content))
+                node = top.node
+                if top.tag not in _PROSE:              # bare text, a subtree of its own
+                    node = self._node(top.node, True, top.content)
+                    self.hashes[node] = xxhash.xxh3_64_intdigest("#" + text) - (1 << 63)
+                self.blocks.append((text, node, top.content))
+
+    def _node(self, parent: int, countable: bool, prose: bool) -> int:
+        self.parent.append(parent)
+        self.hashes.append(0)
+        self.countable.append(countable)
+        self._prose.append(prose)
+        return len(self.parent) - 1
 
     def _start(self, tag: str, attributes: str) -> None:
         inline = tag in _INLINE
@@ -170,11 +205,7 @@ class Page:
         self._container |= content
         node = top.node
         if not inline:
-            node = len(self.parent)
-            self.parent.append(top.node)
-            self.hashes.append(0)
-            self.countable.append(tag not in _CONTENT and tag not in ("html", "body", "head")
-                                  and not (top.content and (tag in _PROSE)))
+            node = self._node(top.node, tag not in _CONTENT and tag not in ("html", "body", "head"), top.content and tag in _PROSE)
         self._open.append(_Element(tag, node, drop, content, header))
         self._count[tag] = self._count.get(tag, 0) + 1
 
@@ -214,17 +245,17 @@ class Page:
                 return                                # an inline end tag doesn't end the blocks in between
 
 
-_PARSED = "parent array<int>, hashes array<long>, countable array<boolean>, texts array<string>, at array<int>, counted array<long>, body long"
+_PARSED = "counted array<struct<hash:long,around:long>>, page binary"
+_COUNTED = pa.list_(pa.struct([("hash", pa.int64()), ("around", pa.int64())]))
 
 
 def parse(df: DataFrame) -> DataFrame:
-    """(row struct and the parts of a :class:`Page`) of every row (row, text)."""
+    """(row struct, the counted subtrees and, packed, the blocks and subtrees of a :class:`Page`) of every row (row, text)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         pages = [Page(t or "") for t in batch.column("text").to_pylist()]
-        cols = [pa.array([p.parent for p in pages], pa.list_(pa.int32())), pa.array([p.hashes for p in pages], pa.list_(pa.int64())),
-                pa.array([p.countable for p in pages], pa.list_(pa.bool_())), pa.array([p.texts for p in pages], pa.list_(pa.string())),
-                pa.array([p.at for p in pages], pa.list_(pa.int32())), pa.array([p.counted for p in pages], pa.list_(pa.int64())), pa.array([p.body - (1 << 63) for p in pages], pa.int64())]
-        return pa.RecordBatch.from_arrays([batch.column("row"), *cols], ["row", *[x.split()[0] for x in _PARSED.split(", ")]])
+        counted = pa.array([[{"hash": h, "around": a} for h, a in p.counted] for p in pages], _COUNTED)
+        packed = pa.array([zlib.compress(pickle.dumps((p.parent, p.hashes, p.countable, p.texts, p.at)), 3) for p in pages], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column("row"), counted, packed], ["row", "counted", "page"])
 
     return map_texts(df, run, with_fields(df.schema["row"], _PARSED))
 
@@ -232,7 +263,7 @@ def parse(df: DataFrame) -> DataFrame:
 def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               min_pages: int = 5, min_share: float = 0.1) -> DataFrame:
     """(id, url, text) of every row of ``df``. A subtree is template if it occurs in at least ``min_pages``
-    different pages of its host and in ``min_share`` of them.
+    different surroundings on its host and on ``min_share`` of its pages.
 
     A null or empty page, or one without article text, gives an empty text; pages without a url (or
     with one that names no host) count as one host; a null id or url stays null; repeated rows are returned as
@@ -241,20 +272,22 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     src = df.select(F.struct(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"),
                              F.col(f"`{url_col}`").alias("url"), host.alias("host")).alias("row"),
                     F.col(f"`{html_col}`").cast("string").alias("text"))
-    pages = written(parse(src).select("row.*", *[x.split()[0] for x in _PARSED.split(", ")]), "pages")
+    pages = written(parse(src).select("row.*", "counted", "page"), "pages")
 
-    trees = pages.select("rid", "host", "body", F.size("at").alias("blocks"), F.explode("counted").alias("hash"))
-    seen = trees.select("host", "hash", "body").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    size = pages.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    trees = pages.select("rid", "host", F.explode("counted").alias("c")).select("rid", "host", "c.*")
+    seen = trees.select("host", "hash", "around").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     template = written(seen.where(F.col("n") >= min_pages).join(size, "host").where(F.col("n") >= min_share * F.col("pages"))
                        .select("host", "hash"), "template")
-    # only pages with a block in a counted subtree wait for the verdict; the others' texts aren't shuffled
-    marked = trees.where("blocks > 0").select("rid", "host", "hash").join(template, ["host", "hash"]).groupBy("rid").agg(F.collect_set("hash").alias("template"))
+    # a line that all pages of a large host share is dealt over several tasks
+    salted = template.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    marked = (trees.select("rid", "host", "hash", F.pmod("rid", F.lit(_SALTS)).cast("int").alias("salt"))
+              .join(salted, ["host", "hash", "salt"]).groupBy("rid").agg(F.collect_set("hash").alias("template")))
 
     def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        cols = [batch.column(c).to_pylist() for c in ("parent", "hashes", "countable", "texts", "at", "template")]
-        for parent, hashes, countable, texts, at, found in zip(*cols):
+        for page, found in zip(batch.column("page").to_pylist(), batch.column("template").to_pylist()):
+            parent, hashes, countable, texts, at = pickle.loads(zlib.decompress(page))
             if found:
                 found, gone = set(found), []
                 for up, h, c in zip(parent, hashes, countable):
@@ -263,7 +296,5 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
             out.append("\n".join(texts))
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(out, pa.string())], ["id", "url", "text"])
 
-    columns = ["id", "url", "parent", "hashes", "countable", "texts", "at"]
-    joined = pages.where(F.size("at") > 0).join(marked, "rid", "left").select(*columns, "template").unionByName(
-        pages.where(F.size("at") == 0).select(*columns, F.lit(None).cast("array<long>").alias("template")))
+    joined = pages.select("rid", "id", "url", "page").join(marked, "rid", "left").drop("rid")
     return map_texts(joined, clean, StructType([joined.schema["id"], joined.schema["url"], *StructType.fromDDL("text string")]))

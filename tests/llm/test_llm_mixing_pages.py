@@ -134,6 +134,24 @@ def test_template_is_counted_per_host(spark):
     assert pages.main_text(df.limit(0)).count() == 0
 
 
+WORDS = "amber birch cedar delta ember fjord grove heath inlet jetty kelp larch mango noble ocean pearl".split()
+
+
+def test_counts_decide_on_prose_in_articles(spark):
+    body = lambda *parts: "<html><body><article>" + "".join(parts) + "</article></body></html>"
+    rows = [(i, f"http://f.example/{i}", body(f"<h1>On {w}</h1><p>All that is known of {w} and more</p><p>Sign up for letters</p>Bare line<br>"))
+            for i, w in enumerate(WORDS)]
+    # a copied article under other dates, and one under other titles, recur with the same text around
+    rows += [(100 + i, f"http://g.example/{i}", body(f"<p>{i + 10} May</p><p>A story told again in full</p><p>Its end</p>")) for i in range(12)]
+    rows += [(200 + i, f"http://g.example/{w}", body(f"<h1>{w}</h1><p>Another story told again in full</p><p>Its last line is here</p>"))
+             for i, w in enumerate(WORDS)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.id: r.text for r in pages.main_text(df).collect()}
+    assert text == {i: t for i, t in [(i, f"On {w}\nAll that is known of {w} and more") for i, w in enumerate(WORDS)]
+                    + [(100 + i, f"{i + 10} May\nA story told again in full\nIts end") for i in range(12)]
+                    + [(200 + i, f"{w}\nAnother story told again in full\nIts last line is here") for i, w in enumerate(WORDS)]}
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "secret_scan", "mix_sources", "bpe_encode"]
