@@ -261,9 +261,9 @@ def parse(df: DataFrame) -> DataFrame:
 
 
 def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-              min_pages: int = 5, min_share: float = 0.1) -> DataFrame:
+              min_pages: int = 5) -> DataFrame:
     """(id, url, text) of every row of ``df``. A subtree is template if it occurs in at least ``min_pages``
-    different surroundings on its host and on ``min_share`` of its pages.
+    different surroundings on its host, however many pages the host has.
 
     A null or empty page, or one without article text, gives an empty text; pages without a url (or
     with one that names no host) count as one host; a null id or url stays null; repeated rows are returned as
@@ -276,9 +276,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
 
     trees = pages.select("rid", "host", F.explode("counted").alias("c")).select("rid", "host", "c.*")
     seen = trees.select("host", "hash", "around").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    size = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    template = written(seen.where(F.col("n") >= min_pages).join(size, "host").where(F.col("n") >= min_share * F.col("pages"))
-                       .select("host", "hash"), "template")
+    template = written(seen.where(F.col("n") >= min_pages).select("host", "hash"), "template")
     # a line that all pages of a large host share is dealt over several tasks
     salted = template.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     marked = (trees.select("rid", "host", "hash", F.pmod("rid", F.lit(_SALTS)).cast("int").alias("salt"))

@@ -152,6 +152,14 @@ def test_counts_decide_on_prose_in_articles(spark):
                     + [(200 + i, f"{w}\nAnother story told again in full\nIts last line is here") for i, w in enumerate(WORDS)]}
 
 
+def test_template_of_a_section_of_a_large_host(spark):
+    pair = lambda i: f"{WORDS[i % 16]} {WORDS[i // 16]}"
+    rows = [(i, f"http://h.example/{i}", f"<body><div>{'<p>Notice to all</p>' if i < 6 else ''}<p>A page about {pair(i)} here</p></div></body>")
+            for i in range(120)]
+    text = {r.id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert text == {i: f"A page about {pair(i)} here" for i in range(120)}
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "secret_scan", "mix_sources", "bpe_encode"]
