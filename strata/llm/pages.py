@@ -15,7 +15,10 @@ element itself is never taken for template.
 As an addition to the counts, what a page declares as no article text (menus,
 headers, footers, asides, forms, scripts, parts named or labelled as adverts,
 notices, comments and so on) is left out, and a page with an ``article`` or
-``main`` element is only read inside it.
+``main`` element is only read inside it. Names say nothing about ``html``,
+``body``, ``main`` and ``article`` or about an element with more than half of
+the page's text, and a page with less than a fifth of its text in ``article``
+and ``main`` is read whole.
 """
 
 from __future__ import annotations
@@ -62,19 +65,22 @@ _TELLS = re.compile(r"\b(?:class|id|role|hidden|style)\b", re.I)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _DIGITS = re.compile("[0-9]+")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+#: Elements whose names say nothing about their text.
+_WHOLE = frozenset("html body main article".split())
 #: Tasks that one subtree's pages are dealt over.
 _SALTS = 32
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _declared(attributes: str) -> tuple[bool, bool]:
-    """Whether attributes say that an element is no article text; whether they name it a header."""
-    aside = header = False
+def _declared(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether attributes say that an element is no article text by role or hiding; whether by name;
+    whether they name it a header."""
+    aside = named = header = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), html.unescape(value.strip("\"'"))
         if name in ("class", "id"):
             words = [w.lower() for w in _WORDS.findall(value)]
-            aside |= not _NAMES.isdisjoint(words)
+            named |= not _NAMES.isdisjoint(words)
             header |= "header" in words
         elif name == "role":
             aside |= value.lower() in _ROLES
@@ -82,14 +88,14 @@ def _declared(attributes: str) -> tuple[bool, bool]:
             aside = True
         elif name == "style":
             aside |= bool(_HIDDEN.search(value))
-    return aside, header
+    return aside, named, header
 
 
 class _Element:
-    __slots__ = ("tag", "node", "hash", "drop", "content", "header")
+    __slots__ = ("tag", "node", "hash", "drop", "named", "content", "header")
 
-    def __init__(self, tag, node, drop, content, header):
-        self.tag, self.node, self.drop, self.content, self.header = tag, node, drop, content, header
+    def __init__(self, tag, node, drop, named, content, header):
+        self.tag, self.node, self.drop, self.named, self.content, self.header = tag, node, drop, named, content, header
         self.hash = xxhash.xxh3_64(tag)
 
 
@@ -103,10 +109,12 @@ class Page:
         self.hashes: list[int] = []
         self.countable: list[bool] = []
         self._prose: list[bool] = []
-        self.blocks: list[tuple[str, int, bool]] = []
-        self._open: list[_Element] = [_Element("", -1, False, False, False)]
+        self._bare: set[int] = set()
+        self.blocks: list[tuple[list, int, bool, bool]] = []
+        self._named: list[tuple[int, bool]] = []       # elements left out by name: the one around, whether headings stay
+        self._open: list[_Element] = [_Element("", -1, False, -1, False, False)]
         self._count: dict[str, int] = {}
-        self._text: list[str] = []
+        self._text: list[tuple[str, int]] = []
         self._container = False
         at, end = 0, len(source)
         while at < end:
@@ -132,10 +140,39 @@ class Page:
         self._break()
         while len(self._open) > 1:
             self._pop()
-        keep = [b for b in self.blocks if b[2]] if self._container else self.blocks
+        keep = self._kept()
+        if self._container:
+            inside = [b for b in keep if b[2]]
+            if 5 * sum(len(b[0]) for b in inside) >= sum(len(b[0]) for b in keep):
+                keep = inside
         self.texts, self.at = [b[0] for b in keep], [b[1] for b in keep]
         self.counted = self._counted()
 
+    def _kept(self) -> list[tuple[str, int, bool]]:
+        """(text, subtree, whether in article or main) of the blocks without what is left out by name."""
+        size, total = [0] * len(self._named), 0
+        for parts, *_ in self.blocks:
+            for text, i in parts:
+                n = len("".join(text.split()))
+                total += n
+                if i >= 0:
+                    size[i] += n
+        for i in range(len(size) - 1, -1, -1):
+            if self._named[i][0] >= 0:
+                size[self._named[i][0]] += size[i]
+        out, gone = [], []                             # gone: whether an element's text, its headings too, goes
+        for (up, stay), n in zip(self._named, size):
+            small = 2 * n <= total
+            above = gone[up] if up >= 0 else (False, False)
+            gone.append((above[0] or small, above[1] or (small and not stay)))
+        for parts, node, content, heading in self.blocks:
+            text = " ".join(html.unescape("".join(t for t, i in parts if i < 0 or not gone[i][heading])).split())
+            if text:
+                if node in self._bare:
+                    self.hashes[node] = xxhash.xxh3_64_intdigest("#" + text) - (1 << 63)
+                out.append((text, node, content))
+        return out
+
     def _counted(self) -> list[tuple[int, int]]:
         end = list(range(1, len(self.parent) + 1))     # a subtree's nodes are those from its own to before its end
         for i in range(len(self.parent) - 1, -1, -1):
@@ -147,10 +184,16 @@ class Page:
                 holds.add(i)
                 i = self.parent[i]
         order = sorted(range(len(self.texts)), key=lambda k: (-len(self.texts[k]), self.texts[k]))
-        out = set()
+        out, first, k = set(), {}, 0                   # first: the longest block outside, of what holds the longest of all
+        i = self.at[order[0]] if order else -1
+        while i >= 0:
+            while k < len(order) and i <= self.at[order[k]] < end[i]:
+                k += 1
+            first[i], i = k, self.parent[i]
         for i in holds:
             if self.countable[i]:
-                around = next((self.texts[k] for k in order if not i <= self.at[k] < end[i]), "")
+                k = first.get(i, 0)
+                around = self.texts[order[k]] if k < len(order) else ""
                 if self._prose[i]:
                     around = _DIGITS.sub("0", around)
                 out.add((self.hashes[i], xxhash.xxh3_64_intdigest(around) - (1 << 63)))
@@ -161,20 +204,19 @@ class Page:
             top = self._open[-1]
             top.hash.update(text)
             if not top.drop:
-                self._text.append(text)
+                self._text.append((text, top.named))
 
     def _break(self) -> None:
         """The end of a block."""
         if self._text:
-            text = " ".join(html.unescape("".join(self._text)).split())
-            self._text.clear()
+            parts, self._text = self._text, []
             top = next(e for e in reversed(self._open) if e.tag not in _INLINE)
-            if text and not (top.header and top.tag not in _HEADING):
+            if any(t.strip() for t, _ in parts) and not (top.header and top.tag not in _HEADING):
                 node = top.node
                 if top.tag not in _PROSE:              # bare text, a subtree of its own
                     node = self._node(top.node, True, top.content)
-                    self.hashes[node] = xxhash.xxh3_64_intdigest("#" + text) - (1 << 63)
-                self.blocks.append((text, node, top.content))
+                    self._bare.add(node)
+                self.blocks.append((parts, node, top.content, top.tag in _HEADING))
 
     def _node(self, parent: int, countable: bool, prose: bool) -> int:
         self.parent.append(parent)
@@ -192,21 +234,26 @@ class Page:
         if tag in _CLOSES:
             self._until(*_CLOSES[tag])
         if tag == "br":
-            self._text.append(" ")
+            self._text.append((" ", self._open[-1].named))
         if tag in _VOID:
             self._open[-1].hash.update(tag)
             return
         top = self._open[-1]
-        aside, header = _declared(attributes) if attributes and _TELLS.search(attributes) else (False, False)
-        header = tag == "header" or (header and tag not in _HEADING)
-        drop = top.drop or tag in _NO_TEXT or aside or (header and not top.content)
-        header = top.header or (header and top.content)
+        aside, named, headed = _declared(attributes) if attributes and _TELLS.search(attributes) else (False, False, False)
+        if tag in _WHOLE:
+            aside, named, headed = aside and tag in _CONTENT, False, False
+        header = top.header or (tag == "header" and top.content)
+        drop = top.drop or tag in _NO_TEXT or aside or (tag == "header" and not top.content)
+        within = top.named
+        if named or (headed and tag != "header" and tag not in _HEADING):
+            within = len(self._named)
+            self._named.append((top.named, not named and top.content))
         content = top.content or (tag in _CONTENT and not drop)
         self._container |= content
         node = top.node
         if not inline:
             node = self._node(top.node, tag not in _CONTENT and tag not in ("html", "body", "head"), top.content and tag in _PROSE)
-        self._open.append(_Element(tag, node, drop, content, header))
+        self._open.append(_Element(tag, node, drop, within, content, header))
         self._count[tag] = self._count.get(tag, 0) + 1
 
     def _pop(self) -> None:

@@ -160,6 +160,17 @@ def test_template_of_a_section_of_a_large_host(spark):
     assert text == {i: f"A page about {pair(i)} here" for i in range(120)}
 
 
+def test_names_and_containers_never_empty_a_page():
+    long = "The whole of the article in many words, "* 3
+    for start in ("<body class='has-sidebar'><article>", "<body class=no-comments><main class='header-fixed'>",
+                  "<html class=header-on><body id=page><article class='post type-post comments-open'>", "<body><div class='with-sidebar'>",
+                  "<body><div class='page-header-fixed'><div id=ad-free>", "<body><article><div class='has-header'>"):
+        assert pages.Page(f"<body>{start}<p>{long}<span class=comment>x</span><div class=sidebar>s</div>").texts == [long.strip()], start
+    assert pages.Page(f"<article></article><p>{long}").texts == [long.strip()]
+    assert pages.Page(f"<article><p>Read more</article><p>{long}").texts == ["Read more", long.strip()]
+    assert pages.Page(f"<article><p>{long}</article><p>Read more").texts == [long.strip()]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "secret_scan", "mix_sources", "bpe_encode"]
