@@ -3,7 +3,8 @@
 Base findings (three kinds of rules) always stay. Other candidates come from
 high-recall generators: long tokens that mix letters and digits, and private
 key blocks. Every candidate, base or not, is scored with its surrounding
-characters by a small convolutional network in numpy; a candidate that no base
+characters by a small convolutional network in numpy, in overlapping windows
+over the whole of it of which the highest counts; a candidate that no base
 finding overlaps is added if its calibrated score reaches the threshold.
 
 The network is trained here, on labelled findings of ``examples`` rows made
@@ -19,6 +20,7 @@ import random
 import re
 import string
 from functools import lru_cache
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -78,15 +80,18 @@ def other_candidates(text: str, base: list[Span]) -> list[Span]:
 # --- the network -----------------------------------------------------------
 
 _LEFT, _BODY, _RIGHT, _WIDE = 24, 48, 8, 5
+_STEP = 12
 _LEN = _LEFT + _BODY + _RIGHT
 _EMBED, _FILTERS, _HIDDEN = 8, 24, 16
 
 
-def window(text: str, start: int, end: int) -> np.ndarray:
-    """Character codes (ASCII, 127 for others, 0 for none) of a candidate's
-    head and its surroundings, and 128 more on the candidate itself."""
-    body = text[start:min(end, start + _BODY)]
-    left, right = text[max(0, start - _LEFT):start], text[end:end + _RIGHT]
+def window(text: str, start: int, end: int, at: int | None = None) -> np.ndarray:
+    """Character codes (ASCII, 127 for others, 0 for none) of a part of a
+    candidate, from its start or from ``at``, and of what stands on either
+    side, and 128 more on the part itself."""
+    at = start if at is None else at
+    body = text[at:min(end, at + _BODY)]
+    left, right = text[max(0, at - _LEFT):at], text[end:end + _RIGHT] if at + _BODY >= end else text[at + _BODY:at + _BODY + _RIGHT]
     row = left.rjust(_LEFT, "\0") + body.ljust(_BODY, "\0") + right.ljust(_RIGHT, "\0")
     codes = np.frombuffer(row.encode("utf-32-le"), np.uint32).astype(np.int64)
     codes = np.minimum(codes, 127)
@@ -94,6 +99,13 @@ def window(text: str, start: int, end: int) -> np.ndarray:
     return codes
 
 
+def starts(start: int, end: int) -> list[int]:
+    """Where the windows over a candidate begin: at its start, every few
+    characters, and so that the last one ends with it."""
+    last = max(start, end - _BODY)
+    return [*range(start, last, _STEP), last]
+
+
 class CharNet:
     """Embedding, one convolution, maximum and mean over positions, a hidden
     layer, a logit; plain numpy, trained by Adam."""
@@ -154,10 +166,10 @@ class CharNet:
                     step = rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
                     self.p[k] = (self.p[k] - step).astype(np.float32)
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> None:
+    def calibrate(self, found: list[tuple[str, int, int]], y: np.ndarray, recall: float) -> None:
         """Platt scaling on held-out findings, and the highest threshold that
         finds ``recall`` of their secrets."""
-        z = self._forward(x)[0].astype(np.float64)
+        z = self.highest(found)
         a, b = 1.0, 0.0
         for _ in range(25):                           # Newton steps, with a small pull to the start
             q = 1 / (1 + np.exp(-(a * z + b)))
@@ -166,11 +178,27 @@ class CharNet:
             hess = np.array([[(w * z * z).sum() + 1, (w * z).sum()], [(w * z).sum(), w.sum() + 1]])
             a, b = np.array([a, b]) - np.linalg.solve(hess, g)
         self.slope, self.shift = float(a), float(b)
-        found = np.sort(self.score(x[y == 1]))
-        self.threshold = float(found[int((1 - recall) * len(found))])
+        hit = np.sort(self.calibrated(z[y == 1]))
+        self.threshold = float(hit[int((1 - recall) * len(hit))])
+
+    def calibrated(self, z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * z + self.shift)))
+
+    def highest(self, found: list[tuple[str, int, int]]) -> np.ndarray:
+        """The highest logit among the windows of each candidate (text, start,
+        end), a bounded number of windows at a time."""
+        out = np.full(len(found), -np.inf)
+        every = ((k, window(t, s, e, at)) for k, (t, s, e) in enumerate(found) for at in starts(s, e))
+        for some in batched(every, 512):
+            np.maximum.at(out, [k for k, _ in some], self._forward(np.stack([w for _, w in some]))[0].astype(np.float64))
+        return out
+
+    def score_spans(self, found: list[tuple[str, int, int]]) -> np.ndarray:
+        """Calibrated scores of candidates."""
+        return self.calibrated(self.highest(found))
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Calibrated scores, a bounded number of windows at a time."""
+        """Calibrated scores of windows, a bounded number at a time."""
         z = [self._forward(x[i:i + 512])[0] for i in range(0, len(x), 512)]
         z = np.concatenate(z).astype(np.float64) if z else np.zeros(0)
         return 1 / (1 + np.exp(-(self.slope * z + self.shift)))
@@ -211,17 +239,41 @@ def _finding(r: random.Random) -> tuple[str, int, int, int]:
     return lead + body + tail, len(lead), len(lead) + len(body), int(secret)
 
 
+def _longer(r: random.Random) -> tuple[str, int, int, int, int]:
+    """A labelled finding behind others that are none, joined as in addresses,
+    paths and key=value chains; also where its last part starts."""
+    alnum, lower = string.ascii_letters + string.digits, string.ascii_lowercase
+    pick = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    parts = [pick(lower, r.randint(3, 9)) for _ in range(r.randint(2, 12))] + [pick(string.ascii_uppercase, 1) + pick(string.digits, r.randint(1, 8))]
+    r.shuffle(parts)
+    head = "".join(w + r.choice("/./-_") for w in parts) + r.choice(("", "id=", "key="))
+    text, s, e, secret = _finding(r)
+    while "\n" in text[s:e] or " " in text[s:e]:
+        text, s, e, secret = _finding(r)
+    lead = r.choice(("https://", "see ", '"', ""))
+    return lead + head + text[s:], len(lead), len(lead) + len(head) + e - s, secret, len(lead) + len(head)
+
+
 @lru_cache(maxsize=4)
 def trained(examples: int = 6000, recall: float = 0.95, epochs: int = 4, seed: int = 42) -> CharNet:
-    """The network, trained once per process on ``examples`` labelled findings."""
+    """The network, trained once per process on ``examples`` labelled findings, and on half as many
+    that stand behind other parts. Of a secret's windows, those with none of it are look-alikes, and
+    those with less than 16 of its characters aren't used."""
     r = random.Random(seed)
-    found = [_finding(r) for _ in range(examples)]
-    x = np.stack([window(t, s, e) for t, s, e, _ in found])
-    y = np.array([k for *_, k in found])
-    cut = 3 * examples // 4
+    found = [(*x, x[1]) for x in (_finding(r) for _ in range(examples))]
+    more = [_longer(r) for _ in range(examples // 2)]
+    cut, far = 3 * len(found) // 4, 3 * len(more) // 4
+    x, y = [], []
+    for t, s, e, secret, inner in found[:cut] + more[:far]:
+        for at in starts(s, e):
+            seen = min(e, at + _BODY) - max(inner, at)
+            if not secret or seen <= 0 or seen >= min(16, e - inner):
+                x.append(window(t, s, e, at))
+                y.append(int(secret and seen > 0))
     net = CharNet(seed)
-    net.train(x[:cut], y[:cut], epochs, seed)
-    net.calibrate(x[cut:], y[cut:], recall)
+    net.train(np.stack(x), np.array(y), epochs, seed)
+    held = found[cut:] + more[far:]
+    net.calibrate([h[:3] for h in held], np.array([h[3] for h in held]), recall)
     return net
 
 
@@ -258,7 +310,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", examples
         base = [base_spans(t) for t in texts]
         both = [b + other_candidates(t, b) for t, b in zip(texts, base)]
         where = [(t, s, e) for t, spans in zip(texts, both) for _, s, e in spans]
-        scores = iter(net.score(np.stack([window(*w) for w in where])) if where else ())
+        scores = iter(net.score_spans(where))
         by = lambda x: (x[1], _ORDER[x[0]])
         firm, found = [], []
         for b, spans in zip(base, both):

@@ -110,6 +110,20 @@ def test_network_on_unseen_findings():
     assert hit[y == 1].mean() > 0.88 and hit[y == 0].mean() < 0.02
 
 
+def test_secrets_behind_a_long_head():
+    net, r = secrets.trained(), random.Random(7)
+    key = lambda n: "".join(r.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n))
+    heads = ("https://hooks.slack.com/services/T00000000/B00000000/", "see docs.example.com/guides/deploy/production/settings/v2/callback/",
+             "host=db.internal.example.com-user=service-account-key=")
+    found = [(h + key(23) + "7", h) for h in heads for _ in range(40)]
+    spans = [(t, *secrets.other_candidates(t, [])[0][1:]) for t, _ in found]
+    assert all(e == len(t) for t, s, e in spans)
+    assert (net.score_spans(spans) >= net.threshold).mean() > 0.85
+    plain = [secrets._longer(r) for _ in range(1500)]
+    hit, y = net.score_spans([x[:3] for x in plain]) >= net.threshold, np.array([x[3] for x in plain])
+    assert hit[y == 1].mean() > 0.85 and hit[y == 0].mean() < 0.06
+
+
 def test_gradients_of_the_network():
     r = random.Random(3)
     found = [secrets._finding(r) for _ in range(6)]
