@@ -5,7 +5,7 @@ high-recall generators: long tokens that mix letters and digits, and private
 key blocks. Every candidate, base or not, is scored with its surrounding
 characters by a small convolutional network in numpy, in overlapping windows
 over the whole of it of which the highest counts; a candidate that no base
-finding overlaps is added if its calibrated score reaches the threshold.
+finding contains is added if its calibrated score reaches the threshold.
 
 The network is trained here, on labelled findings of ``examples`` rows made
 from published credential formats and from look-alikes that are none (file
@@ -44,7 +44,7 @@ _HEX = re.compile("[0-9a-f]{32,}")                     # maximal runs, as the ba
 _TOKEN = re.compile("[A-Za-z0-9][A-Za-z0-9_+/=.-]{18,}[A-Za-z0-9=]")
 _MIXED = re.compile("(?=.*[0-9])(?=.*[A-Za-z])", re.S)
 _DIGIT = re.compile("[0-9]")
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?!-----BEGIN ).)*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
 
 Span = tuple[str, int, int]
 
@@ -62,7 +62,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def other_candidates(text: str, base: list[Span]) -> list[Span]:
-    """What the generators propose beside the base findings."""
+    """What the generators propose that no base finding contains."""
     out: list[Span] = []
     if "-----BEGIN " in text:
         out += [("pem", *m.span()) for m in _PEM.finditer(text)]
@@ -73,8 +73,8 @@ def other_candidates(text: str, base: list[Span]) -> list[Span]:
     taken = sorted((s, e) for _, s, e in base)
     starts = np.array([s for s, _ in taken])
     reach = np.maximum.accumulate([e for _, e in taken])
-    at = np.searchsorted(starts, [e for _, _, e in out]) - 1           # last base span that starts before the end
-    return [c for c, i in zip(out, at) if i < 0 or reach[i] <= c[1]]
+    at = np.searchsorted(starts, [s for _, s, _ in out], side="right") - 1     # last base span that starts no later
+    return [c for c, i in zip(out, at) if i < 0 or reach[i] < c[2]]
 
 
 # --- the network -----------------------------------------------------------
