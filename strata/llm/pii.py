@@ -4,12 +4,13 @@ DataFrame and SQL functions only. Each generator is one pattern, run by the
 JVM's regular expressions over whole texts; the lengths of a text's matches
 and of the gaps between them give every candidate's offsets. The four base
 kinds have checks of their own (parts up to 255, digits, Luhn) and always
-stay. The loose generators propose more, overlapping, spans: numbers written
-like telephone numbers without a leading plus, and e-mail addresses with
-spelled-out signs. Gradient-boosted trees score each from its format (digits,
+stay. The loose generators propose more spans: numbers written like telephone
+numbers without a leading plus, and e-mail addresses with spelled-out signs.
+Of a run of digits and separators, every run of consecutive groups with 7 to
+15 digits is proposed, up to 15 from each group. Gradient-boosted trees score each from its format (digits,
 groups, separators) and its context (characters and key words around it); a
-proposal is added where no base span overlaps it and its score reaches its
-generator's threshold.
+proposal is added where no base span overlaps it, its score reaches its
+generator's threshold and no better proposal that is added overlaps it.
 
 The trees are trained here, by Spark's GBT learner on ``examples`` labelled
 rows written from number and address formats, a third of which sets the
@@ -35,9 +36,11 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "email_like": r"[A-Za-z0-9._%+-]+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]+(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]+)++",
-    "phone_like": r"\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}+",
+    "phone_like": r"\(?[0-9](?=(?:[\x20().-]*+[0-9]){6})[\x20().0-9-]*+",
 }
 _SIDE = 24
+#: Groups of digits in a proposal at most: as many as digits.
+_MOST = 15
 
 
 def _may_hold(kind: str, text: Column) -> Column:
@@ -77,6 +80,36 @@ def _located(rows: DataFrame) -> DataFrame:
     return rows.withColumn("end", end.cast("int")).withColumn("start", (F.col("end") - F.length("match")).cast("int"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """``rows`` with each run of ``phone_like`` replaced by its runs of consecutive groups that have 7 to
+    15 digits and at most two characters between them."""
+    run = F.col("kind") == "phone_like"
+    seps, nums = F.split("match", "[0-9]+", -1), F.regexp_extract_all("match", F.lit("[0-9]+"), F.lit(0))
+    parts = F.transform(nums, lambda x, i: F.struct(F.get(seps, i).alias("sep"), x.alias("num")))
+    whole = F.array(F.struct(F.lit("").alias("sep"), F.col("match").alias("num")))
+    rows = rows.withColumns({"parts": F.when(run, parts).otherwise(whole), "tail": F.when(run, F.element_at(seps, -1)).otherwise("")})
+    rows = rows.select("rid", "kind", "start", "left", F.concat("tail", "right").alias("right"), F.posexplode("parts").alias("j", "part")).select("*", "part.*")
+    w = Window.partitionBy("rid", "kind", "start").orderBy("j")
+    said = F.concat("sep", "num")
+    rows = rows.withColumns({
+        "to": F.sum(F.length("sep") + F.length("num")).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int"),
+        "before": F.array_join(F.collect_list(F.when(run, said)).over(w.rowsBetween(-_SIDE, -1)), ""),
+        "ahead": F.collect_list(F.when(run, F.col("part"))).over(w.rowsBetween(0, _MOST - 1)),
+        "after": F.collect_list(F.when(run, said)).over(w.rowsBetween(1, _MOST - 1 + _SIDE))})
+    opens = F.col("sep").endswith("(")
+    first = F.when(opens, "(").otherwise("")
+    digits = lambda k: F.aggregate(F.slice("ahead", 1, k), F.lit(0), lambda a, x: a + F.length(x["num"]))
+    near = lambda k: F.forall(F.slice("ahead", 2, k - 1), lambda x: F.length(x["sep"]) <= 2)
+    text = lambda k: F.concat(first, F.element_at("ahead", 1)["num"], F.array_join(F.slice("after", 1, k - 1), ""))
+    found = F.transform(F.filter(F.sequence(F.lit(1), F.size("ahead")), lambda k: digits(k).between(7, 15) & near(k)), lambda k: F.struct(
+        text(k).alias("match"), F.left(F.concat(F.array_join(F.slice("after", k, _SIDE), ""), F.col("right")), F.lit(_SIDE)).alias("right")))
+    begin = F.col("start") + F.when(run, F.col("to") - F.length("num") - F.when(opens, 1).otherwise(0)).otherwise(0)
+    lead = F.concat("left", "before", F.when(run, F.when(opens, F.expr("left(sep, length(sep) - 1)")).otherwise(F.col("sep"))).otherwise(""))
+    rows = rows.select("rid", "kind", begin.cast("int").alias("start"), F.right(lead, F.lit(_SIDE)).alias("left"), F.explode(
+        F.when(run, found).otherwise(F.array(F.struct(F.col("num").alias("match"), F.col("right"))))).alias("x")).select("rid", "kind", "start", "left", "x.*")
+    return rows.withColumn("end", (F.col("start") + F.length("match")).cast("int"))
+
+
 def _luhn(digits: Column) -> Column:
     """Whether a short string of digits passes the Luhn check."""
     d = F.transform(F.split(F.reverse(digits), ""), lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise(
@@ -118,6 +151,10 @@ def features() -> dict[str, Column]:
         "glued_left": F.when(F.col("left").rlike(r"[A-Za-z0-9@#_/.+-]$"), 1.0).otherwise(0.0),
         "glued_right": F.when(F.col("right").rlike(r"^(?:[A-Za-z0-9@_/-]|\.[0-9])"), 1.0).otherwise(0.0),
         "year": F.when(m.rlike("^(?:19|20)[0-9]{2}(?![0-9])"), 1.0).otherwise(0.0),
+        "more_left": F.when(F.col("left").rlike(r"[0-9][\x20().-]{0,2}$"), 1.0).otherwise(0.0),
+        "more_right": F.when(F.col("right").rlike(r"^[\x20().-]{0,2}[0-9]"), 1.0).otherwise(0.0),
+        "joined_left": F.when(F.col("left").rlike(r"[0-9][().-][\x20]?$"), 1.0).otherwise(0.0),
+        "joined_right": F.when(F.col("right").rlike(r"^[().-][0-9]"), 1.0).otherwise(0.0),
         "is_mail": F.when(F.col("kind") == "email_like", 1.0).otherwise(0.0),
     }
     return out | {k: F.when(near.rlike(rf"(?<![a-z])(?:{v})"), 1.0).otherwise(0.0) for k, v in _CONTEXT.items()}
@@ -158,12 +195,32 @@ def labelled(spark: SparkSession, examples: int, seed: int) -> DataFrame:
     pick = lambda rows: [F.struct(F.lit(k).alias("kind"), m.alias("match")) for k, m in rows]
     made = F.when(label == 1, F.element_at(F.array(*pick(yes)), (h(len(yes)) + 1).cast("int"))).otherwise(
         F.element_at(F.array(*pick(no)), (h(len(no)) + 1).cast("int")))
+    number = c(d(3), "-", d(3), "-", d(4))
+    parts = [  # of a number, or more than one number: left, match, right
+        (c(d(3), "-"), c(d(3), "-", d(4)), ""), ("", number, c(" ", number)), (c(number, " "), number, ""), (c("20", d(2), " "), number, ""),
+        ("", c(number, " ", d(3)), c("-", d(3), "-", d(4))), ("", c(number, " ", d(2)), ""), (c(d(3), "-"), c(d(3), "-", d(4), " ", d(3)), c("-", d(3), "-", d(4))),
+        ("", c("20", d(2), " ", number), ""), ("", c(h(9).cast("string"), " ", number), ""), (c(h(9).cast("string"), " "), number, ""),
+        ("", c("20", d(2), " ", d(3), "-", d(3)), c("-", d(4))), (c("(", d(3), ") "), c(d(3), "-", d(4)), ""), ("", c("(", d(3), ") ", d(3), "-", d(4)), c(" (", d(3), ") ", d(3), "-", d(4))),
+        ("", number, c(" (", d(3), ") ", d(3), "-", d(4))), ("", number, c(". ", number)), (c(h(9).cast("string"), " "), c("0", d(2), " ", d(4), " ", d(4)), ""),
+        ("", c(h(9).cast("string"), " 0", d(2), " ", d(4), " ", d(4)), ""), (c("0", d(2), " "), c(d(4), " ", d(4)), ""), ("", c(d(3), "-", d(4)), c(" ", number)),
+        ("", c("0", d(2), " ", d(4)), c(" ", d(4))), (c(d(4), " "), number, ""), ("", c(d(4), " ", number), ""),
+        ("", c("19", d(2), " ", number), ""), ("", c("20", d(2), " (", d(3), ") ", d(3), "-", d(4)), ""), ("", c("20", d(2), " ", d(3), sep, d(3), sep, d(4)), ""),
+        ("", c("20", d(2), " ", number), c(" ", d(3))), ("", c(d(2), " ", number), ""), ("", c(d(3), " ", number), "")]
+    whole = {1, 2, 3, 9, 12, 13, 14, 15, 20}
+    of_part = lambda k: F.element_at(F.array(*[F.lit(x[k]) if isinstance(x[k], str) else x[k] for x in parts]), which + 1)
     left = F.when(h(2) == 0, c(w(), " ", w(), " ", w(), of(" ", ". ", ", ", "\n"))).when(
         label == 1, of("call ", "phone: ", "tel. ", "contact ", "write to ", "reach me at ", "mobile ", "mail ")).otherwise(
         of("order ", "invoice ", "version ", "page ", "isbn ", "no. ", "total ", "id ", "on ", "pi is ", "/", "x", 'key = "8b', "9d4f", "a5", "#", "sha c2e"))
     right = c(F.when(label == 1, of(" ", ".", ",", "\n", ")", "")).otherwise(of("", " ", ".", ",", "f6d", "be", "/")),
               F.when(label == 1, of("\n", " ", "  ")).otherwise(""), w(), " ", w())
-    return base.select(label.cast("double").alias("label"), made.alias("x"), left.alias("left"), right.alias("right"),
+    which = h(len(parts)).cast("int")
+    split = h(3) == 0                                  # a third of the rows: parts of numbers, and numbers beside others
+    label = F.when(split, which.isin(*whole).cast("int")).otherwise(label)
+    made = F.when(split, F.struct(F.lit("phone_like").alias("kind"), of_part(1).alias("match"))).otherwise(made)
+    lead = F.when(split, of_part(0)).otherwise("")
+    left = c(F.when(split, F.when(h(2) == 0, c(w(), " ", w(), " ")).otherwise(of("call ", "phone: ", "tel. ", "", "\n"))).otherwise(left), lead)
+    right = c(F.when(split, of_part(2)).otherwise(""), F.when(split, of(" ", ".", ",", "\n", "")).otherwise(""), right)
+    return base.select(label.cast("double").alias("label"), made.alias("x"), F.right(left, F.lit(_SIDE)).alias("left"), F.left(right, F.lit(_SIDE)).alias("right"),
                        (F.col("id") % 3 == 0).alias("held")).select("label", "x.*", "left", "right", "held")
 
 
@@ -226,9 +283,11 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **traini
                              _proposals(text).alias("proposals")), "proposals")
     each = _located(rows.where(F.size("proposals") > 0).select("rid", F.explode("proposals").alias("p")).select("rid", "p.*"))
     loose = F.col("kind").isin("email_like", "phone_like")
-    each = each.where(loose | _passes()).withColumns({f"f_{k}": v for k, v in features().items()})
+    each = _spread(each.where(loose | _passes())).withColumns({f"f_{k}": v for k, v in features().items()})
     least = F.when(F.col("kind") == "email_like", thresholds["email_like"]).otherwise(thresholds["phone_like"])
-    chosen = each.withColumn("is_base", ~loose).where(F.col("is_base") | (F.expr(margin) >= least))
+    each = each.withColumn("margin", F.expr(margin))
+    chosen = each.withColumn("is_base", ~loose).where(F.col("is_base") | (F.col("margin") >= least)).select(
+        "rid", "kind", "start", "end", "is_base", "margin")
     # a proposal goes where a base span overlaps it: one that reaches past its start, or that starts before its end
     base_end, base_start = F.when(F.col("is_base"), F.col("end")), F.when(F.col("is_base"), F.col("start"))
     order = Window.partitionBy("rid").orderBy("start", F.desc("is_base"))
@@ -236,6 +295,15 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **traini
     ahead = F.first(base_start, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
     chosen = chosen.withColumns({"reach": reach, "ahead": ahead}).where(
         F.col("is_base") | ((F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.col("ahead").isNull() | (F.col("ahead") >= F.col("end")))))
+    # among proposals that overlap each other, in a chain, the best go first and keep out what they overlap
+    chain = Window.partitionBy("rid", "is_base").orderBy("start", "end")
+    past = F.max("end").over(chain.rowsBetween(Window.unboundedPreceding, -1))
+    chosen = chosen.withColumn("new", F.when(F.col("is_base") | past.isNull() | (past <= F.col("start")), 1).otherwise(0))
+    chosen = chosen.withColumn("chain", F.sum("new").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
+    best = F.sort_array(F.collect_list(F.struct((-F.col("margin")).alias("m"), (F.col("start") - F.col("end")).alias("n"), "start", "end", "kind")))
+    taken = F.aggregate(best, F.slice(best, 1, 0), lambda a, x: F.when(
+        F.exists(a, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])), a).otherwise(F.concat(a, F.array(x))))
+    chosen = chosen.groupBy("rid", "is_base", "chain").agg(taken.alias("t")).select("rid", "is_base", F.explode("t").alias("t")).select("rid", "is_base", "t.*")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     found = chosen.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("k"), "end", "is_base"))).alias("s"))
     span = lambda x: F.struct(F.element_at(F.array(*map(F.lit, KINDS)), x["k"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))

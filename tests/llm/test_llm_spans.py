@@ -57,6 +57,15 @@ def test_documents_personal_data(spark):
     assert {r.id: [tuple(s) for s in r.base] for r in got} == {i: brute_pii(t) for i, t in text.items()}
 
 
+def test_telephone_numbers_beside_numbers(spark):
+    a, b = "555-123-4567", "555-765-4321"
+    want = {f"call {a} {b} now": [a, b], f"call {a}. {b} now": [a, b], f"call {a} (555) 765-4321 now": [a, "(555) 765-4321"],
+            f"in 2023 {a} was ours": [a], "phone: 3 020 7946 0958 here": ["020 7946 0958"]}
+    df = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r.id: [list(want)[r.id][s.start:s.end] for s in r.spans] for r in pii.find(df).collect()}
+    assert got == dict(enumerate(want.values()))
+
+
 def brute_secrets(t):
     out = [(m.start(), 0, m.end()) for m in re.finditer(
         r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 8]
