@@ -88,3 +88,18 @@ def id_text(id_col: str, text_col: str) -> list:
     """The two columns most operators read, under fixed names (so that other
     columns of the input cannot clash with the operator's own)."""
     return [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")]
+
+
+def labelled_sample(known: DataFrame, docs: DataFrame, rows: int, seed: int) -> DataFrame:
+    """(id, text, y int) of at most about ``rows`` labelled texts, chosen by a hash of the id.
+
+    ``known``: (id, y); rows without id or label teach nothing, several labels of one id count as their
+    mean, half rounded up. ``docs``: (id, text); an id with several texts teaches the one with the smallest
+    hash, so an id that fills the table still adds one row. The chosen ids are a written table of bounded
+    size, which Spark broadcasts: texts that were not chosen are never shuffled."""
+    label = known.where("id is not null and y is not null").groupBy("id").agg(F.floor(F.avg("y") + 0.5).cast("int").alias("y"))
+    label = written(label, "labels")
+    pick = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_003)) / 1_000_003.0
+    chosen = written(label.where(pick < rows / max(label.count(), 1)), "chosen")
+    one = docs.join(chosen, "id").groupBy("id", "y").agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"))
+    return one.select("id", "text", "y")

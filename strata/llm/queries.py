@@ -91,6 +91,49 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *map(_count, ("assign", "access", "hex")), "base_sha256", F.col("all_spans").alias("spans"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.toxicity import classify
+    held = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False))
+    found = classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), learn=~held).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def _with_planted_period(docs: DataFrame) -> DataFrame:
+    """The contract's rewriting: in the documents whose id's CRC-32 h ends in 0, the words from a on repeat
+    the p words at a. Other texts, and rows without id, stay as they are."""
+    pattern = F.lit("[^\\x20\\x09-\\x0D]+")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    hit = docs.where(h % 10 == 0).withColumn("words", F.regexp_extract_all("text", pattern, F.lit(0)))
+    n, g = F.size("words").cast("long"), F.floor(h / 10)
+    a = F.expr("g % n")
+    hit = hit.withColumns({"n": n, "g": g}).withColumn("a", F.when(F.col("n") > 0, a))
+    hit = hit.withColumn("p", 1 + F.expr("(n - a) div (3 + g % 8)"))
+    again = F.expr("transform(sequence(a, n - 1), i -> words[int(a + (i - a) % p)])")
+    new = F.array_join(F.concat(F.expr("slice(words, 1, int(a))"), again), " ")
+    return docs.where(F.coalesce(h % 10 != 0, F.lit(True))).select("doc_id", "text").unionByName(
+        hit.select("doc_id", F.when(F.col("n") > 0, new).otherwise(F.col("text")).alias("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.periodic import periodic_runs
+    found = periodic_runs(_with_planted_period(_table(spark, sf_dir, "documents")), min_length=12)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"),
+                                                              (-r["period"]).alias("period"))))
+    found = found.withColumn("best", best)
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+                        length.alias("length"), period.alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.resampling import resample
+    found = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=25, min_words=20)
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_simhash": op2_simhash,
@@ -102,6 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_secrets": op10_secrets,
+    "op11_toxicity": op11_toxicity,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_resampling": op13_resampling,
 }
 
 def _covered(k: int) -> str:
@@ -139,4 +185,33 @@ judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base
 SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words,
        base_failed, NOT base_failed AND 10 * spans <= 3 * n_words AND NOT long AS kept
 FROM judged""",
+    "op13_resampling": r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+goal AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+steps AS (  -- CRC-32 of one byte
+  SELECT list(v ORDER BY i) AS l FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i) a) b),
+words AS (SELECT rid, 0 AS kind, unnest(w) AS f FROM docs UNION ALL
+  SELECT rid, 0, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM docs UNION ALL
+  SELECT 0, 1, unnest(w) FROM goal UNION ALL
+  SELECT 0, 1, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM goal),
+counted AS (SELECT f, rid, kind, count(*) AS n FROM words GROUP BY ALL),
+texts AS (SELECT DISTINCT f FROM counted),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+         lambda c, b: xor(c >> 8, l[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS b
+  FROM texts, steps),
+bucketed AS (SELECT rid, kind, b, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
+sums AS (SELECT coalesce(sum(n) FILTER (kind = 0), 0) AS s, coalesce(sum(n) FILTER (kind = 1), 0) AS t FROM bucketed),
+gain AS (
+  SELECT b, CAST(floor(1000 * ln((x.t + 1)::DOUBLE * (sums.s + 10000)::DOUBLE / ((x.s + 1)::DOUBLE * (sums.t + 10000)::DOUBLE))) AS BIGINT) AS g
+  FROM (SELECT b, coalesce(sum(n) FILTER (kind = 0), 0) AS s, coalesce(sum(n) FILTER (kind = 1), 0) AS t FROM bucketed GROUP BY b) x, sums),
+weighed AS (SELECT rid, CAST(floor(sum(n * g)::DOUBLE / sum(n)::DOUBLE) AS BIGINT) AS weight FROM bucketed JOIN gain USING (b) WHERE kind = 0 GROUP BY rid),
+scored AS (
+  SELECT docs.rid, doc_id, len(w) AS n_words, CAST(greatest(2 * len(w) - 1, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weighed ON docs.rid = weighed.rid),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id ASC NULLS LAST, rid) AS r, sum(CAST(n_words >= 20 AS BIGINT)) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= (25 * n) // 100 THEN r END AS rank FROM placed""",
 }

@@ -31,11 +31,12 @@ FIELDS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
           "repeat_fraction double, longest_repeat long, base_failed boolean, kept boolean")
 
 
-def longest_shared(ranks: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """For each position, the length of the longest run of symbols starting
-    there that also starts at another position, without running past ``end``
-    (the exclusive bound of each position's text). ``ranks``: symbols as
-    integers, different texts having different ones."""
+def suffix_neighbours(ranks: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes that are neighbours in the suffix array and begin with the same
+    symbol, in the array's order, as two arrays of positions, and the length
+    of their common prefix, without running past ``end`` (the exclusive bound
+    of each position's text). ``ranks``: each symbol as the number of positions
+    whose symbol is smaller, different texts having different symbols."""
     n = len(ranks)
     levels, rank, length = [ranks], ranks, 1
     order = np.argsort(ranks, kind="stable")
@@ -76,9 +77,16 @@ def longest_shared(ranks: np.ndarray, end: np.ndarray) -> np.ndarray:
         common += step
         x += step
         y += step
-    best = np.zeros(n, np.int64)
-    np.maximum.at(best, a[pairs], common)
-    np.maximum.at(best, b[pairs], common)
+    return a[pairs], b[pairs], common
+
+
+def longest_shared(ranks: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each position, the length of the longest run of symbols starting
+    there that also starts at another position (arguments as above)."""
+    a, b, common = suffix_neighbours(ranks, end)
+    best = np.zeros(len(ranks), np.int64)
+    np.maximum.at(best, a, common)
+    np.maximum.at(best, b, common)
     return best
 
 
