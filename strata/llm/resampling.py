@@ -25,6 +25,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +50,11 @@ class Head:
     def __init__(self, words: list[bytes], pairs: list[tuple[bytes, bytes]], buckets: int):
         self.buckets = buckets
         self.number = {w: i for i, w in enumerate(words)}
-        self.state = [zlib.crc32(w) for w in words]
-        self.bucket = np.array([s % buckets for s in self.state], np.uint32)
-        known = [(self.number[a] * len(words) + self.number[b], zlib.crc32(b" " + b, self.state[self.number[a]]) % buckets)
-                 for a, b in pairs if a in self.number and b in self.number]
-        known.sort()
+        self.state = np.array([zlib.crc32(w) for w in words], np.uint32)
+        self.bucket = self.state % buckets
+        known = sorted((self.number[a] * len(words) + self.number[b], zlib.crc32(a + b" " + b) % buckets)
+                       for a, b in pairs if a in self.number and b in self.number)
+        known.append((len(words) ** 2, 0))                # beyond any pair: a search always ends at an entry
         self.pair = np.array([k for k, _ in known], np.int64)
         self.pair_bucket = np.array([b for _, b in known], np.uint32)
 
@@ -62,26 +63,24 @@ class Head:
         n = len(words)
         if not n:
             return np.zeros(0, np.uint32)
-        crc, m, state = zlib.crc32, self.buckets, self.state
-        get = self.number.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, n)
+        crc, m = zlib.crc32, self.buckets
+        at = np.array(list(map(self.number.get, words, repeat(-1))), np.int64)
         single = np.empty(n, np.uint32)
         head = at >= 0
         single[head] = self.bucket[at[head]]
-        rare = np.flatnonzero(~head)
-        single[rare] = np.fromiter((crc(words[i]) % m for i in rare.tolist()), np.uint32, len(rare))
+        single[~head] = np.fromiter(map(crc, [words[i] for i in np.flatnonzero(~head).tolist()]), np.uint32) % m
 
         first, second = at[:-1], at[1:]
         both = np.empty(n - 1, np.uint32)
         code = first * len(self.state) + second
-        place = np.minimum(np.searchsorted(self.pair, code), max(0, len(self.pair) - 1))
-        found = (first >= 0) & (second >= 0) & (self.pair[place] == code) if len(self.pair) else np.zeros(n - 1, bool)
-        both[found] = self.pair_bucket[place[found]] if len(self.pair) else 0
-        rest = np.flatnonzero(~found & (first >= 0))     # the CRC goes on from the first word's state
-        both[rest] = np.fromiter((crc(b" " + words[i + 1], state[k]) % m for i, k in zip(rest.tolist(), first[rest].tolist())),
-                                 np.uint32, len(rest))
-        tail = np.flatnonzero(first < 0)
-        both[tail] = np.fromiter((crc(words[i] + b" " + words[i + 1]) % m for i in tail.tolist()), np.uint32, len(tail))
+        place = np.searchsorted(self.pair[:-1], code)
+        found = (first >= 0) & (second >= 0) & (self.pair[place] == code)
+        both[found] = self.pair_bucket[place[found]]
+        rest = ~found & (first >= 0)                     # the CRC goes on from the first word's state
+        behind = [b" " + words[i + 1] for i in np.flatnonzero(rest).tolist()]
+        both[rest] = np.fromiter(map(crc, behind, self.state[first[rest]].tolist()), np.uint32) % m
+        tail = [words[i] + b" " + words[i + 1] for i in np.flatnonzero(first < 0).tolist()]
+        both[first < 0] = np.fromiter(map(crc, tail), np.uint32) % m
         return np.concatenate([single, both])
 
 
