@@ -20,6 +20,8 @@ data). They are then applied as one SQL expression per tree.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,7 +87,7 @@ def _spread(rows: DataFrame) -> DataFrame:
     15 digits and at most two characters between them."""
     run = F.col("kind") == "phone_like"
     seps, nums = F.split("match", "[0-9]+", -1), F.regexp_extract_all("match", F.lit("[0-9]+"), F.lit(0))
-    parts = F.transform(nums, lambda x, i: F.struct(F.get(seps, i).alias("sep"), x.alias("num")))
+    parts = F.filter(F.arrays_zip(seps.alias("sep"), nums.alias("num")), lambda x: x["num"].isNotNull())
     whole = F.array(F.struct(F.lit("").alias("sep"), F.col("match").alias("num")))
     rows = rows.withColumns({"parts": F.when(run, parts).otherwise(whole), "tail": F.when(run, F.element_at(seps, -1)).otherwise("")})
     rows = rows.select("rid", "kind", "start", "left", F.concat("tail", "right").alias("right"), F.posexplode("parts").alias("j", "part")).select("*", "part.*")
@@ -233,77 +235,130 @@ def _sql(node, names: list[str]) -> str:
             f"ELSE {_sql(node.rightChild(), names)} END")
 
 
-_TRAINED: dict[tuple, tuple[str, dict[str, float]]] = {}
+_TRAINED: dict[tuple, tuple[list[str], dict[str, float]]] = {}
+
+
+#: Trees in one projection: their code, and that of each feature's projection, stays below the JVM's limit for a method.
+_TREES = 3
+
+
+def _with_margin(rows: DataFrame, parts: list[str]) -> DataFrame:
+    """``rows`` with column ``margin``. The summands are not deterministic in name, so that Catalyst neither merges their
+    projections nor moves a filter below them: the trees are computed once, from finished features."""
+    for i, part in enumerate(parts):
+        rows = rows.select("*", F.when(F.spark_partition_id() >= 0, F.expr(part)).alias(f"m_{i}"))
+    return rows.withColumn("margin", sum((F.col(f"m_{i}") for i in range(1, len(parts))), F.col("m_0")))
 
 
 def trained(spark: SparkSession, examples: int = 3000, trees: int = 12, depth: int = 4, precision: float = 0.98,
-            seed: int = 42) -> tuple[str, dict[str, float]]:
-    """(margin as SQL over the features, threshold per generator), trained
+            seed: int = 42) -> tuple[list[str], dict[str, float]]:
+    """(the margin's summands as SQL over the features, threshold per generator), trained
     once per process."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     key = (examples, trees, depth, precision, seed)
     if key not in _TRAINED:
-        rows = written(labelled(spark, examples, seed).withColumns({f"f_{k}": v for k, v in features().items()}), "labelled")
+        rows = written(labelled(spark, examples, seed), "labelled")       # what follows reads finished strings
+        rows = written(rows.select("*", *[v.alias(f"f_{k}") for k, v in features().items()]), "learned-from")
         names = [c for c in rows.columns if c.startswith("f_")]
         data = VectorAssembler(inputCols=names, outputCol="x").transform(rows)
         model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3,
                               seed=seed, maxBins=32).fit(data.where("not held").coalesce(2))
-        margin = " + ".join(f"{float(w)!r}D * ({_sql(t._call_java('rootNode'), names)})"
-                            for w, t in zip(model.treeWeights, model.trees))
-        margin = margin.replace("THEN -", "THEN 0.0D - ").replace("ELSE -", "ELSE 0.0D - ")
+        each = [f"{float(w)!r}D * ({_sql(t._call_java('rootNode'), names)})".replace("THEN -", "THEN 0.0D - ").replace("ELSE -", "ELSE 0.0D - ")
+                for w, t in zip(model.treeWeights, model.trees)]
+        parts = [" + ".join(each[i:i + _TREES]) for i in range(0, len(each), _TREES)]
         thresholds = {}
-        held = rows.where("held").select("kind", "label", F.expr(margin).alias("margin")).collect()
+        held = _with_margin(rows.where("held"), parts).select("kind", "label", "margin").collect()
         for kind in ("email_like", "phone_like"):
             best, good, total = float("inf"), 0, 0
-            for r in sorted((r for r in held if r.kind == kind), key=lambda r: -r.margin):
-                total, good = total + 1, good + int(r.label)
+            for margin_of, tied in groupby(sorted((-r.margin, int(r.label)) for r in held if r.kind == kind), key=lambda x: x[0]):
+                said = [y for _, y in tied]            # equal margins are selected together or not at all
+                total, good = total + len(said), good + sum(said)
                 if good >= precision * total:
-                    best = r.margin
+                    best = -margin_of
             thresholds[kind] = best
-        _TRAINED[key] = margin, thresholds
+        _TRAINED[key] = parts, thresholds
     return _TRAINED[key]
 
 
 # --- the operator ----------------------------------------------------------
 
+#: Elements appended to one piece of a list.
+_PIECE = 256
+
+
+def _append(list_: Column, x: Column) -> Column:
+    """``list_`` (pieces, last) with ``x`` behind: only the last piece is copied, so that a long list grows in linear time."""
+    full = F.size(list_["last"]) >= _PIECE
+    return F.when(full, F.struct(F.concat(list_["pieces"], F.array(list_["last"])).alias("pieces"), F.array(x).alias("last"))).otherwise(
+        F.struct(list_["pieces"].alias("pieces"), F.concat(list_["last"], F.array(x)).alias("last")))
+
+
+def _listed(list_: Column) -> Column:
+    return F.flatten(F.concat(list_["pieces"], F.array(list_["last"])))
+
+
+def _best_apart(spans: Column, longest: Column) -> Column:
+    """Of an array of proposals (end, start, kind, gain > 0) sorted by end, none longer than ``longest``, the ones apart from each other with
+    the largest total gain. Two sweeps: the first keeps, per proposal, whether the best choice up to its end holds it,
+    looking back no further than the longest proposal; the second reads the choice off from the last end on."""
+    empty = F.from_json(F.lit('{"sums":[{"end":-1,"sum":0.0}],"held":{"pieces":[],"last":[]}}'),
+                        "struct<sums:array<struct<end:int,sum:double>>,held:struct<pieces:array<array<boolean>>,last:array<boolean>>>")
+    none = F.struct(F.array(F.slice(spans, 1, 0)).alias("pieces"), F.slice(spans, 1, 0).alias("last"))
+
+    def ahead(acc: Column, x: Column) -> Column:
+        sums = acc["sums"]                             # best totals at recent ends, ascending; none falls
+        free = F.array_max(F.transform(sums, lambda y: F.when(y["end"] <= x["start"], y["sum"])))
+        so_far = F.element_at(sums, -1)["sum"]
+        # needed by later starts: ends behind the longest reach back, and the last one before
+        kept = F.filter(sums, lambda y, i: (y["end"] > x["end"] - longest) | (F.get(sums, i + 1)["end"] > x["end"] - longest) | (i + 1 == F.size(sums)))
+        now = F.struct(x["end"].alias("end"), F.greatest(free + x["gain"], so_far).alias("sum"))
+        return F.struct(F.concat(kept, F.array(now)).alias("sums"), _append(acc["held"], free + x["gain"] > so_far).alias("held"))
+
+    held = F.aggregate(spans, empty, ahead, lambda acc: _listed(acc["held"]))
+    back = F.reverse(F.arrays_zip(spans.alias("x"), held.alias("h")))
+    return F.aggregate(back, F.struct(F.lit(2 ** 31 - 1).alias("limit"), none.alias("out")), lambda acc, y: F.when(
+        y["h"] & (y["x"]["end"] <= acc["limit"]), F.struct(y["x"]["start"].alias("limit"), _append(acc["out"], y["x"]).alias("out"))).otherwise(acc),
+        lambda acc: _listed(acc["out"]))
+
+
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
     """(id, base, spans) of every row of ``df``: base findings and all findings, each an array of
     (kind, start, end) by start, then kind in the order of :data:`KINDS`; offsets are code points,
-    the end exclusive.
+    the end exclusive. Of proposals that overlap each other those apart with the largest total of margins above
+    their thresholds are added; of equal totals the one that does without a later proposal.
 
     Null and empty texts have no findings; a null id stays null; repeated rows are returned as often as
     they come; an empty table gives an empty result; other columns are not read. Texts are read once;
-    only proposals (match and a few characters around it) are shuffled, by text."""
+    only proposals (match and a few characters around it) are shuffled, by text. The work is linear in a text's proposals."""
     spark = df.sparkSession
-    margin, thresholds = trained(spark, **training)
+    parts, thresholds = trained(spark, **training)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = written(df.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"),
                              _proposals(text).alias("proposals")), "proposals")
     each = _located(rows.where(F.size("proposals") > 0).select("rid", F.explode("proposals").alias("p")).select("rid", "p.*"))
     loose = F.col("kind").isin("email_like", "phone_like")
-    each = _spread(each.where(loose | _passes())).withColumns({f"f_{k}": v for k, v in features().items()})
+    each = _spread(each.where(loose | _passes()))
+    each = _with_margin(each.select("*", *[v.alias(f"f_{k}") for k, v in features().items()]), parts)
     least = F.when(F.col("kind") == "email_like", thresholds["email_like"]).otherwise(thresholds["phone_like"])
-    each = each.withColumn("margin", F.expr(margin))
-    chosen = each.withColumn("is_base", ~loose).where(F.col("is_base") | (F.col("margin") >= least)).select(
-        "rid", "kind", "start", "end", "is_base", "margin")
+    gain = F.when(loose, F.col("margin") - least)
+    chosen = each.where(~loose | (gain >= 0)).select("rid", "kind", "start", "end", (~loose).alias("is_base"), (gain + 1e-9).alias("gain"))
     # a proposal goes where a base span overlaps it: one that reaches past its start, or that starts before its end
     base_end, base_start = F.when(F.col("is_base"), F.col("end")), F.when(F.col("is_base"), F.col("start"))
-    order = Window.partitionBy("rid").orderBy("start", F.desc("is_base"))
-    reach = F.max(base_end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.first(base_start, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    reach = F.max(base_end).over(Window.partitionBy("rid").orderBy("start", F.desc("is_base")).rowsBetween(Window.unboundedPreceding, -1))
+    ahead = F.min(base_start).over(Window.partitionBy("rid").orderBy(F.desc("start"), "is_base").rowsBetween(Window.unboundedPreceding, -1))
     chosen = chosen.withColumns({"reach": reach, "ahead": ahead}).where(
         F.col("is_base") | ((F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.col("ahead").isNull() | (F.col("ahead") >= F.col("end")))))
-    # among proposals that overlap each other, in a chain, the best go first and keep out what they overlap
-    chain = Window.partitionBy("rid", "is_base").orderBy("start", "end")
-    past = F.max("end").over(chain.rowsBetween(Window.unboundedPreceding, -1))
+    # proposals that overlap each other form a chain
+    order = Window.partitionBy("rid", "is_base").orderBy("start", "end")
+    past = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     chosen = chosen.withColumn("new", F.when(F.col("is_base") | past.isNull() | (past <= F.col("start")), 1).otherwise(0))
-    chosen = chosen.withColumn("chain", F.sum("new").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
-    best = F.sort_array(F.collect_list(F.struct((-F.col("margin")).alias("m"), (F.col("start") - F.col("end")).alias("n"), "start", "end", "kind")))
-    taken = F.aggregate(best, F.slice(best, 1, 0), lambda a, x: F.when(
-        F.exists(a, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])), a).otherwise(F.concat(a, F.array(x))))
-    chosen = chosen.groupBy("rid", "is_base", "chain").agg(taken.alias("t")).select("rid", "is_base", F.explode("t").alias("t")).select("rid", "is_base", "t.*")
+    chosen = chosen.withColumn("chain", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = F.sort_array(F.collect_list(F.struct("end", "start", "kind", "gain")))
+    chosen = chosen.groupBy("rid", "is_base", "chain").agg(spans.alias("s"), F.max(F.col("end") - F.col("start")).alias("longest"))
+    taken = F.when(F.col("is_base"), F.col("s")).otherwise(_best_apart(F.col("s"), F.col("longest")))
+    chosen = chosen.select("rid", "is_base", F.explode(taken).alias("t")).select("rid", "is_base", "t.*")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     found = chosen.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("k"), "end", "is_base"))).alias("s"))
     span = lambda x: F.struct(F.element_at(F.array(*map(F.lit, KINDS)), x["k"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))

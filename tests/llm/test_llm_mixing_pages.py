@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import mixing, pages
+from strata.llm.queries import QUERIES
 
 
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
@@ -118,18 +119,18 @@ def test_template_is_counted_per_host(spark):
             same = "<div class='x'><p>All about us</p></div>" if host == "a.example" or i == 0 else ""
             rows.append((len(rows), f"http://{host}/{i}", f"<body>{same}<div><p>Text {host} {i}</p><p>Read on</p></div></body>"))
     article = "<body><article><div><p>copied</p></div></article></body>"
-    rows += [(300 + i, f"http://e.example/{i}", f"<body><article><p>Item {i}</p><div><p>Sign up</p></div><p>end</p></article></body>") for i in range(6)]
+    rows += [(300 + i, f"http://e.example/{i}", f"<body><article><p>On {WORDS[i]}</p><div><p>Sign up</p><p>for letters</p></div><div><p>See also</p></div><p>end</p></article></body>") for i in range(6)]
     rows += [(100 + i, "http://c.example/x", article) for i in range(8)]          # equal pages count once
     rows += [(200, None, "<p>no host</p>"), (201, "http://a.example/z", None), (None, "nonsense", "<p>q</p>"), (0, "http://d.example", "")]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, row string, rid int")
     got = pages.main_text(df).collect()
     assert len(got) == len(rows)
     text = {(r.id, r.url): r.text for r in got}
-    # outside an article a recurring line is template, wrapped or not; what one page of a host has isn't
-    assert text[(0, "http://a.example/0")] == "Text a.example 0"
-    assert text[(8, "http://b.example/0")] == "All about us\nText b.example 0"
+    # a recurring container is template, in articles one of several blocks; a line is not, nor what one page of a host has
+    assert text[(0, "http://a.example/0")] == "Text a.example 0\nRead on"
+    assert text[(8, "http://b.example/0")] == "All about us\nText b.example 0\nRead on"
     assert text[(100, "http://c.example/x")] == "copied"
-    assert text[(303, "http://e.example/3")] == "Item 3\nend"
+    assert text[(303, "http://e.example/3")] == "On delta\nSee also\nend"
     assert text[(200, None)] == "no host" and text[(201, "http://a.example/z")] == "" and text[(None, "nonsense")] == "q"
     assert pages.main_text(df.limit(0)).count() == 0
 
@@ -137,24 +138,51 @@ def test_template_is_counted_per_host(spark):
 WORDS = "amber birch cedar delta ember fjord grove heath inlet jetty kelp larch mango noble ocean pearl".split()
 
 
-def test_counts_decide_on_prose_in_articles(spark):
-    body = lambda *parts: "<html><body><article>" + "".join(parts) + "</article></body></html>"
-    rows = [(i, f"http://f.example/{i}", body(f"<h1>On {w}</h1><p>All that is known of {w} and more</p><p>Sign up for letters</p>Bare line<br>"))
-            for i, w in enumerate(WORDS)]
-    # a copied article under other dates, and one under other titles, recur with the same text around
-    rows += [(100 + i, f"http://g.example/{i}", body(f"<p>{i + 10} May</p><p>A story told again in full</p><p>Its end</p>")) for i in range(12)]
-    rows += [(200 + i, f"http://g.example/{w}", body(f"<h1>{w}</h1><p>Another story told again in full</p><p>Its last line is here</p>"))
-             for i, w in enumerate(WORDS)]
+def _texts(spark, rows, **options):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    text = {r.id: r.text for r in pages.main_text(df).collect()}
-    assert text == {i: t for i, t in [(i, f"On {w}\nAll that is known of {w} and more") for i, w in enumerate(WORDS)]
-                    + [(100 + i, f"{i + 10} May\nA story told again in full\nIts end") for i in range(12)]
-                    + [(200 + i, f"{w}\nAnother story told again in full\nIts last line is here") for i, w in enumerate(WORDS)]}
+    return {r.id: r.text for r in pages.main_text(df, **options).collect()}
+
+
+def test_articles_keep_their_recurring_lines(spark):
+    article = lambda w: (f"<h1>{w}</h1><p>All that is known of {w} and more</p><h2>History</h2><p>{w} is old</p><div class='heading'><h2>Climate</h2></div>"
+                         f"<table><tr><th>Kind<td>{w}<tr><th>Size<td>large</table><ul><li>Trees<li>{w}</ul><div>See also the list of towns.</div>"
+                         "<p>Licensed under the same terms</p>")
+    lines = lambda w: "\n".join([w, f"All that is known of {w} and more", "History", f"{w} is old", "Climate", "Kind", w, "Size", "large",
+                                 "Trees", w, "See also the list of towns.", "Licensed under the same terms"])
+    rows = [(i, f"http://f.example/{i}", f"<html><body><article>{article(w)}</article></body></html>") for i, w in enumerate(WORDS)]
+    # a copied article under other dates, and one under other titles, recur with the same text around
+    rows += [(100 + i, f"http://g.example/{i}", f"<main><p>{i + 10} May</p><div><p>A story told again in full</p><p>Its end</p></div></main>") for i in range(12)]
+    got = _texts(spark, rows)
+    assert got == {i: lines(w) for i, w in enumerate(WORDS)} | {100 + i: f"{i + 10} May\nA story told again in full\nIts end" for i in range(12)}
+
+
+def test_counts_alone_remove_the_template(spark):
+    page = lambda w, i: ("<body><nav><ul><li>Home<li>News</ul></nav>Skip to content<div id=x1><p>Buy two, get three</p></div>"
+                         f"<article><h1>{w}</h1><p>All that is known of {w}, at length</p><p>Licensed under the same terms</p></article>"
+                         f"<section><h3>Read on</h3><ul><li>One<li>Two</ul></section><footer>&copy; us</footer><div>Page {i}</div></body>")
+    rows = [(i, f"http://k.example/{i}", page(w, i)) for i, w in enumerate(WORDS)] + [(50, "http://l.example", page("lone", 7))]
+    got = _texts(spark, rows, declared=False)
+    lines = lambda w, *more: "\n".join([w, f"All that is known of {w}, at length", "Licensed under the same terms", *more])
+    assert {i: t for i, t in got.items() if i < 50} == {i: lines(w, f"Page {i}") for i, w in enumerate(WORDS)}
+    assert got[50].startswith("Home\nNews\nSkip to content\nBuy two, get three\nlone\n")
+    assert _texts(spark, rows) == {i: lines(w) for i, w in [*enumerate(WORDS), (50, "lone")]}
+
+
+def test_articles_of_the_given_pages_are_whole(spark):
+    """Each given page has one article of a heading and paragraphs: its lines, all of them, are the result."""
+    import html as h
+    import re
+    sf = "/root/testdata/sf0.01"
+    got = {r.page_id: r.text for r in QUERIES["op8_main_text"](spark, sf).collect()}
+    for r in spark.read.parquet(f"{sf}/pages.parquet").collect():
+        inside = re.search("<article>(.*)</article>", r.html, re.S)[1]
+        lines = [" ".join(h.unescape(re.sub("<[^>]*>", " " if x == "<br>" else "", x)).split()) for x in re.split("</?p>|</?h1>", re.sub("<br>", " ", inside))]
+        assert got[r.page_id] == "\n".join(x for x in lines if x)
 
 
 def test_template_of_a_section_of_a_large_host(spark):
     pair = lambda i: f"{WORDS[i % 16]} {WORDS[i // 16]}"
-    rows = [(i, f"http://h.example/{i}", f"<body><div>{'<p>Notice to all</p>' if i < 6 else ''}<p>A page about {pair(i)} here</p></div></body>")
+    rows = [(i, f"http://h.example/{i}", f"<body><div>{'<div><p>Notice to all</p></div>' if i < 6 else ''}<p>A page about {pair(i)} here</p></div></body>")
             for i in range(120)]
     text = {r.id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert text == {i: f"A page about {pair(i)} here" for i in range(120)}

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from strata.llm import pii, secrets
 
@@ -169,3 +170,36 @@ def test_gradients_of_the_network():
         down = loss()
         net.p[k][i] = old
         assert (up - down) / 2e-5 == pytest.approx(g[k][i], rel=1e-3, abs=1e-7)
+
+
+def test_many_spans_of_one_text(spark):
+    """Lists of addresses and of numbers, one chain of overlapping proposals: found whole, in time linear in their number."""
+    import random
+    import time
+    r = random.Random(1)
+    mails = [f"user{i}@mail{i % 7}.example.com" for i in range(8000)]
+    numbers = [f"555-{r.randrange(100, 999)}-{r.randrange(1000, 9999)}" for _ in range(3000)]
+    texts = {1: " ".join(mails), 2: " ".join(numbers), 3: " ".join(str(r.randrange(100, 9999)) for _ in range(3000))}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    pii.find(df.limit(0)).collect()                      # trained
+    begun = time.perf_counter()
+    got = {x.id: [texts[x.id][s.start:s.end] for s in x.spans] for x in pii.find(df).collect()}
+    assert time.perf_counter() - begun < 60
+    assert got[1] == mails and got[2] == numbers
+
+
+def test_proposals_apart_with_the_largest_total(spark):
+    from itertools import combinations
+    import random
+    r = random.Random(2)
+    rows, want = [], {}
+    for i in range(150):
+        spans = sorted({(a + r.randint(1, 9), a) for a in (r.randint(0, 25) for _ in range(r.randint(1, 8)))})
+        spans = [(e, s, "phone_like", r.randint(1, 64) / 8) for e, s in spans]
+        rows.append((i, spans, max(e - s for e, s, *_ in spans)))
+        apart = (c for k in range(len(spans) + 1) for c in combinations(spans, k) if all(x[0] <= y[1] for x, y in zip(c, c[1:])))
+        want[i] = max(sum(x[3] for x in c) for c in apart)
+    df = spark.createDataFrame(rows, "id int, s array<struct<end:int,start:int,kind:string,gain:double>>, longest int")
+    for x in df.select("id", pii._best_apart(F.col("s"), F.col("longest")).alias("t")).collect():
+        t = sorted((y.start, y.end) for y in x.t)
+        assert sum(y.gain for y in x.t) == want[x.id] and all(a[1] <= b[0] for a, b in zip(t, t[1:]))
