@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.joins import join_on_keys
+from strata.sources.layers import written
 
 
 def present(c) -> Column:
@@ -49,47 +50,92 @@ def group_metrics(df: DataFrame, by: list[str], metrics: dict[str, Column],
 #: Rank accuracy (1 / this) of the sketch that brackets exact quantiles. Groups
 #: of no more rows than this are their own bracket.
 BRACKET_ACCURACY = 10000
+#: Values of a bracket that are put in order; larger brackets are narrowed first.
+ORDERED_VALUES = 100_000
+#: Cuts of a bracket that is narrowed.
+_CUTS = 64
+
+
+def _measure(vals: DataFrame, bracket: DataFrame, by: list[str], qs: int) -> DataFrame:
+    """``bracket`` with what one pass over the values finds, written: rows below (_below) and inside (_inside) of
+    [_lo, _hi], and values (_cuts) that part the inside ones about evenly."""
+    per = F.sort_array(F.collect_list(F.struct("q_index", "_lo", "_hi")))
+    both = _beside(vals, bracket.groupBy(*by).agg(per.alias("_q")), by)
+    each = [F.col("_q")[i] for i in range(qs)]
+    below = both.groupBy(*by).agg(F.array(*[F.sum(F.when(F.col("_v") < x["_lo"], 1).otherwise(0)) for x in each]).alias("_counts"))
+    hit = F.filter(F.array(*[F.when(F.col("_v").between(x["_lo"], x["_hi"]), F.lit(i)) for i, x in enumerate(each)]), lambda x: x.isNotNull())
+    steps = [k / _CUTS for k in range(1, _CUTS)]
+    inside = both.select(*by, "_v", F.explode(hit).alias("q_index")).groupBy(*by, "q_index").agg(
+        F.count(F.lit(1)).alias("_inside"), F.percentile_approx("_v", steps, 1000).alias("_cuts"))
+    out = join_on_keys(_beside(bracket, below, by), inside, [*by, "q_index"], "left")
+    return written(out.withColumn("_below", F.col("_counts")[F.col("q_index")]).withColumn("_inside", F.coalesce("_inside", F.lit(0))).drop("_counts"),
+                   "bracket")
+
+
+def _beside(rows: DataFrame, facts: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` with their group's ``facts`` (without groups: scalar subqueries)."""
+    if by:
+        return join_on_keys(rows, facts, by)
+    return rows.withColumns({c: facts.select(c).scalar() for c in facts.columns})
+
+
+_MEASURED = ["_below", "_inside", "_cuts"]
 
 
 def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = None,
-              alias: str = "quantile", with_distinct: bool = False) -> DataFrame:
+              alias: str = "quantile", with_distinct: bool = False, accuracy: int = BRACKET_ACCURACY,
+              ordered: int = ORDERED_VALUES) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``
     semantics; NULL and NaN ignored): (by..., q_index, alias).
 
-    1. A mergeable sketch gives, per group and quantile, two values between
-       which the target ranks certainly lie (twice the sketch's error away).
-    2. One pass counts the rows below the bracket, one gathers the value
-       frequencies inside it: some thousandths of the rows.
-    3. A running count over those finds the one or two values at the target
-       ranks: ``lo + (hi - lo) * frac``.
-    ``with_distinct`` adds the number of distinct values per group.
+    1. A mergeable sketch gives, per group and quantile, a bracket of two values around the target ranks.
+    2. One pass counts the rows below and inside, which proves the bracket: where a target rank is outside it is
+       opened on that side and counted again, so a sketch that errs costs a pass and no result.
+    3. A bracket of more than ``ordered`` rows is narrowed by a sketch of its inside, and proved again, a sixteenth or
+       less of it being left each time; one that errs is taken back and stays as it was.
+    4. The value frequencies inside, in order, give the one or two values at the target ranks: ``lo + (hi - lo) * frac``.
+    ``accuracy``: of the first sketch. ``with_distinct`` adds the number of distinct values per group.
     """
     by = list(by or [])
     v = F.col(col).cast("double")
     vals = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
 
-    def beside(rows: DataFrame, facts: DataFrame) -> DataFrame:
-        """``rows`` with their group's ``facts`` (without groups: scalar subqueries)."""
-        if by:
-            return join_on_keys(rows, facts, by)
-        return rows.withColumns({c: facts.select(c).scalar() for c in facts.columns})
-
-    step = 2.0 / BRACKET_ACCURACY
+    step = 2.0 / accuracy
     ends = [p for q in qs for p in (max(0.0, q - step), min(1.0, q + step))]
-    stats = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, BRACKET_ACCURACY).alias("_b"))
-    few = F.col("_n") <= BRACKET_ACCURACY
-    lo = [F.when(few, float("-inf")).otherwise(F.col("_b")[2 * i]) for i in range(len(qs))]
-    hi = [F.when(few, float("inf")).otherwise(F.col("_b")[2 * i + 1]) for i in range(len(qs))]
-    both = beside(vals, stats)
-    below = both.groupBy(*by).agg(F.max("_n").alias("_n"), F.array(
-        *[F.sum(F.when(F.col("_v") < x, 1).otherwise(0)) for x in lo]).alias("_below"))
-    inside = F.filter(F.array(*[F.when(F.col("_v").between(x, y), F.lit(i)) for i, (x, y) in enumerate(zip(lo, hi))]), lambda x: x.isNotNull())
-    freq = both.select(*by, "_v", F.explode(inside).alias("q_index")).groupBy(*by, "q_index", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = beside(freq, below)
+    few = F.col("_n") <= accuracy
+    stats = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_b")).where("_n > 0")
+    bracket = stats.select(*by, "_n", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("q_index"), (F.lit(float(q)) * (F.col("_n") - 1)).alias("_pos"),
+        F.when(few, low).otherwise(F.col("_b")[2 * i]).alias("_lo"), F.when(few, high).otherwise(F.col("_b")[2 * i + 1]).alias("_hi"),
+        F.lit(False).alias("_stays")) for i, q in enumerate(qs)])).alias("_x")).select(*by, "_n", "_x.*")
+    under, over = F.col("_below") > F.floor("_pos"), F.col("_below") + F.col("_inside") <= F.ceil("_pos")
+    large = (F.col("_inside") > ordered) & (F.col("_lo") < F.col("_hi")) & ~F.col("_stays") & ~few
+    found = _measure(vals, written(bracket, "sketch"), by, len(qs))
+    if not found.where(under | over).isEmpty():
+        found = _measure(vals, found.withColumns({"_lo": F.when(under, low).otherwise(F.col("_lo")),
+                                                  "_hi": F.when(over, high).otherwise(F.col("_hi"))}).drop(*_MEASURED), by, len(qs))
+    while not found.where(large).isEmpty():
+        at = lambda rank, more: ((rank - F.col("_below")) / F.col("_inside") * _CUTS).cast("int") + more
+        a, b = at(F.floor("_pos"), -2), at(F.ceil("_pos"), 2)
+        old = found.withColumns({"_was_lo": F.col("_lo"), "_was_hi": F.col("_hi")})
+        narrow = old.withColumns({"_lo": F.when(large & (a >= 0), F.get("_cuts", a)).otherwise(F.col("_lo")),
+                                  "_hi": F.when(large & (b < _CUTS - 1), F.get("_cuts", b)).otherwise(F.col("_hi"))})
+        narrow = narrow.withColumn("_stays", F.col("_stays") | (F.col("_lo").eqNullSafe(F.col("_was_lo")) & F.col("_hi").eqNullSafe(F.col("_was_hi"))))
+        found = _measure(vals, narrow.drop(*_MEASURED), by, len(qs))
+        if not found.where(under | over).isEmpty():
+            missed = under | over
+            found = _measure(vals, found.withColumns({"_stays": F.col("_stays") | missed, "_lo": F.when(missed, F.col("_was_lo")).otherwise(F.col("_lo")),
+                                                      "_hi": F.when(missed, F.col("_was_hi")).otherwise(F.col("_hi"))}).drop(*_MEASURED), by, len(qs))
+        found = found.drop("_was_lo", "_was_hi")
+
+    ends_of = found.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("q_index", "_lo", "_hi"))).alias("_q"))
+    both = _beside(vals, ends_of, by)
+    hit = F.filter(F.array(*[F.when(F.col("_v").between(F.col("_q")[i]["_lo"], F.col("_q")[i]["_hi"]), F.lit(i)) for i in range(len(qs))]), lambda x: x.isNotNull())
+    freq = both.select(*by, "_v", F.explode(hit).alias("q_index")).groupBy(*by, "q_index", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = join_on_keys(freq, found.select(*by, "q_index", "_below", "_pos"), [*by, "q_index"])
     upto = Window.partitionBy(*by, "q_index").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranked.withColumn("_cum", F.sum("_c").over(upto) + F.col("_below")[F.col("q_index")])
-    q = F.array(*[F.lit(float(x)) for x in qs])[F.col("q_index")]
-    ranked = ranked.withColumn("_pos", q * (F.col("_n") - 1).cast("double"))
+    ranked = ranked.withColumn("_cum", F.sum("_c").over(upto) + F.col("_below"))
     start = F.col("_cum") - F.col("_c")
     has = [(start <= r) & (r < F.col("_cum")) for r in (F.floor("_pos"), F.ceil("_pos"))]
     picked = ranked.filter(has[0] | has[1]).groupBy(*by, "q_index").agg(
@@ -99,7 +145,7 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
     out = picked.select(*by, "q_index", value.alias(alias))
     if with_distinct:
         different = vals.groupBy(*by, "_v").agg(F.lit(1)).groupBy(*by).agg(F.count(F.lit(1)).cast("bigint").alias("distinct"))
-        out = beside(out, different)
+        out = _beside(out, different, by)
     return out
 
 

@@ -1,17 +1,19 @@
 """Missing-data and distribution profiling.
 
 Missing-data statistics come from one scan that counts rows per missing
-pattern (an array of booleans, one per column); per-column counts and the
-pairwise co-missing sums are then computed over that small pattern table
-(pairs as exploded index pairs, so the plan size does not grow with the
-number of columns). Nothing is collected to the driver; NaN in floating
-columns counts as missing.
+pattern (an array of booleans, one per column); per-column counts come from
+that table, pairwise co-missing sums from one matrix per task of it, summed by
+index pair. Nothing is collected to the driver; NaN in floating columns counts
+as missing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
@@ -126,20 +128,31 @@ def completeness(df: DataFrame, cols: list[str] | None = None, only_missing_colu
 
 def _pair_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column pair (i < j): n, missing counts of each, co-missing count.
-    The pattern table is exploded into its index pairs -- the plan has the
-    same size for 3 or 300 columns."""
-    pats = missing_patterns(df, cols)
-    one = pats.select("n", "pattern", F.posexplode_outer("pattern").alias("i", "a"))
-    two = one.select("n", "i", "a", F.posexplode_outer("pattern").alias("j", "b")).filter(F.col("i") < F.col("j"))
-    n = F.col("n")
-    sums = two.groupBy("i", "j").agg(
-        F.sum(n).cast("double").alias("n"),
-        F.sum(F.when(F.col("a"), n).otherwise(0)).cast("double").alias("sa"),
-        F.sum(F.when(F.col("b"), n).otherwise(0)).cast("double").alias("sb"),
-        F.sum(F.when(F.col("a") & F.col("b"), n).otherwise(0)).cast("double").alias("sab"))
+
+    A task adds its missing patterns up to one matrix of co-missing counts (a product of the 0/1 patterns, weighted by their rows) and
+    gives its upper half once: (number of columns)^2 / 2 rows a task, however many different patterns there are."""
+    k = len(cols)
+    upper = np.triu_indices(k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both, rows = np.zeros((k, k)), 0
+        for batch in batches:
+            if batch.num_rows:
+                x = np.asarray(batch.column("pattern").flatten()).reshape(batch.num_rows, k).astype(np.float64)
+                n = batch.column("n").to_numpy().astype(np.float64)
+                both += (x * n[:, None]).T @ x
+                rows += int(n.sum())
+        i, j = (np.r_[u, k].astype(np.int32) for u in upper)         # the last one: all rows
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(np.r_[both[upper], float(rows)])], ["i", "j", "sab"])
+
+    pats = missing_patterns(df, cols).select("n", "pattern")
+    sums = pats.mapInArrow(run, "i int, j int, sab double").groupBy("i", "j").agg(F.sum("sab").alias("sab"))
+    one = sums.where(F.col("i") == F.col("j"))
+    a, b = one.select("i", F.col("sab").alias("sa")), one.select("j", F.col("sab").alias("sb"))
+    total = one.where(F.col("i") == k).select(F.col("sab").alias("n")).scalar()
     names = _names(cols)
-    return sums.select(F.element_at(names, F.col("i") + 1).alias("column_a"),
-                       F.element_at(names, F.col("j") + 1).alias("column_b"), "n", "sa", "sb", "sab")
+    return sums.where(F.col("i") < F.col("j")).join(a, "i").join(b, "j").select(
+        F.element_at(names, F.col("i") + 1).alias("column_a"), F.element_at(names, F.col("j") + 1).alias("column_b"), total.alias("n"), "sa", "sb", "sab")
 
 
 def missing_correlation(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,12 +50,14 @@ def common_columns(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
     return a.select(*common), b.select(*common)
 
 
-def add_metadata(df: DataFrame, timestamp_col: str | None = "processing_datetime", **labels) -> DataFrame:
+def add_metadata(df: DataFrame, timestamp_col: str | None = "processing_datetime", now: Column | datetime | None = None, **labels) -> DataFrame:
     """Stamp load metadata: a processing timestamp and constant labels
-    (``area='London'`` or ``source_year=2019, dataset_group='apt_dly'``)."""
+    (``area='London'`` or ``source_year=2019, dataset_group='apt_dly'``).
+
+    ``now`` is the clock: the time of the query by default, or that of the run being loaded or repeated."""
     cols = {}
     if timestamp_col:
-        cols[timestamp_col] = F.current_timestamp()
+        cols[timestamp_col] = F.current_timestamp() if now is None else now if isinstance(now, Column) else F.lit(now)
     for k, v in labels.items():
         cols[k] = F.lit(v)
     return df.withColumns(cols)

@@ -167,30 +167,31 @@ def q_overwrite_batch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
-@query("insert_into_positional", sql="SELECT o_orderkey AS order_key, o_custkey AS customer FROM orders WHERE o_orderkey % 3 <> 0")
+@query("insert_into_positional", sql="SELECT o_orderkey AS order_key, o_custkey AS customer FROM orders")
 def q_insert_into_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An empty table made from a contract, then INSERT INTO ... SELECT by
-    position (other names) and an append by name (other order)."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    target = orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"))
+    """All orders into an empty table made from a contract: urgent and high ones, and those without priority, by
+    INSERT INTO ... SELECT by position (other names), the rest appended by name (other order)."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    first = F.coalesce(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(True))
+    target = orders.where(~first).select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer"))
     name = _fresh_table(spark, "order_customers")
     for _ in range(2):                                 # the second time it is there already
         sinks.create_if_absent(spark, name, target.schema)
-    sinks.insert_into(orders.where("o_orderkey % 3 = 1"), name)
-    sinks.append(target.where("order_key % 3 = 2").select("customer", "order_key"), name)
+    sinks.insert_into(orders.where(first).drop("o_orderpriority"), name)
+    sinks.append(target.select("customer", "order_key"), name)
     return spark.table(name)
 
 
-@query("create_or_replace_as", sql="SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+@query("create_or_replace_as", sql="SELECT n_nationkey, upper(n_name) AS n_name FROM nation")
 def q_create_or_replace_as(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by another query, then left alone by one that ignores
     an existing table, then overwritten."""
     nation = table(spark, sf_dir, "nation")
     name = _fresh_table(spark, "nations")
     sinks.ctas(nation.select("n_name"), name)
-    sinks.ctas(nation.where("n_regionkey = 0").select("n_nationkey", "n_name"), name, if_exists="replace")
+    sinks.ctas(nation.select("n_nationkey", "n_name"), name, if_exists="replace")
     sinks.ctas(nation.limit(0), name, if_exists="ignore")
-    sinks.overwrite(nation.where("n_regionkey = 1").select("n_nationkey", "n_name"), name)
+    sinks.overwrite(nation.select("n_nationkey", F.upper("n_name").alias("n_name")), name)
     return spark.table(name)
 
 

@@ -11,15 +11,17 @@ spreads the rows before heavy work.
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from strata.operators.reshape import union_by_name
 from strata.sources.contracts import conform
-from strata.sources.files import first_line
+from strata.session import scratch_path
 
 # Fixed value: a four-digit year 19xx/20xx not adjacent to other digits.
 YEAR_PATTERN = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
@@ -44,16 +46,36 @@ def read_csv(spark: SparkSession, paths: str | list[str], contract: StructType |
     return df
 
 
-def headers(spark: SparkSession, paths: str | list[str], sep: str = ",", quote: str = '"') -> dict[tuple[str, ...], list[str]]:
-    """Files by the column names of their header. The first line of each file is read on
-    the driver (no more of it); files without any are left out."""
+def headers(spark: SparkSession, paths: str | list[str], sep: str = ",", quote: str = '"',
+            modified_after: str | None = None) -> dict[tuple[str, ...], str | list[str] | None]:
+    """Files by the column names of their header: one Spark job over the files, a task per file that stops after its
+    first line. The driver sees the different headers; where there is one, its files are ``paths`` as given (None: no file has a
+    line), where there are several, each has the list of its files. ``modified_after``: only files written after
+    that time (``2024-01-31T00:00:00``) are looked at."""
+    side = spark.newSession()                          # its settings are nobody else's
+    for key, value in {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50),
+                       "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}.items():
+        side.conf.set(key, value)
+    reader = side.read.option("modifiedAfter", modified_after) if modified_after else side.read
+    lines = reader.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    where = scratch_path(spark, "headers")
+    lines.mapInArrow(first, lines.schema).write.parquet(where)
+    found = spark.read.schema(lines.schema).parquet(where)
+    parse = lambda line: tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar=quote)))
+    texts = [r.value for r in found.select("value").distinct().collect()]
+    names = {parse(t) for t in texts}
+    if len(names) <= 1:
+        return {n: None if modified_after else paths for n in names}
     out: dict[tuple[str, ...], list[str]] = {}
-    for path in sorted(spark.read.text(paths).inputFiles()):
-        path = unquote(path)
-        line = first_line(spark, path)
-        if line is not None:
-            names = tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar=quote)))
-            out.setdefault(names, []).append(path)
+    for r in found.orderBy("file").collect():          # a reader takes its files as a list from the driver
+        out.setdefault(parse(r.value), []).append(unquote(r.file))
     return out
 
 

@@ -28,7 +28,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _lines(spark: SparkSession, path: str, most: int | None) -> list[str]:
+def _lines(spark: SparkSession, path: str) -> list[str]:
     jvm, conf, where, fs = _open(spark, path)
     stream = fs.open(where)
     try:
@@ -36,10 +36,7 @@ def _lines(spark: SparkSession, path: str, most: int | None) -> list[str]:
         plain = codec.createInputStream(stream) if codec is not None else stream
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
         out: list[str] = []
-        while most is None or len(out) < most:
-            line = reader.readLine()
-            if line is None:
-                break
+        while (line := reader.readLine()) is not None:
             out.append(line)
         return out
     finally:
@@ -47,11 +44,4 @@ def _lines(spark: SparkSession, path: str, most: int | None) -> list[str]:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(_lines(spark, path, None))
-
-
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The first line of a plain or compressed text file (None if it is
-    empty); no more of the file is read than its first buffer."""
-    found = _lines(spark, path, 1)
-    return found[0] if found else None
+    return "\n".join(_lines(spark, path))

@@ -2,7 +2,7 @@
 
 - ``create_if_absent``: an empty table from a contract, only when missing.
 - ``ctas``: copy a frame into a new table; ``if_exists`` = error | ignore | replace.
-- ``append`` / ``overwrite``: by name.
+- ``append`` / ``overwrite``: by name. Whole tables are replaced by writing beside them and swapping names.
 - ``overwrite_batch``: idempotent load -- replaces only the partitions present
   in the batch (dynamic partition overwrite), so re-running a load does not
   double its rows.
@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -53,6 +55,44 @@ def _save(df: DataFrame, target: str, mode: str, partition_by=None, fmt: str = "
         w.saveAsTable(target)
 
 
+def _replace(df: DataFrame, target: str, partition_by=None, bucket_by: tuple[int, list[str]] | None = None) -> None:
+    """``target`` replaced by ``df``: written beside it, then swapped by renaming. A write that fails leaves the old rows,
+    and ``df`` may read its own target. (A partitioned catalog table is replaced in place: the catalog keeps its
+    partitions' places.)"""
+    spark, mark = df.sparkSession, uuid.uuid4().hex[:10]
+    if not is_path(target):
+        if not spark.catalog.tableExists(target) or partition_by:
+            w = _writer(df, "overwrite", partition_by, "parquet")
+            (w.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1]) if bucket_by else w).saveAsTable(target)
+            return
+        new, old = f"{target}_new_{mark}", f"{target}_old_{mark}"
+        try:
+            w = _writer(df, "errorifexists", None, "parquet")
+            (w.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1]) if bucket_by else w).saveAsTable(new)
+        except Exception:
+            spark.sql(f"DROP TABLE IF EXISTS {new}")
+            raise
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
+        spark.sql(f"DROP TABLE {old}")
+        return
+    Path, base = spark._jvm.org.apache.hadoop.fs.Path, target.rstrip("/")
+    here, new, old = Path(base), Path(f"{base}__new_{mark}"), Path(f"{base}__old_{mark}")
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        _save(df, new.toString(), "errorifexists", partition_by)
+    except Exception:
+        fs.delete(new, True)
+        raise
+    if fs.exists(here) and not fs.rename(here, old):
+        raise OSError(f"cannot move {target} aside; the new rows are in {new.toString()}")
+    if not fs.rename(new, here):
+        fs.rename(old, here)
+        raise OSError(f"cannot move {new.toString()} to {target}; the old rows are back")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(base)
+
+
 def create_if_absent(spark: SparkSession, target: str, schema: StructType,
                      partition_by: list[str] | None = None) -> None:
     """Empty table from a contract, only when absent. A catalog name becomes
@@ -72,6 +112,9 @@ def ctas(df: DataFrame, target: str, if_exists: str = "error", partition_by=None
     hash-buckets the copy so later joins and aggregations on ``cols`` between
     tables bucketed the same way need no shuffle."""
     mode = {"error": "errorifexists", "ignore": "ignore", "replace": "overwrite"}[if_exists]
+    if if_exists == "replace" and (bucket_by is None or not is_path(target)):
+        _replace(df, target, partition_by, bucket_by)
+        return
     if bucket_by is None:
         _save(df, target, mode, partition_by)
         return
@@ -87,29 +130,27 @@ def append(df: DataFrame, target: str, partition_by=None) -> None:
 
 
 def overwrite(df: DataFrame, target: str, partition_by=None) -> None:
-    _save(df, target, "overwrite", partition_by)
+    """All rows replaced; a write that fails leaves the old ones."""
+    _replace(df, target, partition_by)
 
 
 def overwrite_batch(df: DataFrame, target: str, partition_by: list[str]) -> None:
     """Replace only the partitions this batch contains (idempotent re-run).
 
-    A catalog table is created first if absent, then overwritten by position
-    with the batch's columns in the table's order (``saveAsTable`` would
-    replace the whole table). All its columns must be in the batch."""
+    A catalog table is created first if absent; its partitions are then overwritten where the table lies and made known
+    to the catalog (``saveAsTable`` would replace the whole table, ``insertInto`` needs a setting of the whole session). All its
+    columns must be in the batch."""
     if is_path(target):
         _save(df, target, "overwrite", partition_by, partitionOverwriteMode="dynamic")
         return
     spark = df.sparkSession
     if not spark.catalog.tableExists(target):
         _save(df.limit(0), target, "errorifexists", partition_by)
-    columns = [c.name for c in spark.catalog.listColumns(target)]
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")                     # insertInto takes it from the session only
-    try:
-        df.select(*[f"`{c}`" for c in columns]).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    columns = [f"`{c.name}`" for c in spark.catalog.listColumns(target)]
+    where = spark.sql(f"DESCRIBE FORMATTED {target}").where("col_name = 'Location'").first().data_type
+    _save(df.select(*columns), where, "overwrite", partition_by, partitionOverwriteMode="dynamic")
+    spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(target)
 
 
 def insert_into(df: DataFrame, table_name: str, overwrite_rows: bool = False) -> None:

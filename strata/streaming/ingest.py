@@ -22,7 +22,7 @@ from strata.sources.csv import YEAR_PATTERN, headers
 def csv_stream(spark: SparkSession, landing: str, contract: StructType, header: bool = True,
                sep: str = ",", max_files_per_trigger: int | None = None, multi_line: bool = False,
                stamp_year: bool = False, year_pattern: str = YEAR_PATTERN,
-               year_source: str = "file_name") -> DataFrame:
+               year_source: str = "file_name", headers_after: str | None = None, known: tuple[str, ...] | None = None) -> DataFrame:
     """A streaming frame over CSV files in ``landing``, conformed to the
     contract by column name (fields read as text, then ``try_cast``).
 
@@ -30,10 +30,13 @@ def csv_stream(spark: SparkSession, landing: str, contract: StructType, header:
     dropped, in whatever place they stand; an empty folder is taken to get
     the contract's own). A file with another header fails the run rather than
     being read into the wrong columns; ``multi_line`` allows line breaks inside
-    quoted fields."""
+    quoted fields. A later run gives the columns ``known`` from the one before and the time of that one as
+    ``headers_after``: then only the headers of files written since are read."""
     names = [f.name for f in contract.fields]
     if header:
-        present = headers(spark, landing, sep)
+        present = headers(spark, landing, sep, modified_after=headers_after)
+        if known is not None:
+            present.setdefault(tuple(known), None)
         if len(present) > 1:
             raise ValueError(f"{landing} holds files with different headers: {sorted(map(list, present))}")
         names = list(next(iter(present), names))

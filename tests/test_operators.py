@@ -1,5 +1,8 @@
 import math
 
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import histogram, quantile, sorted_value_counts, value_counts
@@ -245,3 +248,54 @@ def test_profile_text(spark):
     from strata.operators.profile import profile_text
     df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("b", 4)], "t string, n int")
     assert [tuple(r) for r in profile_text(df).collect()] == [("t", 3, 1, 2, "a", "b")]
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+@pytest.mark.parametrize("accuracy,ordered", [(3, 10), (40, 50), (10000, 100_000)])
+def test_quantiles_prove_their_bracket(spark, by, accuracy, ordered):
+    """A coarse sketch brackets badly and brackets too large to order are narrowed: the result is exact all the same."""
+    from strata.operators.aggregate import quantiles
+    r = np.random.default_rng(accuracy)
+    x = np.concatenate([r.lognormal(3, 2, 2500), np.full(900, 7.0), r.integers(0, 5, 600)])
+    pdf = pd.DataFrame({"x": x, "g": np.where(r.random(len(x)) < 0.8, "a", "b")})
+    qs = [0.0, 0.01, 0.25, 0.5, 0.77, 0.99, 1.0]
+    df = spark.createDataFrame(pdf)
+    got = {(r.g if by else None, r.q_index): r.quantile for r in quantiles(df, "x", qs, by=by, accuracy=accuracy, ordered=ordered).collect()}
+    groups = {None: pdf.x} if not by else dict(list(pdf.groupby("g").x))
+    assert got == {(g, i): pytest.approx(float(v.quantile(q)), rel=1e-12) for g, v in groups.items() for i, q in enumerate(qs)}
+
+
+def test_forced_bad_bracket(spark, monkeypatch):
+    from strata.operators import aggregate
+    real = F.percentile_approx
+    wrong = lambda col, at, accuracy: F.transform(real(col, at, accuracy), lambda v: v + 1000) if isinstance(at, list) else real(col, at, accuracy)
+    df = spark.range(5000).select(F.col("id").cast("double").alias("x"))
+    monkeypatch.setattr(aggregate.F, "percentile_approx", wrong)
+    got = [r.quantile for r in aggregate.quantiles(df, "x", [0.1, 0.5, 0.9], accuracy=100, ordered=200).orderBy("q_index").collect()]
+    assert got == pytest.approx([499.9, 2499.5, 4499.1], rel=1e-12)
+
+
+def test_co_missing_of_many_columns_with_different_patterns(spark):
+    from strata.operators.profile import missing_correlation, missing_distance
+    r = np.random.default_rng(3)
+    k, n = 78, 400
+    gone = r.random((n, k)) < r.random(k)
+    gone[:, 5] = False
+    rows = [tuple(None if m else i for m in row) for i, row in enumerate(gone)]
+    cols = [f"c{j}" for j in range(k)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in cols)).repartition(5)
+    got = {(x.column_a, x.column_b): x.distance for x in missing_distance(df, cols).collect()}
+    assert got == {(cols[i], cols[j]): int((gone[:, i] != gone[:, j]).sum()) for i in range(k) for j in range(i + 1, k)}
+    corr = {(x.column_a, x.column_b): x.correlation for x in missing_correlation(df, cols).collect()}
+    assert corr[("c5", "c6")] is None and corr[("c1", "c2")] == pytest.approx(np.corrcoef(gone[:, 1], gone[:, 2])[0, 1])
+    assert missing_distance(df.limit(0), cols).count() == k * (k - 1) // 2
+
+
+def test_add_metadata_takes_a_clock(spark):
+    import datetime as dt
+    from strata.operators.project import add_metadata
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 2, 3))], "id int, at timestamp")
+    fixed = dt.datetime(2024, 5, 6, 7, 8, 9)
+    assert add_metadata(df, now=fixed).first().processing_datetime == fixed
+    assert add_metadata(df, now=F.col("at")).first().processing_datetime == dt.datetime(2024, 1, 2, 3)
+    assert add_metadata(df).first().processing_datetime is not None

@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import quality
 from strata.operators.quality import (bag_diff_counts, data_freshness, fk_orphans, layer_checksum, layer_diff,
                                       pk_duplicates, quality_log, reconcile_counts)
 
@@ -79,3 +81,35 @@ def test_quality_log_append_and_newest_first(spark, tmp_dir):
     for _ in range(2):
         write_freshness(data_freshness(d, "d", "t"), fresh)
     assert spark.read.parquet(fresh).count() == 1
+
+
+def _numbers(spark, n, changed=()):
+    """n rows, a third of them equal; those whose number is in ``changed`` differ."""
+    base = spark.range(n).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.lit("some longer text").alias("t"),
+                                 F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 5).alias("x"))
+    return base.withColumn("t", F.when(F.col("k").isin([c for c in changed if c % 3]), "other").otherwise(F.col("t"))) if changed else base
+
+
+@pytest.mark.parametrize("step,leaf_rows", [(2, 1), (4, 8), (12, 64)])
+def test_digest_tree_finds_scattered_differences(spark, step, leaf_rows):
+    n = 6000
+    changed = list(range(1, n, 97))
+    src, tgt = _numbers(spark, n), _numbers(spark, n, changed)
+    got = quality.bag_compare(src, tgt, step=step, leaf_rows=leaf_rows).first()
+    want = len([c for c in changed if c % 3])
+    assert tuple(got) == (n, n, want, want)
+    # only rows of the last buckets that differ are grouped whole
+    _, differ, bits = quality.digest_tree({"x": (src, tgt)}, step, leaf_rows)
+    hashed = quality._hashed({"x": (src, tgt)}).withColumn("_k", quality._bucket(bits))
+    moved = hashed.join(differ, ["table_name", "_k"], "left_semi").groupBy("_h").count()
+    assert moved.count() <= want * (2 + 2 * leaf_rows)
+
+
+def test_digest_tree_of_equal_and_odd_layers(spark):
+    same = _numbers(spark, 500)
+    first, differ, bits = quality.digest_tree({"a": (same, same), "b": (same, same.union(same.limit(1)))})
+    assert bits == quality.LEVEL_BITS and {r.table_name for r in differ.collect()} == {"b"}
+    empty = same.limit(0)
+    rows = {r.table_name: tuple(r)[1:] for r in quality.bag_compare_all({
+        "equal": (same, same), "none": (empty, empty), "gone": (same, empty), "new": (empty, same), "twice": (same, same.union(same))}).collect()}
+    assert rows == {"equal": (500, 500, 0, 0), "none": (0, 0, 0, 0), "gone": (500, 0, 500, 0), "new": (0, 500, 0, 500), "twice": (500, 1000, 0, 500)}

@@ -241,3 +241,64 @@ def test_no_private_folder_on_a_cluster(spark, monkeypatch):
     sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://m:7077")
     with pytest.raises(ValueError):
         checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_headers_in_one_job(spark, tmp_dir):
+    """Plain and compressed files, empty ones, odd names: the headers come from the executors."""
+    import bz2
+    import gzip
+    import os
+    from strata.sources.csv import headers, read_csv
+    where = os.path.join(tmp_dir, "landing files")
+    os.makedirs(where)
+    body = "\n".join(f"{i},x{i}" for i in range(3000)) + "\n"
+    for name, opened, head in (("a 1.csv", open, "id,v"), ("b%20.csv.bz2", bz2.open, "id,v"), ("c.csv.gz", gzip.open, "id,v")):
+        with opened(os.path.join(where, name), "wt") as f:
+            f.write(f"{head}\n{body}")
+    open(os.path.join(where, "empty.csv"), "w").close()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert headers(spark, where) == {("id", "v"): where}
+    assert read_csv(spark, where, multi_line=False).count() == 9000
+    with open(os.path.join(where, "d.csv"), "w") as f:
+        f.write("\ufeffv,extra,id\ny,1,7\n")
+    found = headers(spark, where)
+    assert sorted(found) == [("id", "v"), ("v", "extra", "id")] and [len(found[k]) for k in sorted(found)] == [3, 1]
+    got = read_csv(spark, where, multi_line=False)
+    assert got.count() == 9001 and got.where("extra = 1").select("id", "v").first() == ("7", "y")
+    assert headers(spark, where, modified_after="2999-01-01T00:00:00") == {}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+    from strata.sources import sinks
+    fails = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("no"))).otherwise(F.col("id").cast("string")).alias("v"))
+    for target in (f"{tmp_dir}/replaced", "replaced_t"):
+        sinks.overwrite(spark.range(3).select(F.col("id").cast("string").alias("v")), target)
+        for call in (lambda t: sinks.overwrite(fails, t), lambda t: sinks.ctas(fails, t, if_exists="replace")):
+            with pytest.raises(Exception, match="no"):
+                call(target)
+            assert sorted(r.v for r in sinks.read_table(spark, target).collect()) == ["0", "1", "2"]
+        # a plan may read the table that it replaces
+        sinks.overwrite(sinks.read_table(spark, target).where("v <> '1'"), target)
+        assert sorted(r.v for r in sinks.read_table(spark, target).collect()) == ["0", "2"]
+        sinks.ctas(spark.range(1).select(F.lit("z").alias("other")), target, if_exists="replace")
+        assert [tuple(r) for r in sinks.read_table(spark, target).collect()] == [("z",)]
+    import os
+    assert sorted(os.listdir(tmp_dir)) == ["replaced"]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("replaced_t")] == ["replaced_t"]
+
+
+def test_a_file_overwritten_in_place_makes_another_layer(spark, tmp_dir):
+    import os
+    import time
+    from strata.sources.layers import materialized
+    path = f"{tmp_dir}/in"
+    build = lambda: spark.read.schema("v string").text(path)
+    os.makedirs(path)
+    for text in ("one", "two!", "six"):
+        time.sleep(0.02)
+        with open(f"{path}/a.txt", "w") as f:
+            f.write(text)
+        assert [r.v for r in materialized(spark, "in-place", build).collect()] == [text]
