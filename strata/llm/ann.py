@@ -96,18 +96,28 @@ def scan(queries: np.ndarray, blocks: list[np.ndarray], k: int, epsilon: float)
         yield alive
 
 
+def top(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best rows of each query in (query_no, query_id, vec_id, score), with ``rank``."""
+    place = F.row_number().over(Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")).cast("int")
+    return found.withColumn("rank", place).where(F.col("rank") <= k)
+
+
 def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20,
            lists: int | None = None, probes: float = 0.75, sample_rows: int = 8192, block: int = 16,
-           epsilon: float = 2.1, segment_rows: int = 4096, chunk_queries: int = 512, seed: int = 42) -> DataFrame:
+           epsilon: float = 2.1, segment_rows: int = 4096, chunk_queries: int = 2048, seed: int = 42) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found of every query (rows of
     ``df`` where ``is_query``, a condition on column ``vec_id``, holds) with all rows but its own, ties to
     the smaller id.
 
     ``lists`` (default: a quarter of the square root of the number of rows, 1 to 1024) and ``probes`` (the share of
-    them that a query reads, nearest centroids first; more where those hold too few rows) set the balance of time and recall; centroids are
-    learned from about ``sample_rows`` rows. Vectors that are null, zero, of another length than the
+    them that a query may read, nearest centroids first; more where those hold too few rows) set the balance of time and recall; centroids are
+    learned from about ``sample_rows`` rows. A query first reads the nearest lists that hold ``k`` rows; of the others it may read it skips
+    each whose distance bound (to the centroid, less the list's radius) is beyond the k-th found, which loses nothing.
+
+    Vectors that are null, zero, of another length than the
     commonest or hold null or non-finite components take no part, nor do rows without id; rows with
-    the query's own id are never found; repeated rows are found as often as they come; an empty table gives an
+    the query's own id are never found; repeated rows are found as often as they come, and each repeated query row has
+    its own ``k`` results (different vectors under one id are searched each, equal ones once); an empty table gives an
     empty result; other columns are not read."""
     spark = df.sparkSession
     ship(spark)
@@ -135,39 +145,51 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                yield pd.DataFrame({"vec_id": b.vec_id, "list": nearest(lift(np.stack(b.v)), centroids), "v": b.v})
+                v = lift(np.stack(b.v))
+                near = nearest(v, centroids)
+                yield pd.DataFrame({"vec_id": b.vec_id, "list": near, "far": np.sqrt(((v - centroids[near]) ** 2).sum(1)), "v": b.v})
 
-    indexed = written(rows.mapInPandas(assign, "vec_id long, list int, v array<double>"), "index")
-    sizes = indexed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
-    held = np.zeros(count, np.int64)
+    indexed = written(rows.mapInPandas(assign, "vec_id long, list int, far double, v array<double>"), "index")
+    sizes = indexed.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"))
+    held, radius = np.zeros(count, np.int64), np.zeros(count)
     for r in sizes.collect():                         # as many numbers as there are lists
-        held[r.list] = r.n
+        held[r.list], radius[r.list] = r.n, r.far
     sizes = sizes.withColumn("segments", F.ceil(F.col("n") / segment_rows).cast("int"))
 
+    # each different query once
+    asked = rows.where(is_query).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies"))
+    asked = written(asked.select(F.monotonically_increasing_id().alias("query_no"), F.col("vec_id").alias("query_id"), "v"), "queries")
+    probed = "query_no long, query_id long, list int, v array<double>"
+
+    def chosen(part: pd.DataFrame, limit: np.ndarray | None) -> pd.DataFrame:
+        """The lists that each query reads: the nearest that hold ``k`` rows besides its own or, given the k-th score
+        found in those (``limit``), the others among the nearest that can hold a better one."""
+        q = np.concatenate([np.stack(part.v), np.zeros((len(part), 1))], axis=1)
+        apart = (centroids * centroids).sum(1)[None] - 2 * q @ centroids.T + (q * q).sum(1)[:, None]
+        order = np.argsort(apart, axis=1, kind="stable")
+        first = ((held[order].cumsum(1) < k + 1).sum(1) + 1).clip(max=count)[:, None]
+        place = np.arange(count)[None]
+        if limit is None:
+            keep = place < first
+        else:
+            # |q - x|^2 = reach + |q|^2 - 2 <q, x>
+            bound = np.maximum(0.0, np.sqrt(np.maximum(0.0, np.take_along_axis(apart, order, 1))) - radius[order])
+            worst = reach + (q * q).sum(1) - 2 * limit
+            keep = (place >= first) & (place < reads) & (bound ** 2 <= (worst * (1 + 1e-9) + 1e-9)[:, None])
+        at, lists_ = np.nonzero(keep)
+        return pd.DataFrame({"query_no": part.query_no.to_numpy()[at], "query_id": part.query_id.to_numpy()[at],
+                             "list": order[at, lists_].astype(np.int32), "v": [part.v.iloc[i] for i in at]})
+
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for i in range(0, len(b), 1024):
-                part = b.iloc[i:i + 1024]
-                q = np.concatenate([np.stack(part.v), np.zeros((len(part), 1))], axis=1)
-                order = np.argsort((centroids * centroids).sum(1)[None] - 2 * q @ centroids.T, axis=1, kind="stable")
-                # the nearest lists, and more of them while they hold fewer than k besides the query's own row
-                n = np.maximum(reads, (held[order].cumsum(1) < k + 1).sum(1) + 1).clip(max=count)
-                yield pd.DataFrame({"query_id": np.repeat(part.vec_id.to_numpy(), n),
-                                    "list": np.concatenate([o[:m] for o, m in zip(order, n)]).astype(np.int32),
-                                    "v": [v for v, m in zip(part.v, n) for _ in range(m)]})
-
-    asked = rows.where(is_query).mapInPandas(probe, "query_id long, list int, v array<double>")
-    asked = written(asked, "probes")
-    crowds = asked.groupBy("list").agg(F.count(F.lit(1)).alias("q"))
-    plan = written(sizes.join(crowds, "list").withColumn("chunks", F.ceil(F.col("q") / chunk_queries).cast("int")), "plan")
+            for i in range(0, len(b), 256):
+                part = b.iloc[i:i + 256]
+                out = chosen(part, part.worst.to_numpy() if "worst" in part else None)
+                if len(out):
+                    yield out
 
     salted = lambda c, parts, s: F.pmod(F.xxhash64(F.lit(s), c), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    plan = plan.select("list", "segments", "chunks")
-    data = indexed.join(plan, "list").withColumn("segment", salted("vec_id", "segments", seed)).select(
-        "list", "segment", every("chunks").alias("chunk"), "vec_id", "v")
-    query = asked.join(plan, "list").withColumn("chunk", salted("query_id", "chunks", seed + 1)).select(
-        "list", every("segments").alias("segment"), "chunk", "query_id", "v")
 
     def cell(data: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[np.ndarray, ...]] = []
@@ -175,20 +197,38 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embe
             v, ids = np.stack(data.v), data.vec_id.to_numpy()
             turned = np.ascontiguousarray((lift(v) @ turn).T)
             blocks = [turned[i:i + block] for i in range(0, dims + 1, block)]
-            qs = np.stack(query.v)
-            rotated = np.concatenate([qs, np.zeros((len(qs), 1))], axis=1) @ turn
-            near = scan(rotated, blocks, k + 1, epsilon)   # one more: the query's own row may be among them
-            for q, at, qid in zip(qs, near, query.query_id.to_numpy()):
-                at = at[ids[at] != qid]
-                score = (v[at] * q).sum(1)
-                if len(at) > k:
-                    top = np.lexsort((ids[at], -score))[:k]
-                    at, score = at[top], score[top]
-                found.append((np.full(len(at), qid), ids[at], score))
-        cols = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), cols)))
-
-    key = ["list", "segment", "chunk"]
-    near = data.groupBy(*key).cogroup(query.groupBy(*key)).applyInPandas(cell, "query_id long, vec_id long, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
-    return near.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            qs, numbers, own = np.stack(query.v), query.query_no.to_numpy(), query.query_id.to_numpy()
+            for i in range(0, len(qs), 256):          # bounds the first block's distances held at a time
+                some = qs[i:i + 256]
+                rotated = np.concatenate([some, np.zeros((len(some), 1))], axis=1) @ turn
+                near = scan(rotated, blocks, k + 1, epsilon)   # one more: the query's own row may be among them
+                for q, at, number, qid in zip(some, near, numbers[i:i + 256], own[i:i + 256]):
+                    at = at[ids[at] != qid]
+                    score = (v[at] * q).sum(1)
+                    if len(at) > k:
+                        best = np.lexsort((ids[at], -score))[:k]
+                        at, score = at[best], score[best]
+                    found.append((np.full(len(at), number), np.full(len(at), qid), ids[at], score))
+        types = (np.int64, np.int64, np.int64, np.float64)
+        cols = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, t) for t in types]
+        return pd.DataFrame(dict(zip(("query_no", "query_id", "vec_id", "score"), cols)))
+
+    def read(wanted: DataFrame) -> DataFrame:
+        """What the queries find in the lists that they want (query_no, query_id, list, v)."""
+        crowds = wanted.groupBy("list").agg(F.count(F.lit(1)).alias("q"))
+        plan = sizes.join(crowds, "list").withColumn("chunks", F.ceil(F.col("q") / chunk_queries).cast("int"))
+        plan = written(plan.select("list", "segments", "chunks"), "plan")
+        data = indexed.join(plan, "list").withColumn("segment", salted("vec_id", "segments", seed)).select(
+            "list", "segment", every("chunks").alias("chunk"), "vec_id", "v")
+        query = wanted.join(plan, "list").withColumn("chunk", salted("query_no", "chunks", seed + 1)).select(
+            "list", every("segments").alias("segment"), "chunk", "query_no", "query_id", "v")
+        key = ["list", "segment", "chunk"]
+        return data.groupBy(*key).cogroup(query.groupBy(*key)).applyInPandas(cell, "query_no long, query_id long, vec_id long, score double")
+
+    first = written(top(read(written(asked.mapInPandas(probe, probed), "probes")), k).drop("rank"), "first-found")
+    worst = first.groupBy("query_no").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("worst"))
+    limited = asked.join(worst, "query_no", "left").withColumn("worst", F.coalesce("worst", F.lit(-1e300)))
+    more = read(written(limited.mapInPandas(probe, probed), "further-probes"))
+    found = top(first.unionByName(more), k).join(asked.withColumnRenamed("query_id", "_id"), "query_no")
+    each = rows.where(is_query).select(F.col("vec_id").alias("_id"), "v")      # every query row, its copies too
+    return each.join(found, ["_id", "v"]).select("query_id", "rank", "vec_id", "score")

@@ -10,7 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StructField, StructType
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 from strata.session import scratch_path
 
@@ -39,11 +39,14 @@ def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(key, str(rows))
 
 
-def row_key(id_col: Column, text_col: Column, id_type: DataType) -> Column:
-    """A row's id and text hash as one struct column. In it a null id equals
+def row_key(id_col: Column, text_col: Column, id_type: DataType, source_col: Column | None = None) -> Column:
+    """A row's id and text hash (and source) as one struct column. In it a null id equals
     itself, so a join on it and a window over it share one shuffle."""
     kind = StructType([StructField("id", id_type), StructField("t", LongType())])
-    return F.struct(id_col.alias("id"), F.xxhash64(text_col.cast("string")).alias("t")).cast(kind)
+    parts = [id_col.alias("id"), F.xxhash64(text_col.cast("string")).alias("t")]
+    if source_col is not None:
+        kind, parts = kind.add("s", StringType()), [*parts, source_col.cast("string").alias("s")]
+    return F.struct(*parts).cast(kind)
 
 
 def ship(spark: SparkSession) -> None:
@@ -53,12 +56,13 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_strata_shipped", False):
         return
     package = Path(__file__).resolve().parent.parent
-    target = Path(tempfile.mkdtemp(prefix="strata-src-")) / "strata_src.zip"
+    folder = tempfile.TemporaryDirectory(prefix="strata-src-")        # on the driver, gone when it ends
+    target = Path(folder.name) / "strata_src.zip"
     with zipfile.ZipFile(target, "w") as z:
         for f in sorted(package.rglob("*.py")):
             z.write(f, f.relative_to(package.parent))
     context.addPyFile(str(target))
-    context._strata_shipped = True
+    context._strata_shipped = folder
 
 
 def with_fields(lead: StructField, ddl: str) -> StructType:

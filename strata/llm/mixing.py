@@ -14,8 +14,9 @@ words; from then on only (id, source, size) rows move.
    of ``n + s / 2`` seats (``s`` sources), so only the quotients in between are
    made and ranked: about two per source, however many blocks there are.
 3. *Quotas per shard.* A source is dealt, by a seeded hash of the id, over
-   shards of about ``shard_words`` words, and its quota over them by the
-   same rule. A hot source has many shards, so it isn't one task's work.
+   shards of about ``shard_words`` words, and its quota by the same rule over
+   groups of ``group_shards`` shards, then each group's over its shards. A
+   hot source has many shards, and no task ranks more than a group of them.
 4. *Selection.* A shard's documents stand in seeded order; their words, end to
    end, are its blocks. ``quota`` blocks are taken from the front, wrapping
    round: whole documents, but for one at the end that is cut at a block.
@@ -78,7 +79,7 @@ def targets(sizes: DataFrame, weights: list[float], share: float, max_repeat: in
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_repeat: int = 2, block_words: int = 4,
-        shard_words: int = 1 << 18, seed: int = 42) -> DataFrame:
+        shard_words: int = 1 << 18, group_shards: int = 4096, seed: int = 42) -> DataFrame:
     """(id, text_hash, source, size, source_size, target, taken) of every row of ``docs``: ``taken`` is
     how many of its words the mix takes, repeats counted (0 to ``max_repeat`` times ``size``).
 
@@ -101,7 +102,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     shard = shard.withColumn("blocks", F.ceil(F.col("words") / block_words).cast("long"))
     shard = written(shard, "shards")
 
-    # blocks of each source, then of each of its shards
+    # blocks of each source, then of each of its groups of shards, then of each shard
     party = shard.groupBy("source").agg(F.sum("blocks").alias("blocks"), F.first("target").alias("target"),
                                         F.first("full").alias("full")).withColumn("party", F.struct("source"))
     rest = party.where(~F.col("full"))
@@ -110,8 +111,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                   F.round(F.sum("target").over(every) / block_words), F.col("blocks") * max_repeat)
     quota = rest.select("source", "seats")
     shares = shard.join(quota.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    part = shares.where(~F.col("full")).withColumn("party", F.struct("source", "shard")).withColumnRenamed("seats", "_quota")
-    part = _seats(part, ["source"], "words", F.col("_quota"), F.col("blocks") * max_repeat)
+    shares = shares.withColumn("group", F.floor(F.col("shard") / group_shards).cast("int"))
+    part = shares.where(~F.col("full")).withColumnRenamed("seats", "_quota")
+    group = part.groupBy("source", "group").agg(F.sum("words").alias("words"), F.sum("blocks").alias("blocks"), F.first("_quota").alias("_quota"))
+    group = _seats(group.withColumn("party", F.struct("source", "group")), ["source"], "words", F.col("_quota"), F.col("blocks") * max_repeat)
+    group = group.select(F.struct("source", "group").alias("_of"), F.col("seats").alias("_quota"))
+    part = part.drop("_quota").join(group, F.struct("source", "group").eqNullSafe(F.col("_of"))).drop("_of")
+    part = _seats(part.withColumn("party", F.struct("source", "shard")), ["source", "group"], "words", F.col("_quota"), F.col("blocks") * max_repeat)
     quotas = written(part.select("source", "shard", "blocks", "seats").unionByName(
         shares.where("full").select("source", "shard", "blocks", (F.col("blocks") * max_repeat).alias("seats"))), "quotas")
     quotas = quotas.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "blocks", "seats")
@@ -131,12 +137,16 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
               length_col: str | None = "n_chars", **settings) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as the mix takes it
     whole, and once more cut after its last taken word where it takes a part.
-    Columns are those of ``docs``; ``length_col`` of a cut text is counted anew."""
+    Columns are those of ``docs``; ``length_col`` of a cut text is counted anew.
+
+    A null or empty text is never taken; rows without id and null sources take part like any other; rows equal in id, text and
+    source share what they take, all of it given by one of them; an empty table gives an empty result; columns may have any names."""
     taken = mix(docs, id_col, text_col, source_col, **settings).where("taken > 0")
-    # equal rows (same id and text) take what they take together, spread over them
-    taken = taken.groupBy(F.struct("id", F.col("text_hash").alias("t")).alias("key")).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
+    # equal rows (same id, text and source) take what they take together, spread over them
+    taken = taken.groupBy(F.struct("id", F.col("text_hash").alias("t"), F.col("source").alias("s")).alias("key")).agg(
+        F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
     row = docs.select(F.struct("*").alias("row"))
-    row = row.withColumn("key", row_key(F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"), docs.schema[id_col].dataType))
+    row = row.withColumn("key", row_key(F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"), docs.schema[id_col].dataType, F.col(f"row.`{source_col}`")))
     row = row.withColumn("_copy", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))).where("_copy = 1")
     out = row.join(taken, "key")
     whole = F.expr("_taken div _size").cast("int")

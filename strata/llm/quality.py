@@ -138,15 +138,17 @@ def classify(df: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc
     them, chosen by a hash of the id.
 
     Null and empty texts are scored like any other; null labels and labels without id are not learned
-    from; a row with several labels teaches each of them. Without anything to learn every score is 0.5.
+    from; several labels of an id count as their mean, half rounded up, and an id with several texts teaches one of them. Without anything to learn every score is 0.5.
     A null id stays null; repeated rows are returned as often as they come; an empty table gives an empty
     result; other columns are not read."""
     stats = written(document_statistics(df, id_col, text_col), "statistics")
     known = labels.where(learn).select(F.col(f"`{label_id}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("y"))
     known = known.where(F.col("id").isNotNull() & F.col("y").isNotNull())
+    known = known.groupBy("id").agg(F.floor(F.avg("y") + 0.5).cast("double").alias("y"))
     n = known.count()
     pick = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_003)) / 1_000_003.0
-    got = known.where(pick < rows / max(n, 1)).join(stats, "id").select("id", "y", "stats").toArrow()
+    chosen = known.where(pick < rows / max(n, 1)).join(stats, "id")
+    got = chosen.groupBy("id", "y").agg(F.min_by("stats", F.xxhash64("stats")).alias("stats")).select("id", "y", "stats").toArrow()
     order = np.lexsort((got["y"].to_numpy(), got["id"].to_numpy()))
     model = None
     if len(order):

@@ -1,5 +1,6 @@
 """Mixing and page text against brute force; the pipeline's stages."""
 
+import hashlib
 import math
 
 import pytest
@@ -98,6 +99,30 @@ def test_mix_of_odd_rows(spark):
     assert [(r.target, r.taken) for r in mixing.mix(empty).collect()] == [(0.0, 0), (0.0, 0)]
 
 
+def test_equal_rows_of_two_sources(spark):
+    rows = [(1, "a b c d e f g h", "x", 15), (1, "a b c d e f g h", "y", 15), (2, "i j k l", "x", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    mixed = mixing.apply_mix(df, weights=(1,), share=1.5, max_repeat=2).collect()
+    words = {}
+    for r in mixed:
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    taken = {r.source: r.taken for r in mixing.mix(df, weights=(1,), share=1.5, max_repeat=2).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    assert words == taken and set(words) == {"x", "y"}
+    assert max(sum(r.doc_id == 1 and r.source == s for r in mixed) for s in "xy") <= 2
+
+
+def test_many_shards_of_one_source(spark):
+    """A source of 1e5 shards: its quota goes to groups of them, then to each; no task ranks them all."""
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("a b c d e f g h").alias("text"),
+                                       F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("source"))
+    got = mixing.mix(docs, weights=(1, 4), share=0.9, shard_words=8, group_shards=500, block_words=1)
+    r = {x.source: x for x in got.groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("target"), F.max("taken").alias("most"),
+                                                        F.count(F.lit(1)).alias("n")).collect()}
+    assert r["hot"].n == 90_000 and r["small"].n == 10_000
+    for x in r.values():
+        assert abs(x.t - x.target) <= 0.002 * x.target and x.most <= 16
+
+
 ARTICLE = ("<!DOCTYPE html><html><head><title>t</title><script>var x='</p>';</script></head><body><nav><ul><li>Home</ul></nav>"
            "<div class='cookie-notice'>We use cookies</div><article><header class='entry-header'><h1>T &lt; 1</h1><span>by me</span></header>"
            "<p>a<b>b</b>  c<br>d&nbsp;e<p>two &amp three<div class=share>s</div><section id=comments><p>nice</section><ul><li>x<li>y</ul>"
@@ -229,4 +254,6 @@ def test_pipeline_stages(spark):
             text = sorted((r.doc_id, r.text) for r in before.collect())
             e = bpe.Encoder(bpe.read_ranks(bpe.VOCABULARY))
             assert sorted((r.doc_id, r.ids) for r in now.collect()) == sorted((i, e.encode(t).tolist()) for i, t in text)
+            digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+            assert sorted((r.doc_id, r.decoded_sha256) for r in now.collect()) == sorted((i, digest(t)) for i, t in text)
     assert corpus_pipeline.run(spark, SF_SMALL).count() == now.count()

@@ -45,6 +45,43 @@ def test_vectors_that_take_no_part(spark):
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_repeated_queries_have_results_of_their_own(spark):
+    r = np.random.default_rng(2)
+    v = r.normal(size=(200, 8))
+    rows = [(0, v[0].tolist())] * 10 + [(i, v[i].tolist()) for i in range(1, 200)] + [(20, v[150].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") % 20 == 0, k=20, lists=5, probes=1.0, epsilon=6.0).toPandas()
+    one = got[got.query_id == 0]
+    assert len(one) == 200 and one.groupby(["rank", "vec_id"]).size().tolist() == [10] * 20
+    assert len(got[got.query_id == 20]) == 40               # two vectors under one id: both are searched
+    assert len(got) == 200 + 40 + 8 * 20
+
+
+def test_recall_where_most_lists_are_skipped(spark):
+    """20,000 clustered vectors, a tenth of the lists read at most."""
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(80, 24)) * 2
+    v = (centres[r.integers(0, 80, 20_000)] + r.normal(size=(20_000, 24)) * 0.35).astype(np.float32)
+    ids = np.arange(20_000)
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], "vec_id long, embedding array<float>").repartition(4)
+    got = ann.search(df, F.col("vec_id") % 200 == 0, k=20, lists=100, probes=0.1).toPandas()
+    scores = v[::200].astype(float) @ v.T.astype(float)
+    scores[np.arange(100), ids[::200]] = -np.inf
+    want = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+    hit = sum(len(set(want[i]) & set(got[got.query_id == 200 * i].vec_id)) for i in range(100))
+    assert hit >= 0.9 * 2000 and len(got) == 2000
+
+
+def test_recall_on_all_given_embeddings(spark):
+    sf = "/root/testdata/sf0.1"
+    got = QUERIES["op1_nearest"](spark, sf).toPandas()
+    t = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    ids, v = t.vec_id.to_numpy(), np.stack(t.embedding).astype(float)
+    want = brute(ids, v, [i for i in ids if i % 20 == 0], 20)
+    hit = sum(len({i for i, _ in x} & set(got[got.query_id == q].vec_id)) for q, x in want.items())
+    assert hit >= 0.9 * 20 * len(want) and len(got) == 20 * len(want)
+
+
 def test_recall_on_embeddings(spark):
     got = QUERIES["op1_nearest"](spark, SF_SMALL).toPandas()
     rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()
