@@ -4,11 +4,16 @@ Each stage takes ``(spark, docs, sf_dir)``, works on every row its
 predecessor kept and returns a DataFrame; all but the last return the columns
 of ``documents``. ``run`` writes each stage's rows as Parquet under the shared
 ``spark.checkpoint.dir`` and reads them back for the next.
+
+Null and empty texts fail the quality rules and go there; rows without id are kept like any other, repeated rows are copies
+of each other (one of them stays); an empty table gives empty results; columns besides those of ``documents``, whatever their
+names, are carried to the last stage and left out by it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.bpe import encode
 from strata.llm.common import written
@@ -39,8 +44,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every document."""
-    return encode(docs).withColumnRenamed("id", "doc_id").select("doc_id", "n_tokens", "ids")
+    """(doc_id, n_tokens, ids, decoded_sha256) of every document: its token ids, and the digest of the bytes they decode to."""
+    found = encode(docs, round_trip=True)
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
