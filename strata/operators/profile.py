@@ -143,7 +143,8 @@ def _pair_sums(df: DataFrame, cols: list[str]) -> DataFrame:
                 both += (x * n[:, None]).T @ x
                 rows += int(n.sum())
         i, j = (np.r_[u, k].astype(np.int32) for u in upper)         # the last one: all rows
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(np.r_[both[upper], float(rows)])], ["i", "j", "sab"])
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(np.r_[both[upper], float(rows)])], ["i", "j", "sab"])
 
     pats = missing_patterns(df, cols).select("n", "pattern")
     sums = pats.mapInArrow(run, "i int, j int, sab double").groupBy("i", "j").agg(F.sum("sab").alias("sab"))
