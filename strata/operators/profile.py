@@ -20,6 +20,7 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from strata.operators.aggregate import mean, quantiles
 from strata.operators.reshape import unpivot_pairs
+from strata.sources.layers import written
 
 
 def _is_missing(df: DataFrame, c: str):
@@ -148,6 +149,7 @@ def _pair_sums(df: DataFrame, cols: list[str]) -> DataFrame:
 
     pats = missing_patterns(df, cols).select("n", "pattern")
     sums = pats.mapInArrow(run, "i int, j int, sab double").groupBy("i", "j").agg(F.sum("sab").alias("sab"))
+    sums = written(sums, "co-missing")                 # read four times below
     one = sums.where(F.col("i") == F.col("j"))
     a, b = one.select("i", F.col("sab").alias("sa")), one.select("j", F.col("sab").alias("sb"))
     total = one.where(F.col("i") == k).select(F.col("sab").alias("n")).scalar()

@@ -22,9 +22,9 @@ from strata.sources.contracts import conform, load_contract, save_contract, with
 from strata.plans.flights import _arr as flights_sql_arrival, silver_airport_arrival_daily
 from strata.plans.testviews import flight_view, with_views
 from strata.sources.csv import read_csv, read_yearly_csv
-from strata.sources.geojson import read_geojson_features
+from strata.sources.geojson import read_geojson_collection, read_geojson_features
 from strata.streaming.ingest import csv_stream, ingest_available
-from strata.tables import TPCH_TABLES, table
+from strata.tables import TPCH_TABLES, footer_stats, table
 
 
 @query("csv_roundtrip", sql="SELECT * FROM orders")
@@ -234,3 +234,34 @@ def q_geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "geojson")
     docs.select(F.to_json(F.struct("type", "features")).alias("value")).repartition(5).write.text(path)
     return read_geojson_features(spark, path, multi_line=False).select("neighbourhood", "geometry_type", "n_regionkey")
+
+
+@query("geojson_collection", sql="""
+SELECT c_name AS label, 'Point' AS geometry_type, c_custkey FROM customer""")
+def q_geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as one GeoJSON collection in a single file, read by as many tasks as it has splits."""
+    customer = table(spark, sf_dir, "customer")
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("c_name").alias("label"), "c_custkey").alias("properties"),
+                       F.struct(F.lit("Point").alias("type"), F.array(F.col("c_nationkey").cast("double"), F.lit(0.5)).alias("coordinates")).alias("geometry"))
+    rows = customer.select(F.col("c_custkey").alias("at"), F.concat(F.to_json(feature), F.lit(",")).alias("value"))
+    ends = spark.createDataFrame([(-2, '{"type": "FeatureCollection", "features": ['), (2 ** 62, '{"type": "Feature", "properties": {}, "geometry": null}\n]}')],
+                                 "at long, value string")
+    path = scratch_path(spark, "geojson-one")
+    rows.unionByName(ends).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    return read_geojson_collection(spark, path).where("c_custkey IS NOT NULL").select("label", "geometry_type", "c_custkey")
+
+
+@query("footer_stats", sql="""
+SELECT COUNT(*) AS n_rows, MIN(o_orderkey) AS first_key, MAX(o_orderkey) AS last_key, MAX(o_custkey) AS last_customer FROM orders""")
+def q_footer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count and key range of orders from the files' footers."""
+    return footer_stats(spark, f"{sf_dir.rstrip('/')}/orders.parquet", n_rows=("count", "*"), first_key=("min", "o_orderkey"),
+                        last_key=("max", "o_orderkey"), last_customer=("max", "o_custkey"))
+
+
+@query("clustered_copy", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey BETWEEN 101 AND 140")
+def q_clustered_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written in ranges of their customer; a filter on customers reads the files that hold them."""
+    path = scratch_path(spark, "orders-by-customer")
+    sinks.ctas(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, cluster_by=["o_custkey", "o_orderkey"])
+    return sinks.read_table(spark, path).where("o_custkey BETWEEN 101 AND 140")

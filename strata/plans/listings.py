@@ -7,6 +7,8 @@ whole chain is a single narrow stage (no shuffle) that Catalyst can prune.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,11 @@ from strata.operators.filters import filter_range
 from strata.operators.reshape import union_by_name
 from strata.plans.parsing import DROP_COLUMNS, KEEP_COLUMNS
 from strata.plans.registry import query
-from strata.plans.testviews import LISTING_COLUMNS, listings_like, with_views
+from strata.plans.testviews import LISTING_COLUMNS, build_contract_listings, contract_listings_sql, listings_like, with_views
+from strata.operators.project import add_metadata
+from strata.sources.contracts import conform
 from strata.sources.layers import materialized
+from strata.sources.schemas import contract
 
 # Cleansing lists of the two-city gold table.
 GOLD_EXTRA_DROPS = ["estimated_revenue_l365d", "license", "calendar_updated", "neighbourhood_group_cleansed",
@@ -39,7 +44,7 @@ def cleanse_combined_listings(frames: list[DataFrame], drop: list[str] | None =
     rows missing a required column; count from bathroom text; money text ->
     double; percent text -> double (source text columns dropped).
     Frames must have the same columns, and the required ones be among them
-    (an error otherwise); other steps whose columns are absent are skipped."""
+    (an error otherwise); a warning names other columns that a step looks for in vain."""
     df = union_by_name(frames, allow_missing=False)
     drop = DROP_COLUMNS + GOLD_EXTRA_DROPS if drop is None else drop
     flags = GOLD_FLAGS if flags is None else flags
@@ -49,6 +54,9 @@ def cleanse_combined_listings(frames: list[DataFrame], drop: list[str] | None =
     absent = [r for r in required if r not in present]
     if absent:
         raise ValueError(f"required columns are absent: {', '.join(absent)}")
+    missing = [c for c in [*flags, *percents, "price", "bathrooms_text"] if c not in present]
+    if missing:
+        warnings.warn(f"nothing to cleanse in absent columns: {', '.join(missing)}", stacklevel=2)
     for r in required:
         df = df.filter(F.col(r).isNotNull())
     gone = set(drop) | set(percents)
@@ -117,21 +125,26 @@ def gold_listings_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------- SQL twins
 
 _LL_NAMES = [n for n, _ in LISTING_COLUMNS]
-_GOLD_SELECT = []
-for _c in _LL_NAMES:
-    if _c in set(DROP_COLUMNS + GOLD_EXTRA_DROPS) | set(GOLD_PERCENTS):
-        continue
-    if _c in GOLD_FLAGS:
-        _GOLD_SELECT.append(f"coalesce({_c} = 't', false) AS {_c}")
-    elif _c == "price":
-        _GOLD_SELECT.append("TRY_CAST(translate(price, '$,', '') AS DOUBLE) AS price")
-    else:
-        _GOLD_SELECT.append(_c)
-_GOLD_SELECT.append(r"CASE WHEN lower(trim(bathrooms_text)) LIKE '%half%' THEN CAST(0.5 AS DOUBLE) "
-                    r"ELSE TRY_CAST(regexp_extract(bathrooms_text, '(\d+(\.\d+)?)', 1) AS DOUBLE) END AS bathrooms")
-for _src, _dst in GOLD_PERCENTS.items():
-    _GOLD_SELECT.append(f"TRY_CAST(regexp_replace({_src}, '%$', '') AS DOUBLE) AS {_dst}")
 
+
+def _gold_select(names: list[str]) -> list[str]:
+    """The two-city cleansing of the columns ``names`` as SQL."""
+    out = []
+    for c in names:
+        if c in set(DROP_COLUMNS + GOLD_EXTRA_DROPS) | set(GOLD_PERCENTS) | {"bathrooms"}:
+            continue
+        if c in GOLD_FLAGS:
+            out.append(f"coalesce({c} = 't', false) AS {c}")
+        elif c == "price":
+            out.append("TRY_CAST(translate(price, '$,', '') AS DOUBLE) AS price")
+        else:
+            out.append(c)
+    out.append(r"CASE WHEN lower(trim(bathrooms_text)) LIKE '%half%' THEN CAST(0.5 AS DOUBLE) "
+               r"ELSE TRY_CAST(regexp_extract(bathrooms_text, '(\d+(\.\d+)?)', 1) AS DOUBLE) END AS bathrooms")
+    return out + [f"TRY_CAST(regexp_replace({src}, '%$', '') AS DOUBLE) AS {dst}" for src, dst in GOLD_PERCENTS.items()]
+
+
+_GOLD_SELECT = _gold_select(_LL_NAMES)
 GOLD_CTE = "gold AS (SELECT " + ",\n  ".join(_GOLD_SELECT) + " FROM listings_like WHERE maximum_maximum_nights IS NOT NULL)"
 GOLD_USD_CTE = ("gold_usd AS (SELECT * REPLACE ("
                 "CASE WHEN price IS NOT NULL AND price <> 0 AND area = 'Tokyo' THEN price * CAST(0.0065 AS DOUBLE) "
@@ -150,6 +163,26 @@ def q_combined_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleanse_combined_listings(city_frames(listings_like(spark, sf_dir), ["London", "Tokyo"]))
 
 
+#: When the registered load ran: a clock that its stamps can be compared by.
+LOADED_AT = "2025-03-01 12:30:00"
+
+
+@query("combined_listings_contract", sql="WITH " + contract_listings_sql() + "\nSELECT " + ",\n  ".join(
+    _gold_select([*contract("listing_two_city").names, "area"]))
+    + f",\n  '{LOADED_AT}' AS loaded_at FROM listings WHERE maximum_maximum_nights IS NOT NULL")
+def q_combined_listings_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of the two-city contract, NULLs in most of them: each city's own frame, conformed to the contract and
+    stamped with the load's area and time, then united by name and cleansed."""
+    rows = build_contract_listings(spark, sf_dir)
+    frames = []
+    for city in ("London", "Tokyo"):
+        columns = contract("listing_two_city").names
+        raw = rows.where(F.col("area") == city).select(*(columns if city == "London" else reversed(columns)))
+        frames.append(add_metadata(conform(raw, contract("listing_two_city")), timestamp_col="loaded_at", now=F.lit(LOADED_AT).cast("timestamp"), area=city))
+    out = cleanse_combined_listings(frames)
+    return out.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 SINGLE_CITY_PRICE_MAX = 450000.0
 
 _SINGLE_COLS = [c for c in KEEP_COLUMNS if c in _LL_NAMES and c != "amenities"]

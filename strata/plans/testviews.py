@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.sources.layers import materialized
+from strata.sources.schemas import contract
 from strata.tables import table
 
 # ---------------------------------------------------------------- listings
@@ -66,13 +67,16 @@ def listings_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialized(spark, f"raw-listings:{sf_dir}", lambda: build_listings_like(spark, sf_dir))
 
 
-def build_listings_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-                    .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
-    return joined.select(*[F.expr(e if e else SPARK_PRICE).alias(n) for n, e in LISTING_COLUMNS])
+    return (orders.join(customer, orders.o_custkey == customer.c_custkey)
+                  .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
+
+
+def build_listings_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listing_rows(spark, sf_dir).select(*[F.expr(e if e else SPARK_PRICE).alias(n) for n, e in LISTING_COLUMNS])
 
 
 def listings_like_sql() -> str:
@@ -82,6 +86,30 @@ def listings_like_sql() -> str:
             " JOIN nation ON c_nationkey = n_nationkey\n)")
 
 
+def _contract_columns() -> list[tuple[str, str | None]]:
+    """An expression for every column of the two-city contract: the listing-shaped view's where it has one, else by type, with NULLs."""
+    known, out = dict(LISTING_COLUMNS), []
+    for j, f in enumerate(contract("listing_two_city").fields):
+        if f.name in known:
+            out.append((f.name, known[f.name]))
+            continue
+        kind = f.dataType.simpleString()
+        value = {"string": f"concat('v{j}-', cast(o_orderkey % {97 + j} as string))",
+                 "double": f"cast(o_orderkey % {50 + j} as double) / 4", "bigint": f"cast(o_orderkey % {50 + j} as bigint)"}[kind]
+        out.append((f.name, f"case when o_orderkey % {5 + j % 11} = 0 then null else {value} end"))
+    return [*out, ("area", known["area"])]
+
+
+def build_contract_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings with all columns of the two-city contract."""
+    return _listing_rows(spark, sf_dir).select(*[F.expr(e if e else SPARK_PRICE).alias(n) for n, e in _contract_columns()])
+
+
+def contract_listings_sql() -> str:
+    cols = ",\n    ".join(f"{e if e else DUCK_PRICE} AS {n}" for n, e in _contract_columns())
+    return ("listings AS (\n  SELECT\n    " + cols + "\n  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey\n)")
+
+
 # ----------------------------------------------------------------- flights
 
 # The 16 delay-reason codes in file order.

@@ -106,12 +106,20 @@ def create_if_absent(spark: SparkSession, target: str, schema: StructType,
         _save(spark.createDataFrame([], schema), target, "ignore", partition_by)
 
 
+def clustered(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` dealt and sorted by ranges of ``by``: written like this, each file and row group spans few values, and a later
+    filter on the leading column skips the others by their statistics."""
+    return df.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
 def ctas(df: DataFrame, target: str, if_exists: str = "error", partition_by=None,
-         bucket_by: tuple[int, list[str]] | None = None) -> None:
-    """Copy ``df`` into a new table. ``bucket_by=(n, cols)`` (catalog tables)
+         bucket_by: tuple[int, list[str]] | None = None, cluster_by: list[str] | None = None) -> None:
+    """Copy ``df`` into a new table. ``cluster_by``: see :func:`clustered`. ``bucket_by=(n, cols)`` (catalog tables)
     hash-buckets the copy so later joins and aggregations on ``cols`` between
     tables bucketed the same way need no shuffle."""
     mode = {"error": "errorifexists", "ignore": "ignore", "replace": "overwrite"}[if_exists]
+    if cluster_by:
+        df = clustered(df, cluster_by)
     if if_exists == "replace" and (bucket_by is None or not is_path(target)):
         _replace(df, target, partition_by, bucket_by)
         return

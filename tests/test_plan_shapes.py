@@ -4,6 +4,7 @@ import contextlib
 import io
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from strata.operators.window import top_n_per_group
 from strata.plans import dashboards, flights, tpch
@@ -80,4 +81,55 @@ def test_missing_patterns_computed_once_per_row(spark):
     from strata.plans import profiling
     p = plan(profiling.q_missing_correlation(spark, SF_SMALL))
     assert "size(array" not in p          # no inferred explode filter pushed into the scan
-    assert p.count("Generate posexplode") == 2
+    # the matrix of co-missing counts is written once; the pairs come from that small table
+    assert "posexplode" not in p and "MapInArrow" not in p and "ReadSchema: struct<i:int,j:int,sab:double>" in p
+
+
+def test_bare_aggregates_come_from_footers(spark):
+    from strata.tables import footer_stats
+    path = f"{SF_SMALL}/orders.parquet"
+    df = footer_stats(spark, path, n=("count", "*"), low=("min", "o_orderkey"), high=("max", "o_orderkey"), given=("count", "o_custkey"))
+    plan = df._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(o_orderkey), MAX(o_orderkey), COUNT(o_custkey)]" in plan
+    orders = spark.read.parquet(path)
+    want = orders.agg(F.count("*"), F.min("o_orderkey"), F.max("o_orderkey"), F.count("o_custkey")).first()
+    assert tuple(df.first()) == tuple(want)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_clustered_copies_skip_files(spark, tmp_dir):
+    from strata.sources import sinks
+    sinks.ctas(spark.range(100_000).select(F.xxhash64("id").alias("k"), "id").repartition(4), f"{tmp_dir}/c", cluster_by=["id"])
+    df = spark.read.parquet(f"{tmp_dir}/c").where("id BETWEEN 100 AND 200")
+    assert len(df.collect()) == 101
+    plan = df._jdf.queryExecution().executedPlan()
+    leaf = plan.collectLeaves().head()
+    read = leaf.metrics().get("numOutputRows").get().value()
+    assert 101 <= read <= 50_000                           # the row groups of other ranges are not read
+
+
+def test_large_geojson_collections_split(spark, tmp_dir):
+    import json
+    import os
+    from strata.sources.geojson import read_geojson_collection, read_geojson_features
+    features = [{"type": "Feature", "properties": {"name": f"n{i}, {{a}} ]", "note": "two\nlines"}, "geometry": {"type": "Point", "coordinates": [i, 1.5]}}
+                for i in range(4000)]
+    doc = {"type": "FeatureCollection", "name": "x", "features": features}
+    for name, indent in (("tight", None), ("wide", 2)):
+        os.makedirs(f"{tmp_dir}/{name}")
+        with open(f"{tmp_dir}/{name}/a.geojson", "w") as f:
+            json.dump(doc, f, indent=indent)
+        got = read_geojson_collection(spark, f"{tmp_dir}/{name}")
+        want = read_geojson_features(spark, f"{tmp_dir}/{name}")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 4000
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    small.conf.set("spark.sql.files.openCostInBytes", "1000")
+    split = small.read.option("lineSep", '"Feature"').text(f"{tmp_dir}/wide")
+    assert split.rdd.getNumPartitions() > 4
+    assert read_geojson_collection(small, f"{tmp_dir}/wide").count() == 4000
+    # a collection whose features do not begin with their type is read whole
+    os.makedirs(f"{tmp_dir}/odd")
+    with open(f"{tmp_dir}/odd/a.geojson", "w") as f:
+        json.dump({"type": "FeatureCollection", "features": [dict(reversed(x.items())) for x in features[:50]]}, f)
+    assert read_geojson_collection(spark, f"{tmp_dir}/odd").count() == 50
