@@ -155,7 +155,8 @@ def identify(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     ``learn`` (a condition on ``df``) holds, id and language are not null and the text has a letter.
 
     ``und`` (score 0) where the text is null, empty or without a letter, and everywhere if there is
-    nothing to learn from. With one learned language every other text gets it. A null id stays null;
+    nothing to learn from. With one learned language every other text gets it. Equal margins of families, and equal votes and margins
+    within one, go to the first in alphabetical order. A null id stays null;
     repeated rows are returned as often as they come; an empty table gives an empty result;
     other columns are not read."""
     known = df.where(learn).select(*id_text(id_col, text_col), F.col(f"`{lang_col}`").cast("string").alias("lang"))
