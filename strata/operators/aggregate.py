@@ -112,10 +112,16 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
     under, over = F.col("_below") > F.floor("_pos"), F.col("_below") + F.col("_inside") <= F.ceil("_pos")
     large = (F.col("_inside") > ordered) & (F.col("_lo") < F.col("_hi")) & ~F.col("_stays") & ~few
     found = _measure(vals, written(bracket, "sketch"), by, len(qs))
-    if not found.where(under | over).isEmpty():
+
+    def any_of(*conditions: Column) -> list[bool]:
+        return [bool(x) for x in found.agg(*[F.max(c) for c in conditions]).first()]
+
+    missed, wide = any_of(under | over, large)
+    if missed:
         found = _measure(vals, found.withColumns({"_lo": F.when(under, low).otherwise(F.col("_lo")),
                                                   "_hi": F.when(over, high).otherwise(F.col("_hi"))}).drop(*_MEASURED), by, len(qs))
-    while not found.where(large).isEmpty():
+        (wide,) = any_of(large)
+    while wide:
         at = lambda rank, more: ((rank - F.col("_below")) / F.col("_inside") * _CUTS).cast("int") + more
         a, b = at(F.floor("_pos"), -2), at(F.ceil("_pos"), 2)
         old = found.withColumns({"_was_lo": F.col("_lo"), "_was_hi": F.col("_hi")})
@@ -123,10 +129,12 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: list[str] | None = N
                                   "_hi": F.when(large & (b < _CUTS - 1), F.get("_cuts", b)).otherwise(F.col("_hi"))})
         narrow = narrow.withColumn("_stays", F.col("_stays") | (F.col("_lo").eqNullSafe(F.col("_was_lo")) & F.col("_hi").eqNullSafe(F.col("_was_hi"))))
         found = _measure(vals, narrow.drop(*_MEASURED), by, len(qs))
-        if not found.where(under | over).isEmpty():
-            missed = under | over
-            found = _measure(vals, found.withColumns({"_stays": F.col("_stays") | missed, "_lo": F.when(missed, F.col("_was_lo")).otherwise(F.col("_lo")),
-                                                      "_hi": F.when(missed, F.col("_was_hi")).otherwise(F.col("_hi"))}).drop(*_MEASURED), by, len(qs))
+        missed, wide = any_of(under | over, large)
+        if missed:
+            back = under | over
+            found = _measure(vals, found.withColumns({"_stays": F.col("_stays") | back, "_lo": F.when(back, F.col("_was_lo")).otherwise(F.col("_lo")),
+                                                      "_hi": F.when(back, F.col("_was_hi")).otherwise(F.col("_hi"))}).drop(*_MEASURED), by, len(qs))
+            (wide,) = any_of(large)
         found = found.drop("_was_lo", "_was_hi")
 
     ends_of = found.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("q_index", "_lo", "_hi"))).alias("_q"))

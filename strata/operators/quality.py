@@ -113,8 +113,13 @@ def bag_compare_all(pairs: Pairs, step: int = LEVEL_BITS, leaf_rows: int = LEAF_
     names = first.sparkSession.createDataFrame([(n,) for n in pairs], "table_name string")
     counts = first.groupBy("table_name").agg(F.expr("CAST(coalesce(sum(_a.n), 0) AS BIGINT) AS source_count"),
                                              F.expr("CAST(coalesce(sum(_b.n), 0) AS BIGINT) AS target_count"))
-    parts = []
+    unequal = {r.table_name for r in differ.select("table_name").distinct().collect()}      # names of tables
+    none = F.lit(0).cast("bigint")
+    parts = [names.where(~F.col("table_name").isin(*unequal) if unequal else F.lit(True)).select(
+        "table_name", none.alias("missing_in_target"), none.alias("extra_in_target"))]
     for name, (src, tgt) in pairs.items():
+        if name not in unequal:
+            continue
         s, t = common_columns(src, tgt)
         cols = [f"`{c}`" for c in s.columns]
         mine = differ.where(F.col("table_name") == name).select("_k")
@@ -124,9 +129,8 @@ def bag_compare_all(pairs: Pairs, step: int = LEVEL_BITS, leaf_rows: int = LEAF_
         parts.append(per_row.agg(F.expr("CAST(coalesce(sum(greatest(_x - _y, 0)), 0) AS BIGINT) AS missing_in_target"),
                                  F.expr("CAST(coalesce(sum(greatest(_y - _x, 0)), 0) AS BIGINT) AS extra_in_target"))
                      .select(F.lit(name).alias("table_name"), "*"))
-    zero = F.lit(0).cast("bigint")
     return (names.join(counts, "table_name", "left").join(_union(parts), "table_name")
-            .select("table_name", F.coalesce("source_count", zero).alias("source_count"), F.coalesce("target_count", zero).alias("target_count"),
+            .select("table_name", F.coalesce("source_count", none).alias("source_count"), F.coalesce("target_count", none).alias("target_count"),
                     "missing_in_target", "extra_in_target"))
 
 
