@@ -162,6 +162,19 @@ def _covered(k: int) -> str:
       WHERE c > 1) e GROUP BY rid"""
 
 
+#: SQL for a table ``steps`` (l): the CRC-32 of each byte.
+_STEPS = """steps AS (  -- CRC-32 of one byte
+  SELECT list(v ORDER BY i) AS l FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i) a) b)"""
+
+
+def _crc(text: str) -> str:
+    """SQL for the unsigned CRC-32 of the UTF-8 bytes of ``text``, next to the table ``steps``."""
+    return f"""xor(list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))),
+         lambda c, b: xor(c >> 8, l[1 + (xor(c, b) & 255)])), 4294967295)"""
+
+
 SQL: dict[str, str] = {
     "op9_quality_rules": rf"""
 WITH t AS (
@@ -185,13 +198,37 @@ judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base
 SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words,
        base_failed, NOT base_failed AND 10 * spans <= 3 * n_words AND NOT long AS kept
 FROM judged""",
-    "op13_resampling": r"""
+    "op12_periodic_runs": rf"""
+WITH {_STEPS},
+docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                CASE WHEN doc_id IS NOT NULL THEN {_crc("CAST(doc_id AS VARCHAR)")} END AS h FROM documents, steps),
+planned AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM docs),
+texts AS (  -- the contract's rewriting
+  SELECT rid, doc_id, CASE WHEN a IS NULL THEN w ELSE
+    list_concat(w[1:a], list_transform(range(a, n), lambda i: w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1])) END AS w FROM planned),
+sixes AS (SELECT rid, i, array_to_string(w[i + 1:i + 6], ' ') AS s FROM (SELECT rid, w, unnest(range(0, len(w) - 5)) AS i FROM texts) a),
+equal AS (  -- six words that come again d words on: a run of 12 words or two periods has them at every start but its last
+  SELECT x.rid, x.i, y.i - x.i AS d FROM sixes x JOIN sixes y ON x.rid = y.rid AND x.s = y.s AND x.i < y.i),
+stretches AS (
+  SELECT rid, d, min(i) AS start, count(*) + 5 + d AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, d ORDER BY i) AS k FROM equal) b GROUP BY rid, d, k),
+runs AS (  -- a stretch with several periods has them all at full length
+  SELECT rid, start, length, min(d) AS period FROM stretches WHERE length >= greatest(12, 2 * d) GROUP BY rid, start, length),
+told AS (
+  SELECT rid, count(*) AS n_runs, first(struct_pack(s := start, l := length, p := period) ORDER BY length DESC, start, period) AS best,
+         string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT rid, string_agg(x, ' ' ORDER BY i) AS words
+  FROM (SELECT rid, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM texts WHERE rid IN (SELECT rid FROM told)) c ANTI JOIN gone USING (rid, i)
+  GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.words, array_to_string(w, ' '))) AS collapsed_sha256
+FROM texts LEFT JOIN told ON texts.rid = told.rid LEFT JOIN kept ON texts.rid = kept.rid""",
+    "op13_resampling": rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 goal AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-steps AS (  -- CRC-32 of one byte
-  SELECT list(v ORDER BY i) AS l FROM (
-    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
-    FROM (SELECT unnest(range(256)) AS i) a) b),
+{_STEPS},
 words AS (SELECT rid, 0 AS kind, unnest(w) AS f FROM docs UNION ALL
   SELECT rid, 0, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM docs UNION ALL
   SELECT 0, 1, unnest(w) FROM goal UNION ALL
@@ -199,8 +236,7 @@ words AS (SELECT rid, 0 AS kind, unnest(w) AS f FROM docs UNION ALL
 counted AS (SELECT f, rid, kind, count(*) AS n FROM words GROUP BY ALL),
 texts AS (SELECT DISTINCT f FROM counted),
 hashed AS (
-  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
-         lambda c, b: xor(c >> 8, l[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS b
+  SELECT f, {_crc("f")} % 10000 AS b
   FROM texts, steps),
 bucketed AS (SELECT rid, kind, b, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
 sums AS (SELECT coalesce(sum(n) FILTER (kind = 0), 0) AS s, coalesce(sum(n) FILTER (kind = 1), 0) AS t FROM bucketed),
