@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import id_text, map_texts, row_key, text_bytes, with_fields, written
@@ -147,13 +147,12 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
              max_bits: int = 2) -> DataFrame:
     """The rows of ``df`` with one row of each near-duplicate group: the one with the smallest id
     (rows without id last). Columns stay as they are. The choice is made on narrow rows; full
-    rows are shuffled once, on a key of their own (id and text hash), so a large group of copies
-    doesn't meet in one task."""
+    rows are shuffled once, on a key of their own (id and text hash), and only one of each key
+    and task: neither a large group of copies nor equal rows without id meet in one task."""
     found = near_duplicates(df, id_col, text_col, words, max_bits)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("t")))
     chosen = found.groupBy("label").agg(first.alias("first")).select(F.struct("first.id", "first.t").alias("key"))
     row = df.select(F.struct("*").alias("row"))
     row = row.withColumn("key", row_key(F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"), df.schema[id_col].dataType))
-    kept = row.join(chosen, "key")
-    one = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
-    return kept.withColumn("n", one).where("n = 1").select("row.*")
+    one = row.groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.join(chosen, "key").select("row.*")
