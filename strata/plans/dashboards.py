@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import (distinct_values, group_metrics, histogram, mean, quantile,
-                                       value_counts)
+                                       sorted_value_counts, value_counts)
 from strata.operators.filters import count_extreme, dropna_subset, filter_not_null, filter_range, quantile_trim
 from strata.operators.reshape import transpose_compare
 from strata.operators.sample import sample_n
@@ -344,6 +344,21 @@ def q_value_counts_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_counts(gold_listings(spark, sf_dir), ["area", "bedrooms"])
 
 
+@query("value_counts_sorted", sql=gold_sql("""
+SELECT minimum_nights, COUNT(*) AS count FROM gold WHERE price > 0
+GROUP BY minimum_nights ORDER BY count DESC, minimum_nights NULLS FIRST"""))
+def q_value_counts_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minimum stays of the listings with a price, the most frequent first."""
+    return sorted_value_counts(filter_range(gold_listings(spark, sf_dir), "price", gt=0), "minimum_nights")
+
+
+@query("value_counts_by_area_sorted", sql=gold_sql("""
+SELECT area, bedrooms, COUNT(*) AS count FROM gold
+GROUP BY area, bedrooms ORDER BY count DESC, area NULLS FIRST, bedrooms NULLS FIRST"""))
+def q_value_counts_by_area_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sorted_value_counts(gold_listings(spark, sf_dir), ["area", "bedrooms"])
+
+
 @query("distinct_values", sql=gold_sql("SELECT DISTINCT area, room_type FROM gold"))
 def q_distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_values(gold_listings(spark, sf_dir), ["area", "room_type"])

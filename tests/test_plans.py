@@ -58,3 +58,13 @@ def test_all_queries_match_sql_twins(spark):
         if len(sdf) != len(ddf) or sorted(sdf.columns) != sorted(ddf.columns) or digest(sdf) != digest(ddf):
             bad.append(name)
     assert bad == []
+
+
+def test_sorted_counts_come_in_the_order_of_their_twins(spark):
+    import __spark_entry__ as entry
+    con = duckdb.connect()
+    for t in ("orders", "customer", "nation", "lineitem", "part", "supplier", "region", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    for name in ("value_counts_sorted", "value_counts_by_area_sorted"):
+        got = [tuple(r) for r in entry.queries()[name](spark, SF_SMALL).collect()]
+        assert got and got == con.execute(entry.oracle_sql()[name]).fetchall()
