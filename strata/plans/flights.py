@@ -13,6 +13,8 @@ aggregates (one row per task per group).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,52 +79,62 @@ def gold_enroute_delay_by_reason(silver: DataFrame) -> DataFrame:
     return delay_by_reason(silver, "DLY_ERT_", keep=["YEAR", "MONTH_NUM", "ENTITY_NAME"])
 
 
-def gold_airport_arrival_kpis_monthly(silver: DataFrame) -> DataFrame:
-    return (silver.groupBy("YEAR", "MONTH_NUM", "apt_icao", "APT_NAME", "STATE_NAME")
-            .agg(F.sum("FLT_ARR_1").alias("total_arrivals"),
-                 F.sum("FLT_ARR_1_DLY").alias("delayed_arrivals"),
-                 F.sum("FLT_ARR_1_DLY_15").alias("delays_over_15min")))
+@dataclass(frozen=True)
+class Kpis:
+    """What the KPI tables of one silver dataset report."""
+    place: list[str]
+    flights: str                    # the count a day needs to be reported, and the ratio's denominator
+    measures: dict[str, str]        # silver column -> reported name, in output order
+    ratio: tuple[str, str]          # numerator, reported name
+
+
+_AIRPORT = ["apt_icao", "APT_NAME", "STATE_NAME"]
+ARRIVAL_KPIS = Kpis(_AIRPORT, "FLT_ARR_1", {
+    "FLT_ARR_1": "total_arrivals", "FLT_ARR_1_DLY": "delayed_arrivals", "FLT_ARR_1_DLY_15": "delays_over_15min"},
+    ("FLT_ARR_1_DLY", "delay_rate"))
+ENROUTE_KPIS = Kpis(["ENTITY_NAME", "ENTITY_TYPE"], "FLT_ERT_1", {
+    "FLT_ERT_1": "total_flights", "FLT_ERT_1_DLY": "delayed_flights", "FLT_ERT_1_DLY_15": "delays_over_15min"},
+    ("FLT_ERT_1_DLY", "delay_rate"))
+DEPARTURE_KPIS = Kpis(_AIRPORT, "FLT_DEP_1", {
+    "FLT_DEP_1": "total_departures", "flt_dep_ifr": "ifr_departures", "dly_atc_pre_min": "atc_pre_delay_minutes"},
+    ("dly_atc_pre_min", "avg_delay_min_per_flight"))
+
+
+def daily_kpis(silver: DataFrame, kpis: Kpis) -> DataFrame:
+    """The measures of each day and place with flights, and their ratio."""
+    measures = [F.col(c).alias(name) for c, name in kpis.measures.items()]
+    numerator, name = kpis.ratio
+    return silver.filter(F.col(kpis.flights) > 0).select(
+        "YEAR", "MONTH_NUM", "MONTH_MON", "flt_date", *kpis.place, *measures, safe_ratio(numerator, kpis.flights).alias(name))
+
+
+def monthly_kpis(silver: DataFrame, kpis: Kpis) -> DataFrame:
+    """The measures' sums per month and place."""
+    return silver.groupBy("YEAR", "MONTH_NUM", *kpis.place).agg(*[F.sum(c).alias(name) for c, name in kpis.measures.items()])
 
 
 def gold_airport_arrival_kpis_daily(silver: DataFrame) -> DataFrame:
-    return (silver.filter(F.col("FLT_ARR_1") > 0)
-            .select("YEAR", "MONTH_NUM", "MONTH_MON", "flt_date", "apt_icao", "APT_NAME", "STATE_NAME",
-                    F.col("FLT_ARR_1").alias("total_arrivals"),
-                    F.col("FLT_ARR_1_DLY").alias("delayed_arrivals"),
-                    F.col("FLT_ARR_1_DLY_15").alias("delays_over_15min"),
-                    safe_ratio("FLT_ARR_1_DLY", "FLT_ARR_1").alias("delay_rate")))
+    return daily_kpis(silver, ARRIVAL_KPIS)
+
+
+def gold_airport_arrival_kpis_monthly(silver: DataFrame) -> DataFrame:
+    return monthly_kpis(silver, ARRIVAL_KPIS)
 
 
 def gold_enroute_kpis_daily(silver: DataFrame) -> DataFrame:
-    return (silver.filter(F.col("FLT_ERT_1") > 0)
-            .select("YEAR", "MONTH_NUM", "MONTH_MON", "flt_date", "ENTITY_NAME", "ENTITY_TYPE",
-                    F.col("FLT_ERT_1").alias("total_flights"),
-                    F.col("FLT_ERT_1_DLY").alias("delayed_flights"),
-                    F.col("FLT_ERT_1_DLY_15").alias("delays_over_15min"),
-                    safe_ratio("FLT_ERT_1_DLY", "FLT_ERT_1").alias("delay_rate")))
+    return daily_kpis(silver, ENROUTE_KPIS)
 
 
 def gold_enroute_kpis_monthly(silver: DataFrame) -> DataFrame:
-    return (silver.groupBy("YEAR", "MONTH_NUM", "ENTITY_NAME", "ENTITY_TYPE")
-            .agg(F.sum("FLT_ERT_1").alias("total_flights"),
-                 F.sum("FLT_ERT_1_DLY").alias("delayed_flights"),
-                 F.sum("FLT_ERT_1_DLY_15").alias("delays_over_15min")))
+    return monthly_kpis(silver, ENROUTE_KPIS)
 
 
 def gold_airport_atc_departure_kpis_daily(silver: DataFrame) -> DataFrame:
-    return (silver.filter(F.col("FLT_DEP_1") > 0)
-            .select("YEAR", "MONTH_NUM", "MONTH_MON", "flt_date", "apt_icao", "APT_NAME", "STATE_NAME",
-                    F.col("FLT_DEP_1").alias("total_departures"),
-                    F.col("flt_dep_ifr").alias("ifr_departures"),
-                    F.col("dly_atc_pre_min").alias("atc_pre_delay_minutes"),
-                    safe_ratio("dly_atc_pre_min", "FLT_DEP_1").alias("avg_delay_min_per_flight")))
+    return daily_kpis(silver, DEPARTURE_KPIS)
 
 
 def gold_airport_atc_departure_kpis_monthly(silver: DataFrame) -> DataFrame:
-    return (silver.groupBy("YEAR", "MONTH_NUM", "apt_icao", "APT_NAME", "STATE_NAME")
-            .agg(F.sum("FLT_DEP_1").alias("total_departures"),
-                 F.sum("flt_dep_ifr").alias("ifr_departures"),
-                 F.sum("dly_atc_pre_min").alias("atc_pre_delay_minutes")))
+    return monthly_kpis(silver, DEPARTURE_KPIS)
 
 
 # ----------------------------------------------------------- SQL twins
