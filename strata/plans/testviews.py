@@ -9,6 +9,8 @@ expressions are emitted as DuckDB CTE text for the SQL twins.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +119,8 @@ REASON_CODES = ["A", "C", "D", "E", "G", "I", "M", "N", "O", "P", "R", "S", "T",
 
 #: The supplier makes the files grow with the data.
 FLIGHT_KEYS = ["l_shipdate", "n_name", "n_regionkey", "l_suppkey"]
+#: Line items that a task groups: its hash maps hold about as many groups, some 600 bytes each.
+FLIGHT_ROWS = 250_000
 FLIGHT_AGGS: list[tuple[str, str]] = (
     [("f_n", "count(*)"), ("f_total", "sum(l_quantity)")]
     + [(f"f_r{i}", f"sum(case when l_partkey % 16 = {i} then l_quantity end)") for i in range(16)]
@@ -167,8 +171,11 @@ def _flight_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     supp = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
-    joined = li.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
-    return joined.groupBy(*FLIGHT_KEYS).agg(*[F.expr(e).alias(n) for n, e in FLIGHT_AGGS])
+    # The suppliers are hashed, so no task sorts its line items. The join's shuffle would serve the groups as well, but a
+    # supplier's days and most rows would then meet in few tasks; here the tasks grow with the rows.
+    joined = li.join(supp.hint("shuffle_hash"), F.col("l_suppkey") == F.col("s_suppkey"))
+    tasks = max(1, ceil(li.count() / FLIGHT_ROWS))
+    return joined.repartition(tasks, *FLIGHT_KEYS).groupBy(*FLIGHT_KEYS).agg(*[F.expr(e).alias(n) for n, e in FLIGHT_AGGS])
 
 
 def flight_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
